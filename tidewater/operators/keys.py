@@ -5,6 +5,12 @@ rows are range-partitioned on the order key, numbered inside each partition,
 and shifted by the row count of all earlier partitions. The offset table has
 one row per range partition, so its broadcast is bounded by the partition
 count, not by the data.
+
+The range-partitioned rows are written once with a reliable ``checkpoint()``
+(to ``spark.checkpoint.dir``) before they are counted and numbered. Two
+separate range exchanges could sample different boundaries, and a lost
+executor could re-sample them; reading positions back from the checkpoint
+makes the numbering deterministic and cuts the lineage of the table above it.
 """
 
 from __future__ import annotations
@@ -29,24 +35,26 @@ def assign_sequential_key(df: DataFrame, order_by: Sequence[str | Column], key:
     """Add ``key`` = 1..n following ``order_by`` (ascending, NULLs first).
 
     The order key should be unique (a natural key); exact duplicates get
-    consecutive numbers in an arbitrary but stable order. Both branches read
-    the same range exchange (Spark reuses it), so counts and row positions are
-    computed from one set of partition boundaries.
+    consecutive numbers in an arbitrary but stable order. Note: runs one job
+    (sample + shuffle + checkpoint write) when called.
     """
+    from tidewater.session import ensure_checkpoint_dir
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
     n = _resolve_partitions(df, num_partitions)
-    ranged = (df.repartitionByRange(n, *order_cols)
+    ensure_checkpoint_dir(df.sparkSession)
+    tagged = (df.repartitionByRange(n, *order_cols)
                 .sortWithinPartitions(*order_cols)
                 .withColumn("_kp", F.spark_partition_id())
-                .withColumn("_km", F.monotonically_increasing_id()))
-    counts = ranged.groupBy("_kp").agg(F.count(F.lit(1)).alias("_kn"))
+                .withColumn("_km", F.monotonically_increasing_id())
+                .checkpoint(eager=True))
+    counts = tagged.groupBy("_kp").agg(F.count(F.lit(1)).alias("_kn"))
+    # At most n rows: a window over them is trivially small.
     before = Window.orderBy("_kp").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_kp", F.coalesce(F.sum("_kn").over(before), F.lit(0)).alias("_ko"))
     pos = F.col("_km") - F.shiftleft(F.col("_kp").cast("long"), _ROW_BITS)
-    numbered = (ranged.join(F.broadcast(offsets), "_kp")
-                .withColumn(key, (F.col("_ko") + pos + 1).cast(key_type))
-                .drop("_kp", "_km", "_ko"))
-    return numbered
+    return (tagged.join(F.broadcast(offsets), "_kp")
+                  .withColumn(key, (F.col("_ko") + pos + 1).cast(key_type))
+                  .drop("_kp", "_km", "_ko"))
 
 
 def lookup_key(fact: DataFrame, dim: DataFrame, natural_key: str, surrogate_key: str,

@@ -1,7 +1,8 @@
-"""Analytic queries on the star (QRY-1 .. QRY-7, SPEC-5/6, EXT-4).
+"""Analytic queries on the star (QRY-1 .. QRY-7, SPEC-5/6/11, EXT-4).
 
-Joins to Dim_Date use the calendar, whose size is bounded by its day span, so
-it is broadcast explicitly; every other join is left to AQE's runtime sizes.
+Dim_Date is bounded by its day span, so joins to it broadcast it explicitly;
+every other join is left to AQE, which broadcasts only what it measured small.
+Top-k reports sort with the group columns as tie-breakers so the cut is stable.
 """
 
 from __future__ import annotations
@@ -9,20 +10,125 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.cleanse import MONEY, safe_pct
+from tidewater.functions.cleanse import safe_pct
 
 REVENUE = "decimal(38,4)"
 
 
-def _sum_money(c: str) -> F.Column:
+def sum_money(c: str) -> F.Column:
     return F.sum(c).cast(REVENUE)
 
 
+def sum_qty(c: str = "OrderQty") -> F.Column:
+    return F.sum(c).cast("bigint")
+
+
+def _with_date(fact: DataFrame, dim_date: DataFrame, cols: list[str],
+               key: str = "OrderDateKey") -> DataFrame:
+    d = F.broadcast(dim_date.select("DateKey", *cols))
+    return fact.join(d, fact[key] == d["DateKey"])
+
+
 def revenue_by_year(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    d = F.broadcast(dim_date.select("DateKey", "Year"))
-    return (fact.join(d, fact["OrderDateKey"] == d["DateKey"])
-                .groupBy("Year")
-                .agg(F.count_distinct("SalesOrderID").alias("Orders"),
-                     _sum_money("LineTotal").alias("Revenue"),
-                     _sum_money("LineProfit").alias("Profit"))
-                .orderBy("Year"))
+    return (_with_date(fact, dim_date, ["Year"])
+            .groupBy("Year")
+            .agg(F.count_distinct("SalesOrderID").alias("Orders"),
+                 sum_money("LineTotal").alias("Revenue"),
+                 sum_money("LineProfit").alias("Profit"))
+            .orderBy("Year"))
+
+
+def _with_product(fact: DataFrame, dim_product: DataFrame, cols: list[str]) -> DataFrame:
+    return fact.join(dim_product.select("ProductKey", *cols), "ProductKey")
+
+
+def top_products(fact: DataFrame, dim_product: DataFrame, k: int = 10) -> DataFrame:
+    keys = ["ProductName", "ProductCategoryName", "ParentProductCategoryName"]
+    return (_with_product(fact, dim_product, keys)
+            .groupBy(*keys)
+            .agg(sum_qty().alias("TotalQuantity"), sum_money("LineTotal").alias("TotalRevenue"),
+                 sum_money("LineProfit").alias("TotalProfit"))
+            .orderBy(F.desc("TotalRevenue"), *[F.asc_nulls_first(c) for c in keys])
+            .limit(k))
+
+
+def top_product_numbers(fact: DataFrame, dim_product: DataFrame, k: int = 10) -> DataFrame:
+    keys = ["ProductNumber", "ProductCategoryName"]
+    return (_with_product(fact, dim_product, keys)
+            .groupBy(*keys)
+            .agg(sum_qty().alias("Quantity"), sum_money("LineTotal").alias("Revenue"))
+            .orderBy(F.desc("Revenue"), *[F.asc_nulls_first(c) for c in keys])
+            .limit(k))
+
+
+def revenue_by_category(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
+    f = _with_product(fact, dim_product, ["ProductCategoryName", "ParentProductCategoryName"])
+    return (f.groupBy(F.coalesce("ParentProductCategoryName", "ProductCategoryName").alias("Category"))
+             .agg(F.count_distinct("SalesOrderID").alias("OrderCount"),
+                  sum_qty().alias("TotalQuantity"), sum_money("LineTotal").alias("TotalRevenue"))
+             .orderBy(F.desc("TotalRevenue"), "Category"))
+
+
+def monthly_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    return (_with_date(fact, dim_date, ["Year", "Month", "MonthName"])
+            .groupBy("Year", "Month", "MonthName")
+            .agg(F.count_distinct("SalesOrderID").alias("OrderCount"),
+                 sum_money("LineTotal").alias("TotalRevenue"))
+            .orderBy("Year", "Month"))
+
+
+def fact_summary(fact: DataFrame) -> DataFrame:
+    s = fact.agg(F.count(F.lit(1)).alias("total_row_count"),
+                 F.count_distinct("SalesOrderID").alias("unique_orders"),
+                 sum_money("LineTotal").alias("total_revenue"),
+                 sum_money("LineProfit").alias("total_profit"))
+    return s.withColumn("profit_margin_pct", safe_pct(F.col("total_profit"), F.col("total_revenue")))
+
+
+def labelled_counts(frames: dict[str, DataFrame], label: str = "table_name",
+                    count: str = "row_count") -> DataFrame:
+    """UNION ALL of one-row counts (SET-2). Each branch is its own aggregate."""
+    parts = [df.agg(F.count(F.lit(1)).alias(count)).select(F.lit(name).alias(label), count)
+             for name, df in frames.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def customer_summary(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
+    per = (fact.groupBy("CustomerKey")
+               .agg(F.count_distinct("SalesOrderID").alias("OrderCount"),
+                    F.count(F.lit(1)).alias("LineCount"), sum_qty().alias("TotalQuantity"),
+                    sum_money("LineTotal").alias("TotalRevenue"),
+                    sum_money("LineProfit").alias("TotalProfit"),
+                    F.min("OrderDateKey").alias("FirstOrderDateKey"),
+                    F.max("OrderDateKey").alias("LastOrderDateKey")))
+    return per.join(dim_customer.select("CustomerKey", "CustomerID", "CompanyName"), "CustomerKey")
+
+
+def orders_by_quarter(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    return (_with_date(fact, dim_date, ["Year", "Quarter", "Month"])
+            .groupBy("Year", "Quarter", "Month")
+            .agg(F.count_distinct("SalesOrderID").alias("OrderCount"),
+                 sum_money("LineTotal").alias("TotalRevenue"))
+            .orderBy("Year", "Quarter", "Month"))
+
+
+def monthly_aggregate(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    return (_with_date(fact, dim_date, ["Year", "Month"])
+            .groupBy("Year", "Month")
+            .agg(F.count_distinct("SalesOrderID").alias("OrderCount"),
+                 F.count(F.lit(1)).alias("LineCount"), sum_qty().alias("TotalQuantity"),
+                 sum_money("LineTotal").alias("TotalRevenue"),
+                 sum_money("LineProfit").alias("TotalProfit")))
+
+
+def geo_rollup(fact: DataFrame, dim_address: DataFrame) -> DataFrame:
+    """City drill-up to a grand total over the ship-to role (SPEC-11)."""
+    a = dim_address.select(F.col("AddressKey").alias("ShipToAddressKey"), "City")
+    return (fact.join(a, "ShipToAddressKey", "left")
+                .rollup("City")
+                .agg(F.grouping_id().alias("Level"),
+                     F.count_distinct("SalesOrderID").alias("OrderCount"),
+                     sum_money("LineTotal").alias("TotalRevenue")))
