@@ -146,7 +146,7 @@ SELECT d.Year, COUNT(DISTINCT f.SalesOrderID) AS Orders, {msum('f.LineTotal')} A
 FROM fact_sales f JOIN dim_date d ON f.OrderDateKey = d.DateKey GROUP BY d.Year ORDER BY d.Year"""))
 def revenue_by_year(spark, sf):
     st = star(spark, sf)
-    return A.revenue_by_year(st.fact_sales, st.dim_date)
+    return A.revenue_by_year(st.fact_lines, st.dim_date)
 
 
 @register("top_products", W(f"""
@@ -160,7 +160,7 @@ ORDER BY TotalRevenue DESC, ProductName ASC NULLS FIRST, ProductCategoryName ASC
 LIMIT 10"""))
 def top_products(spark, sf):
     st = star(spark, sf)
-    return A.top_products(st.fact_sales, st.dim_product)
+    return A.top_products(st.fact_lines, st.dim_product)
 
 
 @register("top_product_numbers", W(f"""
@@ -172,7 +172,7 @@ ORDER BY Revenue DESC, ProductNumber ASC NULLS FIRST, ProductCategoryName ASC NU
 LIMIT 10"""))
 def top_product_numbers(spark, sf):
     st = star(spark, sf)
-    return A.top_product_numbers(st.fact_sales, st.dim_product)
+    return A.top_product_numbers(st.fact_lines, st.dim_product)
 
 
 @register("revenue_by_category", W(f"""
@@ -184,7 +184,7 @@ GROUP BY COALESCE(p.ParentProductCategoryName, p.ProductCategoryName)
 ORDER BY TotalRevenue DESC, Category"""))
 def revenue_by_category(spark, sf):
     st = star(spark, sf)
-    return A.revenue_by_category(st.fact_sales, st.dim_product)
+    return A.revenue_by_category(st.fact_lines, st.dim_product)
 
 
 @register("monthly_trend", W(f"""
@@ -194,7 +194,7 @@ FROM fact_sales f JOIN dim_date d ON f.OrderDateKey = d.DateKey
 GROUP BY d.Year, d.Month, d.MonthName ORDER BY d.Year, d.Month"""))
 def monthly_trend(spark, sf):
     st = star(spark, sf)
-    return A.monthly_trend(st.fact_sales, st.dim_date)
+    return A.monthly_trend(st.fact_lines, st.dim_date)
 
 
 @register("fact_summary", W(f"""
@@ -202,7 +202,7 @@ SELECT *, {pct('total_profit', 'total_revenue')} AS profit_margin_pct FROM (
   SELECT COUNT(*) AS total_row_count, COUNT(DISTINCT SalesOrderID) AS unique_orders,
          {msum('LineTotal')} AS total_revenue, {msum('LineProfit')} AS total_profit FROM fact_sales)"""))
 def fact_summary(spark, sf):
-    return A.fact_summary(star(spark, sf).fact_sales)
+    return A.fact_summary(star(spark, sf).fact_lines)
 
 
 _TABLE_COUNTS = [("Dim_Date", "dim_date"), ("Dim_Customer", "dim_customer"),
@@ -217,7 +217,7 @@ def table_counts(spark, sf):
     st = star(spark, sf)
     frames = {"Dim_Date": st.dim_date, "Dim_Customer": st.dim_customer,
               "Dim_Product": st.dim_product, "Dim_Address": st.dim_address,
-              "Fact_Sales": st.fact_sales, "bronze_Customer": st.bronze["customer"],
+              "Fact_Sales": st.fact_lines, "bronze_Customer": st.bronze["customer"],
               "bronze_Product": st.bronze["product"], "bronze_SalesOrderDetail": st.bronze["detail"]}
     return A.labelled_counts(frames)
 
@@ -243,7 +243,7 @@ def fk_orphans(spark, sf):
     st = star(spark, sf)
     dims = {"dim_customer": st.dim_customer, "dim_product": st.dim_product,
             "dim_date": st.dim_date, "dim_address": st.dim_address}
-    return Q.fk_orphans(st.fact_sales, [(fk, dims[cte], dk, dname) for fk, cte, dk, dname in _FKS])
+    return Q.fk_orphans(st.fact_lines, [(fk, dims[cte], dk, dname) for fk, cte, dk, dname in _FKS])
 
 
 _DIM_KEYS = [("Dim_Customer", "dim_customer", "CustomerKey"), ("Dim_Product", "dim_product", "ProductKey"),
@@ -266,7 +266,7 @@ SELECT 'SalesOrderDetail' AS source_table, 'Fact_Sales' AS target_table, s AS so
 FROM (SELECT (SELECT COUNT(*) FROM brz_detail) AS s, (SELECT COUNT(*) FROM fact_sales) AS t)"""))
 def row_reconciliation(spark, sf):
     st = star(spark, sf)
-    return Q.row_reconciliation(st.bronze["detail"], st.fact_sales, "SalesOrderDetail", "Fact_Sales")
+    return Q.row_reconciliation(st.bronze["detail"], st.fact_lines, "SalesOrderDetail", "Fact_Sales")
 
 
 @register("measure_check", W("""
@@ -275,7 +275,7 @@ SELECT COUNT(*) AS rows_checked,
              * (1.0 - CAST(UnitPriceDiscount AS DOUBLE)) - CAST(LineTotal AS DOUBLE)) >= 0.01) AS mismatches
 FROM fact_sales"""))
 def measure_check(spark, sf):
-    return Q.measure_check(star(spark, sf).fact_sales)
+    return Q.measure_check(star(spark, sf).fact_lines)
 
 
 def _pct_sql(table: str, flags: dict[str, str]) -> str:
@@ -306,7 +306,7 @@ SELECT *, {pct('total_profit', 'total_revenue')} AS profit_margin_pct,
   SELECT COUNT(DISTINCT SalesOrderID) AS total_orders, COUNT(*) AS total_lines,
          {msum('LineTotal')} AS total_revenue, {msum('LineProfit')} AS total_profit FROM fact_sales)"""))
 def business_metrics(spark, sf):
-    return Q.business_metrics(star(spark, sf).fact_sales)
+    return Q.business_metrics(star(spark, sf).fact_lines)
 
 
 _SOURCES = [("Customer", "src_customer"), ("Product", "src_product"), ("ProductCategory", "src_product_category"),
@@ -356,7 +356,8 @@ def tables_per_layer(spark, sf):
     st = star(spark, sf)
     frames = {f"bronze_{k}": df for k, df in st.bronze.items()}
     frames.update({f"silver_{k}": df for k, df in st.silver.items()})
-    frames.update({f"gold_{k}": df for k, df in st.gold().items()})
+    frames.update({f"gold_{k}": df for k, df in st.gold().items() if k != "Fact_Sales"})
+    frames["gold_Fact_Sales"] = st.fact_lines
     counts = A.labelled_counts(frames, "table_name", "n")
     return (counts.withColumn("layer", F.substring_index("table_name", "_", 1))
                   .groupBy("layer").agg(F.count(F.lit(1)).alias("table_count"),
@@ -374,7 +375,7 @@ FROM fact_sales f JOIN dim_customer c ON f.CustomerKey = c.CustomerKey
 GROUP BY f.CustomerKey, c.CustomerID, c.CompanyName"""))
 def customer_summary(spark, sf):
     st = star(spark, sf)
-    return A.customer_summary(st.fact_sales, st.dim_customer)
+    return A.customer_summary(st.fact_lines, st.dim_customer)
 
 
 @register("orders_by_quarter", W(f"""
@@ -383,7 +384,7 @@ FROM fact_sales f JOIN dim_date d ON f.OrderDateKey = d.DateKey
 GROUP BY d.Year, d.Quarter, d.Month ORDER BY d.Year, d.Quarter, d.Month"""))
 def orders_by_quarter(spark, sf):
     st = star(spark, sf)
-    return A.orders_by_quarter(st.fact_sales, st.dim_date)
+    return A.orders_by_quarter(st.fact_lines, st.dim_date)
 
 
 @register("monthly_aggregate", W(f"""
@@ -393,7 +394,7 @@ SELECT d.Year, d.Month, COUNT(DISTINCT f.SalesOrderID) AS OrderCount, COUNT(*) A
 FROM fact_sales f JOIN dim_date d ON f.OrderDateKey = d.DateKey GROUP BY d.Year, d.Month"""))
 def monthly_aggregate(spark, sf):
     st = star(spark, sf)
-    return A.monthly_aggregate(st.fact_sales, st.dim_date)
+    return A.monthly_aggregate(st.fact_lines, st.dim_date)
 
 
 @register("revenue_reconciliation", W(f"""
@@ -401,7 +402,7 @@ SELECT s AS source_revenue, t AS star_revenue, CAST(s - t AS DECIMAL(38,4)) AS d
 FROM (SELECT (SELECT {msum('LineTotal')} FROM slv_detail) AS s, (SELECT {msum('LineTotal')} FROM fact_sales) AS t)"""))
 def revenue_reconciliation(spark, sf):
     st = star(spark, sf)
-    return Q.revenue_reconciliation(st.silver["detail"], st.fact_sales)
+    return Q.revenue_reconciliation(st.silver["detail"], st.fact_lines)
 
 
 @register("calendar_gaps", W("""
@@ -421,7 +422,7 @@ FROM fact_sales f LEFT JOIN dim_address a ON f.ShipToAddressKey = a.AddressKey
 GROUP BY ROLLUP (a.City)"""))
 def geo_rollup(spark, sf):
     st = star(spark, sf)
-    return A.geo_rollup(st.fact_sales, st.dim_address).withColumn("Level", F.col("Level").cast("int"))
+    return A.geo_rollup(st.fact_lines, st.dim_address).withColumn("Level", F.col("Level").cast("int"))
 
 
 @register("unknown_member_fact", W("""
@@ -435,7 +436,7 @@ def unknown_member_fact(spark, sf):
     st = star(spark, sf)
     s = st.silver
     fact = G.fact_sales(s["detail"], s["header"], st.dim_product, st.dim_customer, st.dim_address,
-                        st.cfg, unknown_address_key=True)
+                        st.cfg, unknown_address_key=True, with_sales_key=False)
     parts = [fact.agg(F.count_if(F.col(role) == -1).alias("unknown_rows"),
                       F.count(F.lit(1)).alias("total_rows")).select(F.lit(role).alias("role"), "unknown_rows", "total_rows")
              for role in ("ShipToAddressKey", "BillToAddressKey")]

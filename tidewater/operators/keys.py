@@ -15,12 +15,40 @@ makes the numbering deterministic and cuts the lineage of the table above it.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _ROW_BITS = 33  # monotonically_increasing_id = (partition index << 33) + row index
+# Inputs the optimizer estimates at or below this size are numbered by one
+# ordered window in a single task; anything larger (or unknown) takes the
+# distributed path. Override with spark.tidewater.sequentialKey.singleTaskMaxBytes.
+SINGLE_TASK_MAX_BYTES = 128 * 1024 * 1024
+_UNITS = {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30, "TiB": 1 << 40,
+          "PiB": 1 << 50, "EiB": 1 << 60}
+_SIZE_RE = re.compile(r"sizeInBytes=([0-9.]+(?:E[+-]?[0-9]+)?)\s*(B|KiB|MiB|GiB|TiB|PiB|EiB)")
+
+
+def estimated_size_bytes(df: DataFrame) -> float | None:
+    """The optimizer's size estimate of ``df`` (``EXPLAIN COST``), or None.
+
+    Without CBO, joins are estimated as the product of their inputs, so the
+    estimate errs high: a small estimate is a safe bound, a large one just
+    selects the distributed path."""
+    spark = df.sparkSession
+    view = f"_tw_size_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
+    try:
+        text = spark.sql(f"EXPLAIN COST SELECT * FROM {view}").first()[0]
+    finally:
+        spark.catalog.dropTempView(view)
+    m = _SIZE_RE.search(text)
+    if not m:
+        return None
+    return float(m.group(1)) * _UNITS[m.group(2)]
 
 
 def _resolve_partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -35,11 +63,19 @@ def assign_sequential_key(df: DataFrame, order_by: Sequence[str | Column], key:
     """Add ``key`` = 1..n following ``order_by`` (ascending, NULLs first).
 
     The order key should be unique (a natural key); exact duplicates get
-    consecutive numbers in an arbitrary but stable order. Note: runs one job
-    (sample + shuffle + checkpoint write) when called.
+    consecutive numbers in an arbitrary but stable order. Inputs whose
+    estimated size is below ``SINGLE_TASK_MAX_BYTES`` use a plain ordered
+    window; larger ones run one job (sample + shuffle + checkpoint write) when
+    called.
     """
     from tidewater.session import ensure_checkpoint_dir
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    limit = float(df.sparkSession.conf.get("spark.tidewater.sequentialKey.singleTaskMaxBytes",
+                                           str(SINGLE_TASK_MAX_BYTES)))
+    size = estimated_size_bytes(df)
+    if size is not None and size <= limit:
+        # Checked small: one ordered window (a single task) is cheapest.
+        return df.withColumn(key, F.row_number().over(Window.orderBy(*order_cols)).cast(key_type))
     n = _resolve_partitions(df, num_partitions)
     ensure_checkpoint_dir(df.sparkSession)
     tagged = (df.repartitionByRange(n, *order_cols)

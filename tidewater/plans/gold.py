@@ -135,18 +135,20 @@ def english_descriptions(model_description: DataFrame, description: DataFrame,
 
 def dim_product(product: DataFrame, category: DataFrame, model: DataFrame, cfg: RunConfig,
                 descriptions: DataFrame | None = None) -> DataFrame:
+    # Keys are assigned on the product table itself: every enrichment below is
+    # a left lookup on a unique key, so it neither adds nor removes products.
+    df = assign_sequential_key(product, ["ProductID"], "ProductKey")
     cats = flatten_parent(category, "ProductCategoryID", "ParentProductCategoryID", "Name",
                           "ProductCategoryName", "ParentProductCategoryName")
     models = model.select("ProductModelID", F.col("Name").alias("ProductModelName")) \
                   .dropDuplicates(["ProductModelID"])
-    df = (product.join(cats, "ProductCategoryID", "left")
-                 .join(models, "ProductModelID", "left"))
+    df = (df.join(cats, "ProductCategoryID", "left")
+            .join(models, "ProductModelID", "left"))
     if descriptions is not None:
         df = df.join(descriptions, "ProductModelID", "left")
     else:
         df = df.withColumn("ProductName", F.lit(None).cast("string"))
     df = df.withColumn("IsDiscontinued", F.col("DiscontinuedDate").isNotNull())
-    df = assign_sequential_key(df, ["ProductID"], "ProductKey")
     df = with_scd_columns(df, cfg.today())
     return df.select(DIM_PRODUCT_COLUMNS)
 
@@ -181,7 +183,7 @@ def _date_key_in(ts: Column, cfg: RunConfig) -> tuple[Column, Column]:
 
 def fact_sales(detail: DataFrame, header: DataFrame, dim_product_df: DataFrame,
                dim_customer_df: DataFrame, dim_address_df: DataFrame, cfg: RunConfig,
-               unknown_address_key: bool = False) -> DataFrame:
+               unknown_address_key: bool = False, with_sales_key: bool = True) -> DataFrame:
     """One row per order line (GLD-5).
 
     Mandatory lookups (customer, product, order date, due date) drop unmatched
@@ -229,5 +231,7 @@ def fact_sales(detail: DataFrame, header: DataFrame, dim_product_df: DataFrame,
         F.col("SubTotal").alias("OrderSubTotal"), F.col("TaxAmt").alias("OrderTaxAmt"),
         F.col("Freight").alias("OrderFreight"), "OrderTotal",
         F.col("Status").alias("OrderStatus"), "ShipMethod", "RevisionNumber")
+    if not with_sales_key:
+        return f
     f = assign_sequential_key(f, ["SalesOrderID", "SalesOrderDetailID"], "SalesKey")
     return f.select(FACT_SALES_COLUMNS)

@@ -35,8 +35,8 @@ class Star:
 
     # ------------------------------------------------------------ silver
     @cached_property
-    def silver(self) -> dict[str, DataFrame]:
-        return {name: build(self.bronze[name], self.cfg) for name, build in S.SILVER_BUILDERS.items()}
+    def silver(self) -> "SilverLayer":
+        return SilverLayer(self)
 
     # ------------------------------------------------------------ gold
     @cached_property
@@ -70,7 +70,36 @@ class Star:
         return G.fact_sales(s["detail"], s["header"], self.dim_product, self.dim_customer,
                             self.dim_address, self.cfg)
 
+    @cached_property
+    def fact_lines(self) -> DataFrame:
+        """Fact_Sales rows without the SalesKey row number. Analytic queries
+        never read SalesKey, so they skip numbering (and checkpointing) the
+        largest table; rows and measures are the same as in Fact_Sales."""
+        s = self.silver
+        return G.fact_sales(s["detail"], s["header"], self.dim_product, self.dim_customer,
+                            self.dim_address, self.cfg, with_sales_key=False)
+
     def gold(self) -> dict[str, DataFrame]:
         return {"Dim_Date": self.dim_date, "Dim_Customer": self.dim_customer,
                 "Dim_Product": self.dim_product, "Dim_Address": self.dim_address,
                 "Fact_Sales": self.fact_sales}
+
+
+class SilverLayer(dict):
+    """Silver frames keyed by source attribute name, built on first access."""
+
+    def __init__(self, star: Star):
+        super().__init__()
+        self._star = star
+
+    def __missing__(self, name: str) -> DataFrame:
+        build = S.SILVER_BUILDERS[name]
+        df = build(self._star.bronze[name], self._star.cfg)
+        self[name] = df
+        return df
+
+    def keys(self):
+        return S.SILVER_BUILDERS.keys()
+
+    def items(self):
+        return [(k, self[k]) for k in S.SILVER_BUILDERS]

@@ -183,14 +183,14 @@ def fixture_order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fixture_sources(spark: SparkSession, sf_dir: str) -> SalesSources:
     models = fixture_product_model(spark, sf_dir)
     return SalesSources(
-        customer=fixture_customer(spark, sf_dir),
-        product=fixture_product(spark, sf_dir),
-        product_category=fixture_product_category(spark, sf_dir),
-        product_model=models,
-        product_description=fixture_product_description(models),
-        model_description=fixture_model_description(models),
-        address=fixture_address(spark, sf_dir),
-        customer_address=fixture_customer_address(spark, sf_dir),
-        header=fixture_order_header(spark, sf_dir),
-        detail=fixture_order_detail(spark, sf_dir),
+        customer=lambda: fixture_customer(spark, sf_dir),
+        product=lambda: fixture_product(spark, sf_dir),
+        product_category=lambda: fixture_product_category(spark, sf_dir),
+        product_model=lambda: models,
+        product_description=lambda: fixture_product_description(models),
+        model_description=lambda: fixture_model_description(models),
+        address=lambda: fixture_address(spark, sf_dir),
+        customer_address=lambda: fixture_customer_address(spark, sf_dir),
+        header=lambda: fixture_order_header(spark, sf_dir),
+        detail=lambda: fixture_order_detail(spark, sf_dir),
     )

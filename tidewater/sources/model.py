@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
-
 from pyspark.sql import DataFrame
 
 # Source table names (fixed values of the order-management schema).
@@ -21,21 +19,33 @@ SOURCE_TABLES = {
 }
 
 
-@dataclass
 class SalesSources:
-    customer: DataFrame
-    product: DataFrame
-    product_category: DataFrame
-    product_model: DataFrame
-    product_description: DataFrame | None
-    model_description: DataFrame | None
-    address: DataFrame
-    customer_address: DataFrame | None
-    header: DataFrame
-    detail: DataFrame
+    """The source tables, built on first use: a query that needs only orders
+    never plans (or numbers) the order lines."""
+
+    def __init__(self, **tables):
+        self._factories = {}
+        self._built = {}
+        for attr in SOURCE_TABLES:
+            value = tables.get(attr)
+            if callable(value) and not isinstance(value, DataFrame):
+                self._factories[attr] = value
+            elif value is not None:
+                self._built[attr] = value
+
+    def __getattr__(self, attr: str):
+        if attr.startswith("_") or attr not in SOURCE_TABLES:
+            raise AttributeError(attr)
+        if attr not in self._built:
+            factory = self._factories.get(attr)
+            self._built[attr] = factory() if factory else None
+        return self._built[attr]
+
+    def available(self) -> list[str]:
+        return [a for a in SOURCE_TABLES if a in self._built or a in self._factories]
 
     def items(self):
-        for f in fields(self):
-            df = getattr(self, f.name)
+        for attr in self.available():
+            df = getattr(self, attr)
             if df is not None:
-                yield SOURCE_TABLES[f.name], f.name, df
+                yield SOURCE_TABLES[attr], attr, df
