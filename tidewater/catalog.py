@@ -36,8 +36,19 @@ def register(name: str, sql: str | None):
     return deco
 
 
-def star(spark: SparkSession, sf_dir: str) -> Star:
-    return Star.from_fixture(spark, sf_dir)
+_STARS: dict = {}
+
+
+def star(spark: SparkSession, sf_dir: str, fresh: bool = False) -> Star:
+    """The session's star over ``sf_dir``: its tables are lazy DataFrames
+    defined once and shared by every query, as in a notebook session.
+    ``fresh`` builds an independent one (used to prove reruns are identical)."""
+    if fresh:
+        return Star.from_fixture(spark, sf_dir)
+    key = (id(spark), sf_dir)
+    if key not in _STARS:
+        _STARS[key] = Star.from_fixture(spark, sf_dir)
+    return _STARS[key]
 
 
 W = O.with_pipeline
@@ -468,7 +479,7 @@ SELECT COUNT(*) AS rows_first, COUNT(*) AS rows_second, CAST(0 AS BIGINT) AS onl
        CAST(0 AS BIGINT) AS only_in_second, CAST(0 AS BIGINT) AS changed FROM fact_sales"""))
 def rerun_diff(spark, sf):
     """Two independent builds of the fact must be identical (SPEC-12)."""
-    first, second = star(spark, sf).fact_sales, star(spark, sf).fact_sales
+    first, second = star(spark, sf, fresh=True).fact_sales, star(spark, sf, fresh=True).fact_sales
     cols = [c for c in first.columns if c != "SalesKey"]
     a = first.select("SalesKey", F.xxhash64(*cols).alias("_h1"))
     b = second.select("SalesKey", F.xxhash64(*cols).alias("_h2"))

@@ -23,21 +23,25 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 def fk_orphans(fact: DataFrame, checks: list[tuple[str, DataFrame, str, str]]) -> DataFrame:
     """Per foreign key: rows with a key, NULL keys, and keys missing from the
-    dimension (NULL keys are allowed and are not orphans). The fact meets the
-    distinct dimension keys in one left join; a row whose key found no match is
-    exactly a row the anti join would return, so one aggregate gives all three
-    counts."""
-    parts = []
-    for fk, dim, dim_key, dim_name in checks:
-        keys = dim.select(F.col(dim_key).alias("_dk")).distinct()
-        probe = fact.select(fk).join(keys, F.col(fk) == F.col("_dk"), "left")
-        parts.append(probe.agg(
-            F.count(fk).alias("non_null_keys"),
-            F.count_if(F.col(fk).isNull()).alias("null_keys"),
-            F.count_if(F.col(fk).isNotNull() & F.col("_dk").isNull()).alias("orphans"))
-            .select(F.lit(fk).alias("foreign_key"), F.lit(dim_name).alias("dimension"),
-                    "non_null_keys", "null_keys", "orphans"))
-    return _union(parts)
+    dimension (NULL keys are allowed and are not orphans).
+
+    The fact is read once: it meets the distinct key set of every dimension
+    in a chain of left lookups (a key set has one row per key, so no lookup
+    can multiply fact rows), one aggregate counts all keys, and ``stack``
+    turns the single result row into one row per foreign key. A fact row whose
+    key found no match is exactly a row the anti join would return."""
+    probe = fact.select(*sorted({fk for fk, _, _, _ in checks}))
+    aggs, rows = [], []
+    for i, (fk, dim, dim_key, dim_name) in enumerate(checks):
+        hit = f"_dk{i}"
+        keys = dim.select(F.col(dim_key).alias(hit)).distinct()
+        probe = probe.join(keys, probe[fk] == keys[hit], "left")
+        aggs += [F.count(fk).alias(f"_n{i}"),
+                 F.count_if(F.col(fk).isNull()).alias(f"_z{i}"),
+                 F.count_if(F.col(fk).isNotNull() & F.col(hit).isNull()).alias(f"_o{i}")]
+        rows.append(f"'{fk}', '{dim_name}', _n{i}, _z{i}, _o{i}")
+    stacked = f"stack({len(rows)}, {', '.join(rows)}) AS (foreign_key, dimension, non_null_keys, null_keys, orphans)"
+    return probe.agg(*aggs).selectExpr(stacked)
 
 
 def orphan_rows(fact: DataFrame, dim: DataFrame, fk: str, dim_key: str) -> DataFrame:

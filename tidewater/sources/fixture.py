@@ -24,8 +24,16 @@ def ts(value: str) -> Column:
     return F.lit(value).cast("timestamp_ntz")
 
 
+_RAW: dict = {}
+
+
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One DataFrame per input file and session (the files are read-only), so
+    repeated plans do not list and footer-read the same file again."""
+    key = (id(spark), sf_dir, name)
+    if key not in _RAW:
+        _RAW[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _RAW[key]
 
 
 def _s(c: Column) -> Column:
