@@ -577,6 +577,33 @@ def masked_customers(spark, sf):
     return d.select("CustomerKey", "CustomerID", "CompanyName", mask_email(F.col("EmailAddress")).alias("EmailAddress"))
 
 
+@register("pipeline_run_log", None)
+def pipeline_run_log(spark, sf):
+    """Run bronze -> silver -> gold into a fresh folder under the session's
+    checkpoint directory and return the run log (durations vary, so the
+    driver checks rows only)."""
+    import uuid
+    from tidewater.plans.pipeline import Pipeline
+    from tidewater.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    st = star(spark, sf, fresh=True)
+    return Pipeline(spark, st.sources, st.cfg, f"{base}/tidewater-runs/{uuid.uuid4().hex}").run()
+
+
+@register("streaming_incremental_orders", W("SELECT * FROM brz_header"))
+def streaming_incremental_orders(spark, sf):
+    """Orders landed in bronze by an availableNow stream over the source folder;
+    the landed table must equal the batch bronze table (EXT-1)."""
+    import uuid
+    from tidewater.session import ensure_checkpoint_dir
+    from tidewater.sources.fixture import map_orders, raw
+    from tidewater.streaming.incremental import incremental_bronze
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidewater-streams/{uuid.uuid4().hex}"
+    schema = raw(spark, sf, "orders").schema
+    return incremental_bronze(spark, sf, "orders.parquet", schema, map_orders, "SalesOrderHeader",
+                              FIXTURE_CONFIG, f"{base}/bronze_SalesOrderHeader", f"{base}/_checkpoint")
+
+
 def queries() -> dict[str, Builder]:
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 

@@ -149,10 +149,15 @@ def fixture_customer_address(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixture_order_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return map_orders(raw(spark, sf_dir, "orders"))
+
+
+def map_orders(orders: DataFrame) -> DataFrame:
+    """orders -> SalesOrderHeader; row-wise only, so it also maps a stream."""
     k = F.col("o_orderkey")
     od = F.col("o_orderdate")
     total = F.col("o_totalprice").cast("decimal(12,2)")
-    return raw(spark, sf_dir, "orders").select(
+    return orders.select(
         k.cast("int").alias("SalesOrderID"),
         F.lit(1).cast("int").alias("RevisionNumber"),
         od.alias("OrderDate"),
