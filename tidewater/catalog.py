@@ -359,7 +359,7 @@ _LAYER_TABLES = ([("bronze", f"brz_{k}") for k in O.BRONZE_NAMES]
                  + [("gold", c) for c in ("dim_date", "dim_customer", "dim_product", "dim_address", "fact_sales")])
 
 
-@register("tables_per_layer", W("SELECT layer, COUNT(*) AS table_count, SUM(n) AS total_rows FROM (\n"
+@register("tables_per_layer", W("SELECT layer, COUNT(*) AS table_count, CAST(SUM(n) AS BIGINT) AS total_rows FROM (\n"
                                 + "\nUNION ALL\n".join(f"SELECT '{layer}' AS layer, COUNT(*) AS n FROM {cte}"
                                                        for layer, cte in _LAYER_TABLES)
                                 + ") GROUP BY layer"))

@@ -26,7 +26,7 @@ _ROW_BITS = 33  # monotonically_increasing_id = (partition index << 33) + row in
 # Inputs the optimizer estimates at or below this size are numbered by one
 # ordered window in a single task; anything larger (or unknown) takes the
 # distributed path. Override with spark.tidewater.sequentialKey.singleTaskMaxBytes.
-SINGLE_TASK_MAX_BYTES = 128 * 1024 * 1024
+SINGLE_TASK_MAX_BYTES = 8 * 1024 * 1024
 _UNITS = {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30, "TiB": 1 << 40,
           "PiB": 1 << 50, "EiB": 1 << 60}
 _SIZE_RE = re.compile(r"sizeInBytes=([0-9.]+(?:E[+-]?[0-9]+)?)\s*(B|KiB|MiB|GiB|TiB|PiB|EiB)")
