@@ -46,9 +46,10 @@ def star(spark: SparkSession, sf_dir: str, fresh: bool = False) -> Star:
     if fresh:
         return Star.from_fixture(spark, sf_dir)
     key = (id(spark), sf_dir)
-    if key not in _STARS:
-        _STARS[key] = Star.from_fixture(spark, sf_dir)
-    return _STARS[key]
+    cached = _STARS.get(key)
+    if cached is None or cached.spark is not spark:
+        cached = _STARS[key] = Star.from_fixture(spark, sf_dir)
+    return cached
 
 
 W = O.with_pipeline

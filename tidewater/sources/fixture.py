@@ -31,9 +31,10 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One DataFrame per input file and session (the files are read-only), so
     repeated plans do not list and footer-read the same file again."""
     key = (id(spark), sf_dir, name)
-    if key not in _RAW:
-        _RAW[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return _RAW[key]
+    cached = _RAW.get(key)
+    if cached is None or cached.sparkSession is not spark:
+        cached = _RAW[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return cached
 
 
 def _s(c: Column) -> Column:
