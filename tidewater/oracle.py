@@ -31,9 +31,7 @@ def date_key(d: str) -> str:
 
 
 def date_attrs(d: str, fiscal_start: int = 1) -> str:
-    shift = (13 - fiscal_start) % 12
-    fy = f"year({d} + INTERVAL '{shift}' MONTH)" if shift else f"year({d})"
-    fm = f"((month({d}) - {fiscal_start} + 12) % 12 + 1)"
+    """Calendar columns of Dim_Date except IsHoliday and the fiscal ones."""
     return f"""{date_key(d)} AS DateKey, CAST({d} AS DATE) AS Date,
       CAST(year({d}) AS INTEGER) AS Year, CAST(quarter({d}) AS INTEGER) AS Quarter,
       concat('Q', CAST(quarter({d}) AS VARCHAR)) AS QuarterName,
