@@ -43,6 +43,36 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary_path(VOCABULARY), end_id=0, capacity=2048)
 
 
+_WORDS_SQL = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+              "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+
+
+@register("op2_fm_index_decontamination", f"""
+WITH d AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS_SQL} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item, least(13, len(w)) AS n, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS s
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+dw AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hit AS (SELECT doc_id, i, dw.n, item FROM dw JOIN win ON dw.n = win.n AND dw.s = win.s),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+its AS (SELECT doc_id, count(DISTINCT item) AS n_items, array_to_string(list_sort(list(DISTINCT item)), ',') AS s
+        FROM hit GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(s, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)""")
+def op2_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of 13 words in every document, by FM-index."""
+    from tidewater.llm.fm_index import find_contamination
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")) \
+        .drop("items", "spans")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 
