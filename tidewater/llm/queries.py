@@ -73,6 +73,14 @@ def op2_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         .drop("items", "spans")
 
 
+@register("op3_simhash_trie")
+def op3_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash components of all documents: 3-word shingles, 2 bits."""
+    from tidewater.llm.simhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, budget=2).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 
