@@ -81,6 +81,31 @@ def op3_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@register("op6_suffix_dedup", """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+b AS (SELECT doc_id, h, CAST(len(h) // 2 AS BIGINT) AS n FROM d),
+w AS (SELECT doc_id, p, substr(h, 2 * p + 1, 200) AS s
+      FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS p FROM b WHERE n >= 100)),
+r AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM w)
+      WHERE k > 1),
+e AS (SELECT doc_id, p, coalesce(p > 100 + lag(p) OVER (PARTITION BY doc_id ORDER BY p), TRUE) AS fresh FROM r),
+g AS (SELECT doc_id, p, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM e),
+spans AS (SELECT doc_id, k, min(p) AS s, max(p) + 100 AS t FROM g GROUP BY doc_id, k),
+gaps AS (
+  SELECT doc_id, coalesce(lag(t) OVER (PARTITION BY doc_id ORDER BY s), 0) AS a, s AS z FROM spans
+  UNION ALL SELECT b.doc_id, max(t), any_value(n) FROM spans JOIN b ON spans.doc_id = b.doc_id GROUP BY b.doc_id),
+kept AS (SELECT gaps.doc_id, string_agg(substr(h, 2 * a + 1, 2 * (z - a)), '' ORDER BY a) AS h
+         FROM gaps JOIN b ON gaps.doc_id = b.doc_id GROUP BY gaps.doc_id),
+tot AS (SELECT doc_id, sum(t - s) AS m, count(*) AS c FROM spans GROUP BY doc_id)
+SELECT b.doc_id, n AS n_bytes, CAST(coalesce(m, 0) AS BIGINT) AS n_removed, CAST(coalesce(c, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(kept.h, b.h))) AS kept_sha256
+FROM b LEFT JOIN tot ON tot.doc_id = b.doc_id LEFT JOIN kept ON kept.doc_id = b.doc_id""")
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes covered by a 100-byte string that also starts earlier, cut out."""
+    from tidewater.llm.suffix_dedup import repeat_digest
+    return repeat_digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 
