@@ -106,6 +106,24 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digest(table(spark, sf_dir, "documents"))
 
 
+@register("op9_kneser_ney_quality")
+def op9_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under trusted text, and whether it is kept."""
+    from tidewater.llm.kneser_ney import judge
+    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op10_segment_toxicity")
+def op10_segment_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of rows with remainder 1 are held out."""
+    from tidewater.llm.toxicity import score_documents
+    scored = score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    held_out = F.expr("pmod(crc32(cast(doc_id AS string)), 3) = 1")
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"),
+                         F.size("passages").alias("n_passages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 
