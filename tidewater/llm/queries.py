@@ -124,6 +124,13 @@ def op10_segment_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.size("passages").alias("n_passages"))
 
 
+@register("op8_label_propagation")
+def op8_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 8 shards, counts at most one apart, equal texts together."""
+    from tidewater.llm.sharding import assign_shards
+    return assign_shards(table(spark, sf_dir, "documents"), shards=8)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 
