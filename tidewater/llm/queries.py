@@ -27,6 +27,20 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+@register("op1_wrapper_extraction")
+def op1_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page along the wrapper of its host."""
+    from tidewater.llm.wrappers import extract_main_text
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@register("op4_pruned_graph_neighbours")
+def op4_pruned_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """10 nearest of every embedding whose id is divisible by 100."""
+    from tidewater.llm.vamana import nearest
+    return nearest(table(spark, sf_dir, "embeddings"), k=10)
+
+
 @register("op5_wavelet_tokens")
 def op5_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document through wavelet-matrix files (end id 1)."""
