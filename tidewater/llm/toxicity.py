@@ -4,14 +4,15 @@ Tokens are words and get the log-odds of toxic against clean documents under
 Dirichlet priors: a word's prior is the rate of its 7-byte prefix, whose prior
 is that of its 5-byte prefix, whose prior is the base rate, each worth
 ``strength`` documents. So an inflected form that was never seen borrows from its
-stem. A document's tokens are scanned once (all maximal segments in linear
+stem. ``drift`` is taken off every token, so that chance runs stay short. A
+document's tokens are scanned once (all maximal segments in linear
 time); a passage is significant by the extreme-value law of clean documents'
 best segments, which grow with the logarithm of length; the law's location and
 scale and the step from it to a probability come from labelled documents.
 
-Labels are learnt from training rows only. Their two halves score each other
-for the calibration, so no document is calibrated on counts of its own; the
-final log-odds use both halves. Counts live in 2^20 hashed cells, the bound of
+Labels are learnt from training rows only. For the calibration each of their four
+folds is scored by the counts of the others, so no document is calibrated on
+counts of its own; the final log-odds use all folds. Counts live in 2^20 hashed cells, the bound of
 what is collected and broadcast; all training rows are counted.
 
 Defined cases: null and empty texts have no tokens and get the score of a
@@ -36,7 +37,9 @@ from tidewater.llm.common import WORDS, broadcast_if_small, small_batches
 
 CELLS = 1 << 20
 PREFIXES = (5, 7)
+FOLDS = 4
 BIN = 0.25  # width of a calibration bin
+SHORT = 64  # texts of fewer words count as this long, so that few words are no evidence by themselves
 SCORED = "doc_id long, score double, passages array<struct<start:int,end:int,score:double>>"
 
 
@@ -53,7 +56,7 @@ def cells(word: bytes) -> list[int]:
 class Odds:
     """Log-odds of words from the cells' counts of toxic and clean documents."""
 
-    def __init__(self, toxic: np.ndarray, clean: np.ndarray, strength: float = 20.0, drift: float = 0.15,
+    def __init__(self, toxic: np.ndarray, clean: np.ndarray, strength: float = 10.0, drift: float = 0.75,
                  max_cached: int = 400_000):
         self.toxic, self.clean = toxic, clean
         self.strength, self.drift, self.max_cached = strength, drift, max_cached
@@ -103,10 +106,10 @@ def maximal_segments(score: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, high - low) for a, b, low, high, _ in found]
 
 
-def train_counts(docs: DataFrame, labelled: DataFrame) -> dict[str, np.ndarray]:
-    """Documents per cell by class and half. ``labelled``: label_id, toxic, half."""
+def train_counts(docs: DataFrame, labelled: DataFrame) -> np.ndarray:
+    """Documents per cell: an array by fold and class. ``labelled``: label_id, toxic, fold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[Counter] = [Counter() for _ in range(4)]
+        held: list[Counter] = [Counter() for _ in range(2 * FOLDS)]
 
         def flush() -> Iterator[pa.RecordBatch]:
             for kind, words in enumerate(held):
@@ -121,23 +124,23 @@ def train_counts(docs: DataFrame, labelled: DataFrame) -> dict[str, np.ndarray]:
                 words.clear()
 
         for b in batches:
-            for text, toxic, half in zip(*(c.to_pylist() for c in b.columns)):
-                held[2 * half + toxic].update(set(words_of(text)))
+            for text, toxic, fold in zip(*(c.to_pylist() for c in b.columns)):
+                held[2 * fold + toxic].update(set(words_of(text)))
             if sum(map(len, held)) > 600_000:
                 yield from flush()
         yield from flush()
 
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = ids.join(broadcast_if_small(labelled), ids.doc_id == labelled.label_id).select("text", "toxic", "half")
+    rows = ids.join(broadcast_if_small(labelled), ids.doc_id == labelled.label_id).select("text", "toxic", "fold")
     t = rows.mapInArrow(run, "kind int, cell int, n long").groupBy("kind", "cell").agg(F.sum("n").alias("n")).toArrow()
     kind, cell, n = (t[c].to_numpy() for c in ("kind", "cell", "n"))
-    out = np.zeros((4, CELLS), np.int64)
+    out = np.zeros((2 * FOLDS, CELLS), np.int32)
     out[kind, cell] = n
-    return {"toxic0": out[1], "clean0": out[0], "toxic1": out[3], "clean1": out[2]}
+    return out.reshape(FOLDS, 2, CELLS)
 
 
 def statistic(segments: list[tuple[int, int, float]], n_words: int) -> float:
-    return max((s for _, _, s in segments), default=0.0) - float(np.log1p(n_words))
+    return max((s for _, _, s in segments), default=0.0) - float(np.log(max(n_words, SHORT)))
 
 
 def isotonic(x: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> np.ndarray:
@@ -174,47 +177,48 @@ class Calibration:
         return float(np.clip(np.interp((x - self.place) / self.scale, self.at, self.rate), 0.0, 1.0))
 
     def significant(self, score: float, n_words: int, level: float = 0.01) -> bool:
-        z = (score - float(np.log1p(n_words)) - self.place) / self.scale
+        z = (score - float(np.log(max(n_words, SHORT))) - self.place) / self.scale
         return 1 - np.exp(-np.exp(-z)) < level
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, train: str = "pmod(crc32(cast(doc_id AS string)), 3) <> 1",
-                    half: str = "pmod(crc32(cast(doc_id AS string)), 2)") -> DataFrame:
+                    strength: float = 10.0) -> DataFrame:
     """(doc_id, score, passages) for every row of ``docs``; a passage is a range of
-    words. ``labels``: doc_id, toxic; ``train`` and ``half`` are SQL over its doc_id."""
+    words. ``labels``: doc_id, toxic; ``train`` is SQL over its doc_id."""
     spark = docs.sparkSession
     small_batches(spark)
     labelled = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").filter(train) \
-        .groupBy(F.col("doc_id").cast("long").alias("label_id"), F.expr(half).cast("int").alias("half")) \
-        .agg(F.max(F.col("toxic").cast("int")).alias("toxic")).select("label_id", "toxic", "half")
-    c = train_counts(docs, labelled)
-    counts = spark.sparkContext.broadcast({k: v.astype(np.int32) for k, v in c.items()})
-    both = c["toxic0"] + c["toxic1"], c["clean0"] + c["clean1"]
-    base = float(both[0].sum() / max(1, both[0].sum() + both[1].sum()))
+        .groupBy(F.col("doc_id").cast("long").alias("label_id"), F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS)).cast("int").alias("fold")) \
+        .agg(F.max(F.col("toxic").cast("int")).alias("toxic")).select("label_id", "toxic", "fold")
+    found = train_counts(docs, labelled)
+    counts = spark.sparkContext.broadcast(found)
+    total = found.sum((0, 2), dtype=np.int64)
+    base = float(total[1] / max(1, total.sum()))
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = counts.value
-        other = [Odds(v["toxic1"], v["clean1"]), Odds(v["toxic0"], v["clean0"])]
+        every = v.sum(0)
+        other = [Odds(every[1] - v[f, 1], every[0] - v[f, 0], strength, max_cached=100_000) for f in range(FOLDS)]
         seen: Counter = Counter()
         for b in batches:
-            for text, toxic, half_ in zip(*(x.to_pylist() for x in b.columns)):
+            for text, toxic, fold in zip(*(x.to_pylist() for x in b.columns)):
                 w = words_of(text)
-                x = statistic(maximal_segments(other[half_].of(w)), len(w))
+                x = statistic(maximal_segments(other[fold].of(w)), len(w))
                 seen[(int(np.floor(x / BIN)), toxic)] += 1
         rows = [(k, n if t else 0, 0 if t else n) for (k, t), n in seen.items()]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)],
                                          names=["bin", "toxic", "clean"])
 
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = ids.join(broadcast_if_small(labelled), ids.doc_id == labelled.label_id).select("text", "toxic", "half")
+    rows = ids.join(broadcast_if_small(labelled), ids.doc_id == labelled.label_id).select("text", "toxic", "fold")
     bins = rows.mapInArrow(cross, "bin long, toxic long, clean long").groupBy("bin") \
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).toArrow().sort_by("bin")
     law = Calibration((bins["bin"].to_numpy() + 0.5) * BIN, bins["toxic"].to_numpy().astype(float),
                       bins["clean"].to_numpy().astype(float), base)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = counts.value
-        odds = Odds(v["toxic0"] + v["toxic1"], v["clean0"] + v["clean1"])
+        every = counts.value.sum(0)
+        odds = Odds(every[1], every[0], strength)
         for b in batches:
             scores, passages = [], []
             for text in b.column(1).to_pylist():
