@@ -63,7 +63,8 @@ def _round(cells: DataFrame, quota: int, shards: int, buckets: int) -> DataFrame
     moving = asked.filter("target IS NOT NULL").withColumn("run", F.sum("n").over(in_order))
     # what a bucket may take: its share of the room, the rest going to the first buckets
     share = F.floor(_pick(room, "target") / buckets) + F.when(F.col("b") < F.pmod(_pick(room, "target"), F.lit(buckets)), 1).otherwise(0)
-    moving = moving.withColumn("moved", F.col("run") <= share)
+    # a cell that starts within the room moves; what it takes too much is given back when the counts are evened out
+    moving = moving.withColumn("moved", F.col("run") - F.col("n") < share)
     staying = asked.filter("target IS NULL").withColumn("moved", F.lit(False))
     return staying.unionByName(moving.drop("run")).select(
         *[c for c in cells.columns if c != "label"], F.when(F.col("moved"), F.col("target")).otherwise(F.col("label")).alias("label"), "moved")
@@ -87,7 +88,7 @@ def assign_shards(docs: DataFrame, shards: int = 8, max_rounds: int = 10, part_r
     base = stage(rows.withColumn("first", _bucket("doc_id", buckets=shards, salt=1).cast("int")), "shard-docs")
     total = base.count()
     buckets = max(1, -(-total // part_rows))
-    base = base.withColumn("part", _bucket("doc_id", buckets=buckets, salt=3))
+    base = base.withColumn("part", _bucket("doc_id", buckets=16 * buckets, salt=3))  # keeps cells small
 
     cells = base.groupBy(*GROUP, "part", "first").agg(F.count("*").alias("n"))
     groups = cells.groupBy(*GROUP).agg(F.sum("n").alias("members")).filter("members > 1")
