@@ -302,7 +302,7 @@ def benchmark_blocks(benchmark: DataFrame, window: int, block_bytes: int) -> lis
     return blocks
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard_words: int = 1_000_000,
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard_words: int = 500_000,
                        block_bytes: int = 32 << 20) -> DataFrame:
     """One row per document: counts, digest, verdict, the items hit and the
     removal spans (byte ranges of the text, end not included)."""
