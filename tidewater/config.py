@@ -22,8 +22,9 @@ class RunConfig:
     calendar_end: date = date(2030, 12, 31)
     fiscal_start_month: int = 1
     source_system: str = "oltp"
-    source_schema: str = "SalesLT"
+    source_schema: str = "sales"
     table_format: str = "parquet"
+    mask_salt: str | None = None  # secret of masked exports
     # Layer table prefixes (SNK-3).
     layer_prefix: dict = field(default_factory=lambda: {
         "bronze": "bronze_", "silver": "silver_", "gold": "gold_"})
@@ -53,4 +54,5 @@ FIXTURE_CONFIG = RunConfig(
     calendar_end=date(2005, 12, 31),
     source_system="tpch_fixture",
     source_schema="dbo",
+    mask_salt="fixture-salt",
 )

@@ -17,7 +17,7 @@ EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 
 # Money columns are DECIMAL(19,4) in every published table.
 MONEY = DecimalType(19, 4)
-_QTY = DecimalType(5, 0)
+_QTY = DecimalType(10, 0)  # any INT quantity
 _RATE = DecimalType(5, 4)
 _ONE_TYPE = DecimalType(1, 0)
 
@@ -39,8 +39,8 @@ def money(c: Column) -> Column:
     return c.cast(MONEY)
 
 
-# Factors are narrowed first so the product stays an exact decimal (at most
-# decimal(32,8)) before it is rounded once to DECIMAL(19,4).
+# Factors are narrowed first so the product stays an exact decimal (10+19+5
+# digits and a carry, within 38) before it is rounded once to DECIMAL(19,4).
 def line_total(qty: Column, price: Column, discount: Column) -> Column:
     return money(qty.cast(_QTY) * price * (F.lit(1).cast(_ONE_TYPE) - discount.cast(_RATE)))
 
@@ -63,8 +63,11 @@ def safe_pct(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double")) * F.lit(100.0)
 
 
-def mask_email(c: Column) -> Column:
-    """Keep the domain, replace the local part by a stable hash prefix."""
+def mask_email(c: Column, salt: str) -> Column:
+    """Keep the domain, replace the local part by the salted digest of the whole
+    address. The salt is a secret of the run's configuration: without it, known
+    addresses could be hashed and compared. The full digest keeps people apart."""
+    if not salt:
+        raise ValueError("mask_email needs a salt (RunConfig.mask_salt)")
     return F.when(c.isNotNull(),
-                  F.concat(F.substring(F.sha2(c, 256), 1, 12), F.lit("@"),
-                           F.substring_index(c, "@", -1)))
+                  F.concat(F.sha2(F.concat(F.lit(salt), c), 256), F.lit("@"), F.substring_index(c, "@", -1)))

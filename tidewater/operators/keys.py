@@ -4,7 +4,7 @@
 rows are range-partitioned on the order key, numbered inside each partition,
 and shifted by the row count of all earlier partitions. The offset table has
 one row per range partition, so its broadcast is bounded by the partition
-count, not by the data.
+count, not by the data. There is one path, whatever the size of the input.
 
 The range-partitioned rows are written once with a reliable ``checkpoint()``
 (to ``spark.checkpoint.dir``) before they are counted and numbered. Two
@@ -15,93 +15,57 @@ makes the numbering deterministic and cuts the lineage of the table above it.
 
 from __future__ import annotations
 
-import re
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _ROW_BITS = 33  # monotonically_increasing_id = (partition index << 33) + row index
-# Inputs the optimizer estimates at or below this size are numbered by one
-# ordered window in a single task; anything larger (or unknown) takes the
-# distributed path. Override with spark.tidewater.sequentialKey.singleTaskMaxBytes.
-SINGLE_TASK_MAX_BYTES = 8 * 1024 * 1024
-_UNITS = {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30, "TiB": 1 << 40,
-          "PiB": 1 << 50, "EiB": 1 << 60}
-_SIZE_RE = re.compile(r"sizeInBytes=([0-9.]+(?:E[+-]?[0-9]+)?)\s*(B|KiB|MiB|GiB|TiB|PiB|EiB)")
-
-
-def estimated_size_bytes(df: DataFrame) -> float | None:
-    """The optimizer's size estimate of ``df`` (``EXPLAIN COST``), or None.
-
-    Without CBO, joins are estimated as the product of their inputs, so the
-    estimate errs high: a small estimate is a safe bound, a large one just
-    selects the distributed path."""
-    spark = df.sparkSession
-    view = f"_tw_size_{uuid.uuid4().hex}"
-    df.createOrReplaceTempView(view)
-    try:
-        text = spark.sql(f"EXPLAIN COST SELECT * FROM {view}").first()[0]
-    finally:
-        spark.catalog.dropTempView(view)
-    m = _SIZE_RE.search(text)
-    if not m:
-        return None
-    return float(m.group(1)) * _UNITS[m.group(2)]
-
-
-def _resolve_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def assign_sequential_key(df: DataFrame, order_by: Sequence[str | Column], key: str,
-                          num_partitions: int | None = None,
-                          key_type: str = "int") -> DataFrame:
-    """Add ``key`` = 1..n following ``order_by`` (ascending, NULLs first).
+                          num_partitions: int | None = None) -> DataFrame:
+    """Add the BIGINT ``key`` = 1..n following ``order_by`` (ascending, NULLs first).
 
     The order key should be unique (a natural key); exact duplicates get
-    consecutive numbers in an arbitrary but stable order. Inputs whose
-    estimated size is below ``SINGLE_TASK_MAX_BYTES`` use a plain ordered
-    window; larger ones run one job (sample + shuffle + checkpoint write) when
-    called.
+    consecutive numbers in an arbitrary but stable order. Runs one job (sample,
+    shuffle, checkpoint write) when called. Without ``num_partitions`` Spark
+    chooses the number of ranges from its own settings and the runtime sizes.
     """
     from tidewater.session import ensure_checkpoint_dir
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    limit = float(df.sparkSession.conf.get("spark.tidewater.sequentialKey.singleTaskMaxBytes",
-                                           str(SINGLE_TASK_MAX_BYTES)))
-    size = estimated_size_bytes(df)
-    if size is not None and size <= limit:
-        # Checked small: one ordered window (a single task) is cheapest.
-        return df.withColumn(key, F.row_number().over(Window.orderBy(*order_cols)).cast(key_type))
-    n = _resolve_partitions(df, num_partitions)
     ensure_checkpoint_dir(df.sparkSession)
-    tagged = (df.repartitionByRange(n, *order_cols)
-                .sortWithinPartitions(*order_cols)
-                .withColumn("_kp", F.spark_partition_id())
-                .withColumn("_km", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
+    ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions \
+        else df.repartitionByRange(*order_cols)
+    tagged = (ranged.sortWithinPartitions(*order_cols)
+                    .withColumn("_kp", F.spark_partition_id())
+                    .withColumn("_km", F.monotonically_increasing_id())
+                    .checkpoint(eager=True))
     counts = tagged.groupBy("_kp").agg(F.count(F.lit(1)).alias("_kn"))
-    # At most n rows: a window over them is trivially small.
+    # One row per range: a window over them is trivially small.
     before = Window.orderBy("_kp").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_kp", F.coalesce(F.sum("_kn").over(before), F.lit(0)).alias("_ko"))
     pos = F.col("_km") - F.shiftleft(F.col("_kp").cast("long"), _ROW_BITS)
     return (tagged.join(F.broadcast(offsets), "_kp")
-                  .withColumn(key, (F.col("_ko") + pos + 1).cast(key_type))
+                  .withColumn(key, (F.col("_ko") + pos + 1).cast("long"))
                   .drop("_kp", "_km", "_ko"))
 
 
-def lookup_key(fact: DataFrame, dim: DataFrame, natural_key: str, surrogate_key: str,
-               how: str = "inner", fact_column: str | None = None,
-               as_name: str | None = None) -> DataFrame:
-    """Replace-free surrogate key lookup (JOIN-3 / JOIN-6).
-
-    The dimension side is reduced to (natural key, surrogate key) before the
-    join; Spark picks broadcast or sort-merge from runtime sizes (AQE).
-    """
-    fact_column = fact_column or natural_key
-    as_name = as_name or surrogate_key
-    side = dim.select(F.col(natural_key).alias(fact_column), F.col(surrogate_key).alias(as_name))
-    return fact.join(side, fact_column, how)
+def current_lookup(dim: DataFrame, natural_key: str, columns: Sequence[str]) -> DataFrame:
+    """One row per natural key with ``columns`` of its current version (the one
+    with the largest first column, the surrogate key, if several are open)."""
+    rows = dim.filter(F.col("IsCurrent")) if "IsCurrent" in dim.columns else dim
+    columns = list(columns)
+    picked = rows.groupBy(natural_key).agg(F.max(F.struct(*columns)).alias("_v"))
+    return picked.select(natural_key, *[F.col("_v")[c].alias(c) for c in columns])
+
+
+def version_spans(dim: DataFrame, natural_key: str, surrogate_key: str) -> DataFrame:
+    """Versions of a type-2 dimension as disjoint spans [_from, _to): a version
+    holds until the next one starts, and the first also covers all earlier dates.
+    So a natural key and a date meet at most one row."""
+    order = Window.partitionBy(natural_key).orderBy("EffectiveDate", surrogate_key)
+    return dim.select(
+        natural_key, surrogate_key,
+        F.when(F.row_number().over(order) == 1, F.lit("0001-01-01").cast("date")).otherwise(F.col("EffectiveDate")).alias("_from"),
+        F.coalesce(F.lead("EffectiveDate").over(order), F.lit("9999-12-31").cast("date")).alias("_to"))

@@ -15,8 +15,3 @@ def with_unknown_member(dim: DataFrame, values: dict[str, Column]) -> DataFrame:
         (values[f.name] if f.name in values else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in dim.schema.fields])
     return dim.unionByName(one)
-
-
-def default_unknown_key(col: Column, unknown_key: int = -1) -> Column:
-    """Map a missing optional foreign key to the unknown member (SPEC-10)."""
-    return F.coalesce(col, F.lit(unknown_key))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.operators.dedup import latest_by_key
+
 
 def with_scd_columns(df: DataFrame, effective_date: Column) -> DataFrame:
     """IsCurrent = true, EffectiveDate = load date, EndDate = NULL."""
@@ -17,11 +19,6 @@ def with_scd_columns(df: DataFrame, effective_date: Column) -> DataFrame:
     })
 
 
-def row_hash(cols: Sequence[str]) -> Column:
-    """Change-detection hash over the tracked attributes (NULL-safe)."""
-    return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in cols])
-
-
 def scd2_apply(current: DataFrame, incoming: DataFrame, natural_key: str,
                tracked: Sequence[str], load_date: Column, surrogate_key: str) -> DataFrame:
     """Return the next version of an SCD-2 dimension.
@@ -29,34 +26,42 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, natural_key: str,
     * unchanged keys keep their row;
     * changed keys: the open row is closed (IsCurrent=false, EndDate=load date)
       and a new open row is added;
-    * new keys get a new open row.
-    Surrogate keys of new rows continue after the current maximum, ordered by
-    natural key. Built as joins and unions over the whole table, no MERGE needed.
+    * new keys get a new open row;
+    * rows that are not open (IsCurrent false or NULL) stay as they are.
+
+    The batch is first reduced to one row per natural key. One full outer join
+    pairs every existing row with its incoming row (only open rows can match);
+    each pair gives one or two rows. Only the added rows are numbered, after
+    the current maximum, in natural-key order.
     """
-    tracked = list(tracked)
-    open_rows = current.filter(F.col("IsCurrent"))
-    closed_rows = current.filter(~F.col("IsCurrent"))
-    cur = open_rows.select(F.col(natural_key).alias("_nk"), row_hash(tracked).alias("_old_h"))
-    inc = incoming.withColumn("_new_h", row_hash(tracked))
-    # A left join on the natural key classifies every incoming key in one pass.
-    cmp = inc.join(cur, inc[natural_key] == cur["_nk"], "left")
-    changed_or_new = cmp.filter(F.col("_old_h").isNull() | (F.col("_old_h") != F.col("_new_h")))
-    changed_keys = changed_or_new.filter(F.col("_old_h").isNotNull()).select(F.col(natural_key).alias("_ck"))
-
-    to_close = open_rows.join(changed_keys, open_rows[natural_key] == changed_keys["_ck"], "left_semi")
-    still_open = open_rows.join(changed_keys, open_rows[natural_key] == changed_keys["_ck"], "left_anti")
-    closed_now = to_close.withColumns({"IsCurrent": F.lit(False), "EndDate": load_date.cast("date")})
-
-    # One scalar (the current maximum key) crosses to the driver, nothing else.
-    max_key = current.agg(F.max(surrogate_key)).first()[0] or 0
     from tidewater.operators.keys import assign_sequential_key
-    fresh = changed_or_new.drop("_nk", "_old_h", "_new_h")
-    fresh = assign_sequential_key(fresh, [natural_key], "_seq")
-    fresh = (fresh.withColumn(surrogate_key, (F.lit(int(max_key)) + F.col("_seq")).cast("int"))
-                  .drop("_seq"))
-    fresh = with_scd_columns(fresh, load_date)
-    cols = current.columns
-    return (closed_rows.select(cols)
-            .unionByName(still_open.select(cols))
-            .unionByName(closed_now.select(cols))
-            .unionByName(fresh.select(cols)))
+    tracked, cols = list(tracked), current.columns
+    attributes = [c for c in incoming.columns if c in cols]
+    order = "ModifiedDate" if "ModifiedDate" in attributes else attributes[0]
+    batch = latest_by_key(incoming.select(*attributes), [natural_key], order) if len(attributes) > 1 \
+        else incoming.select(*attributes).distinct()
+    old = current.select(F.struct(*cols).alias("o"),
+                         F.when(F.coalesce(F.col("IsCurrent"), F.lit(False)), F.col(natural_key)).alias("_ok"))
+    new = batch.select(F.struct(*attributes).alias("n"), F.col(natural_key).alias("_nk"))
+    pairs = old.join(new, F.col("_ok") == F.col("_nk"), "full_outer")
+    differs = F.lit(False)
+    for c in tracked:
+        differs = differs | ~F.col("o")[c].eqNullSafe(F.col("n")[c])
+    has_old, has_new = F.col("o").isNotNull(), F.col("n").isNotNull()
+    changed = has_old & has_new & differs
+    kept = F.struct(*[
+        F.when(changed, {"IsCurrent": F.lit(False), "EndDate": load_date.cast("date")}[c]).otherwise(F.col("o")[c]).alias(c)
+        if c in ("IsCurrent", "EndDate") else F.col("o")[c].alias(c) for c in cols])
+    fresh_values = {"IsCurrent": F.lit(True), "EffectiveDate": load_date.cast("date")}
+    added = F.struct(*[
+        (fresh_values[c] if c in fresh_values else F.col("n")[c] if c in attributes else F.lit(None))
+        .cast(current.schema[c].dataType).alias(c) for c in cols])
+    rows = pairs.select(F.explode(F.filter(F.array(
+        F.struct(F.lit(False).alias("added"), F.when(has_old, kept).alias("r")),
+        F.struct(F.lit(True).alias("added"), F.when(changed | ~has_old, added).alias("r"))),
+        lambda x: x["r"].isNotNull())).alias("v")).select("v.added", "v.r.*")
+    # The current maximum key (one scalar) crosses to the driver, nothing else.
+    top = current.agg(F.max(surrogate_key)).first()[0] or 0
+    numbered = assign_sequential_key(rows.filter("added").drop("added"), [natural_key], "_seq") \
+        .withColumn(surrogate_key, (F.lit(int(top)) + F.col("_seq")).cast(current.schema[surrogate_key].dataType))
+    return rows.filter("NOT added").select(cols).unionByName(numbered.select(cols))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import (BinaryType, DecimalType, IntegerType, StringType, StructField,
+from pyspark.sql.types import (BinaryType, DecimalType, IntegerType, LongType, StringType, StructField,
                                StructType, TimestampNTZType)
 
-_I, _S, _T = IntegerType(), StringType(), TimestampNTZType()
+_I, _L, _S, _T = IntegerType(), LongType(), StringType(), TimestampNTZType()
 _M = DecimalType(19, 4)
 
 
@@ -29,13 +29,14 @@ EXPECTED_SOURCE_SCHEMAS = {
     "ProductModelProductDescription": _schema(("ProductModelID", _I), ("ProductDescriptionID", _I),
                                               ("Culture", _S)),
     "Address": _schema(("AddressID", _I), ("AddressLine1", _S), ("AddressLine2", _S), ("City", _S),
-                       ("PostalCode", _S), ("rowguid", _S), ("ModifiedDate", _T)),
-    "SalesOrderHeader": _schema(("SalesOrderID", _I), ("RevisionNumber", _I), ("OrderDate", _T),
+                       ("StateProvince", _S), ("CountryRegion", _S), ("PostalCode", _S), ("rowguid", _S), ("ModifiedDate", _T)),
+    "CustomerAddress": _schema(("CustomerID", _I), ("AddressID", _I), ("AddressType", _S), ("ModifiedDate", _T)),
+    "SalesOrderHeader": _schema(("SalesOrderID", _L), ("RevisionNumber", _I), ("OrderDate", _T),
                                 ("DueDate", _T), ("ShipDate", _T), ("Status", _I), ("CustomerID", _I),
                                 ("ShipToAddressID", _I), ("BillToAddressID", _I), ("ShipMethod", _S),
                                 ("CreditCardApprovalCode", _S), ("SubTotal", _M), ("TaxAmt", _M),
                                 ("Freight", _M), ("Comment", _S), ("ModifiedDate", _T)),
-    "SalesOrderDetail": _schema(("SalesOrderID", _I), ("SalesOrderDetailID", _I), ("OrderQty", _I),
+    "SalesOrderDetail": _schema(("SalesOrderID", _L), ("SalesOrderDetailID", _L), ("OrderQty", _I),
                                 ("ProductID", _I), ("UnitPrice", _M), ("UnitPriceDiscount", _M),
                                 ("ModifiedDate", _T)),
 }

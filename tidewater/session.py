@@ -9,36 +9,42 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tidewater") -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    spark = (builder
+    builder = (builder
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.session.timeZone", "UTC")
-             .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
              .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-             .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-             .config("spark.driver.memory", os.environ.get("TIDEWATER_DRIVER_MEM", "16g"))
-             .getOrCreate())
+             .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+    # A cluster's own choices stand unless given here.
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if os.environ.get("TIDEWATER_DRIVER_MEM"):
+        builder = builder.config("spark.driver.memory", os.environ["TIDEWATER_DRIVER_MEM"])
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a local one only when unset
-    (tests, laptops). On a cluster ``spark.checkpoint.dir`` names shared storage."""
+    """Return the shared checkpoint folder; set a local one only when unset and
+    the session is local (tests, laptops). On a cluster ``spark.checkpoint.dir``
+    must name shared storage: executors do not see the driver's own disk."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not (sc.master or "").startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="tidewater-ckpt-")
     sc.setCheckpointDir(path)
     return path

@@ -3,16 +3,15 @@
 The driver's tables carry no NULLs, duplicates or bad values, so those are
 derived deterministically from the keys (e.g. every 7th customer has a broken
 e-mail, every 10th customer also has an older version). Every column is a
-built-in expression; the line number is assigned with the distributed
-``assign_sequential_key`` because (order, line number) is not unique.
+built-in expression. A line's number is its place inside its order, so no global
+order is needed and the number prunes away where it is not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.operators.keys import assign_sequential_key
 from tidewater.sources.model import SalesSources
 
 LINEITEM_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -24,17 +23,8 @@ def ts(value: str) -> Column:
     return F.lit(value).cast("timestamp_ntz")
 
 
-_RAW: dict = {}
-
-
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One DataFrame per input file and session (the files are read-only), so
-    repeated plans do not list and footer-read the same file again."""
-    key = (id(spark), sf_dir, name)
-    cached = _RAW.get(key)
-    if cached is None or cached.sparkSession is not spark:
-        cached = _RAW[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return cached
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _s(c: Column) -> Column:
@@ -129,14 +119,17 @@ def fixture_model_description(models: DataFrame) -> DataFrame:
 
 def fixture_address(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
-    nation = raw(spark, sf_dir, "nation")  # 25 rows, a fixed code list
+    # small code lists; Spark broadcasts them by their size
+    places = raw(spark, sf_dir, "nation").join(raw(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     return (raw(spark, sf_dir, "customer")
-            .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(
                 k.cast("int").alias("AddressID"),
                 F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")).alias("AddressLine1"),
                 F.when(k % 2 == 1, F.concat(F.lit("Unit "), _s(k))).alias("AddressLine2"),
                 F.lower("n_name").alias("City"),
+                F.concat(F.lower("n_name"), F.lit(" ")).alias("StateProvince"),
+                F.lower("r_name").alias("CountryRegion"),
                 F.when(k % 17 != 0, F.concat(F.lit("pc"), _s(k))).alias("PostalCode"),
                 F.concat(F.lit("adr-"), _s(k)).alias("rowguid"),
                 ts("2001-01-01").alias("ModifiedDate")))
@@ -159,7 +152,7 @@ def map_orders(orders: DataFrame) -> DataFrame:
     od = F.col("o_orderdate")
     total = F.col("o_totalprice").cast("decimal(12,2)")
     return orders.select(
-        k.cast("int").alias("SalesOrderID"),
+        k.cast("long").alias("SalesOrderID"),
         F.lit(1).cast("int").alias("RevisionNumber"),
         od.alias("OrderDate"),
         (od + F.expr("INTERVAL 12 DAYS")).alias("DueDate"),
@@ -181,11 +174,12 @@ def map_orders(orders: DataFrame) -> DataFrame:
 
 def fixture_order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = raw(spark, sf_dir, "lineitem")
-    numbered = assign_sequential_key(lines, list(LINEITEM_COLUMNS), "SalesOrderDetailID")
+    in_order = Window.partitionBy("l_orderkey").orderBy(*LINEITEM_COLUMNS)
+    numbered = lines.withColumn("SalesOrderDetailID", F.row_number().over(in_order).cast("long"))
     part = raw(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     return (numbered.join(part, numbered["l_partkey"] == part["p_partkey"])
             .select(
-                F.col("l_orderkey").cast("int").alias("SalesOrderID"),
+                F.col("l_orderkey").cast("long").alias("SalesOrderID"),
                 "SalesOrderDetailID",
                 F.col("l_quantity").cast("smallint").alias("OrderQty"),
                 F.col("l_partkey").cast("int").alias("ProductID"),

@@ -11,25 +11,25 @@ from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                replace_schema: bool = False, partition_by: list[str] | None = None) -> int:
-    """Write ``df`` and return the number of rows written."""
+                replace_schema: bool = False, partition_by: list[str] | None = None,
+                name: str | None = None) -> int:
+    """Write ``df`` and return the number of rows written. With ``name`` the table
+    is also entered in Spark's session catalog, at the same path.
+    ``replace_schema`` is for formats that keep a schema of their own (Delta);
+    Parquet overwrites replace it anyway. A partitioned write first brings the
+    rows of a partition value together, in as many tasks as they need (rebalanced
+    by size), so tasks do not write a small file for every value each."""
     obs = Observation("write_stats")
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.format(fmt).mode(mode)
     if replace_schema:
         writer = writer.option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
-    return int(obs.get["rows"])
-
-
-def save_as_table(df: DataFrame, name: str, fmt: str = "parquet", mode: str = "overwrite",
-                  replace_schema: bool = False) -> int:
-    obs = Observation("save_stats")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.format(fmt).mode(mode)
-    if replace_schema:
-        writer = writer.option("overwriteSchema", "true")
-    writer.saveAsTable(name)
+    if name:
+        writer.option("path", path).saveAsTable(name)
+    else:
+        writer.save(path)
     return int(obs.get["rows"])

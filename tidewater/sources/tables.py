@@ -1,27 +1,29 @@
-"""Readers for stored tables (SRC-1, SRC-2, SRC-5)."""
+"""Readers for stored tables: by catalog name or path (SRC-2, SRC-5)."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Scan a columnar table by storage path; filters and projections applied
-    later are pushed into the scan by Catalyst."""
-    return spark.read.format(fmt).load(path)
+#: What Spark reports when a table or path does not exist.
+NOT_FOUND = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
 
 
 def read_catalog(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name)
 
 
-def read_optional(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """The table when it can be resolved, else None (the caller falls back to
-    typed NULL columns)."""
+def read_optional(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` gives, or None where its table or path does not exist. Any
+    other error (rights, storage, format) is the caller's."""
     try:
-        df = spark.read.format(fmt).load(path)
+        df = read()
         df.schema  # resolve now, not at the first action
         return df
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in NOT_FOUND:
+            return None
+        raise
