@@ -7,6 +7,7 @@ is the same computation in DuckDB over the same parquet views.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -36,20 +37,16 @@ def register(name: str, sql: str | None):
     return deco
 
 
-_STARS: dict = {}
+def star(spark: SparkSession, sf_dir: str) -> Star:
+    """A star over ``sf_dir`` as the files are now; its tables are lazy, so a query
+    builds what it reads."""
+    return Star.from_fixture(spark, sf_dir)
 
 
-def star(spark: SparkSession, sf_dir: str, fresh: bool = False) -> Star:
-    """The session's star over ``sf_dir``: its tables are lazy DataFrames
-    defined once and shared by every query, as in a notebook session.
-    ``fresh`` builds an independent one (used to prove reruns are identical)."""
-    if fresh:
-        return Star.from_fixture(spark, sf_dir)
-    key = (id(spark), sf_dir)
-    cached = _STARS.get(key)
-    if cached is None or cached.spark is not spark:
-        cached = _STARS[key] = Star.from_fixture(spark, sf_dir)
-    return cached
+def _run_folder(spark: SparkSession, kind: str) -> str:
+    """A new folder in the cluster's shared checkpoint folder."""
+    from tidewater.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidewater-{kind}/{uuid.uuid4().hex}"
 
 
 W = O.with_pipeline
@@ -71,6 +68,13 @@ def bronze_ingest_orders(spark, sf):
     return star(spark, sf).bronze["header"]
 
 
+for _key in O.BRONZE_NAMES:
+    if _key != "header":
+        def _bronze(spark, sf, _key=_key):
+            return star(spark, sf).bronze[_key]
+        register(f"bronze_{_key}", W(f"SELECT * FROM brz_{_key}"))(_bronze)
+
+
 for _name, _cte, _key in [("silver_customer", "slv_customer", "customer"),
                           ("silver_product", "slv_product", "product"),
                           ("silver_product_category", "slv_product_category", "product_category"),
@@ -255,7 +259,7 @@ def fk_orphans(spark, sf):
     st = star(spark, sf)
     dims = {"dim_customer": st.dim_customer, "dim_product": st.dim_product,
             "dim_date": st.dim_date, "dim_address": st.dim_address}
-    return Q.fk_orphans(st.fact_lines, [(fk, dims[cte], dk, dname) for fk, cte, dk, dname in _FKS])
+    return Q.fk_orphans(st.fact_places, [(fk, dims[cte], dk, dname) for fk, cte, dk, dname in _FKS])
 
 
 _DIM_KEYS = [("Dim_Customer", "dim_customer", "CustomerKey"), ("Dim_Product", "dim_product", "ProductKey"),
@@ -339,20 +343,27 @@ def source_counts(spark, sf):
 _SILVER_PROFILE = [("silver_Customer", "slv_customer", 11, 4), ("silver_Product", "slv_product", 21, 6),
                    ("silver_ProductCategory", "slv_product_category", 7, 3),
                    ("silver_ProductModel", "slv_product_model", 5, 2),
-                   ("silver_Address", "slv_address", 9, 3), ("silver_SalesOrderHeader", "slv_header", 23, 6),
+                   ("silver_Address", "slv_address", 11, 3), ("silver_SalesOrderHeader", "slv_header", 23, 6),
                    ("silver_SalesOrderDetail", "slv_detail", 14, 5)]
-_SILVER_KEYS = {"silver_Customer": "customer", "silver_Product": "product",
-                "silver_ProductCategory": "product_category", "silver_ProductModel": "product_model",
-                "silver_Address": "address", "silver_SalesOrderHeader": "header",
-                "silver_SalesOrderDetail": "detail"}
+# Bronze tables carry 4 audit columns; gold tables carry none.
+_BRONZE_COLUMNS = {"customer": 9, "product": 15, "product_category": 5, "product_model": 4, "product_description": 3,
+                   "model_description": 4, "address": 9, "customer_address": 4, "header": 16, "detail": 7}
+_BRONZE_PROFILE = [(f"bronze_{O.BRONZE_NAMES[k]}", f"brz_{k}", n + 4, 4) for k, n in _BRONZE_COLUMNS.items()]
+_GOLD_PROFILE = [("gold_Dim_Date", "dim_date", 19, 0), ("gold_Dim_Customer", "dim_customer", 13, 0),
+                 ("gold_Dim_Product", "dim_product", 23, 0), ("gold_Dim_Address", "dim_address", 12, 0),
+                 ("gold_Fact_Sales", "fact_sales", 23, 0)]
 
 
 @register("layer_profile", W("\nUNION ALL\n".join(
     f"SELECT '{name}' AS table_name, COUNT(*) AS rows, {n} AS columns, {h} AS quality_columns FROM {cte}"
-    for name, cte, n, h in _SILVER_PROFILE)))
+    for name, cte, n, h in _BRONZE_PROFILE + _SILVER_PROFILE + _GOLD_PROFILE)))
 def layer_profile(spark, sf):
+    """Rows and columns of every table of all three layers (DQ-8)."""
     st = star(spark, sf)
-    return Q.layer_profile({name: st.silver[key] for name, key in _SILVER_KEYS.items()})
+    frames = {f"bronze_{O.BRONZE_NAMES[k]}": df for k, df in st.bronze.items()}
+    frames.update({f"silver_{O.BRONZE_NAMES[k]}": df for k, df in st.silver.items()})
+    frames.update({f"gold_{k}": df for k, df in st.gold().items()})
+    return Q.layer_profile(frames)
 
 
 _LAYER_TABLES = ([("bronze", f"brz_{k}") for k in O.BRONZE_NAMES]
@@ -428,13 +439,14 @@ def calendar_gaps(spark, sf):
 
 
 @register("geo_rollup", W(f"""
-SELECT a.City, CAST(GROUPING(a.City) AS INTEGER) AS Level, COUNT(DISTINCT f.SalesOrderID) AS OrderCount,
-       {msum('f.LineTotal')} AS TotalRevenue
+SELECT a.CountryRegion, a.StateProvince, a.City,
+       CAST(GROUPING(a.CountryRegion, a.StateProvince, a.City) AS INTEGER) AS Level,
+       COUNT(DISTINCT f.SalesOrderID) AS OrderCount, {msum('f.LineTotal')} AS TotalRevenue
 FROM fact_sales f LEFT JOIN dim_address a ON f.ShipToAddressKey = a.AddressKey
-GROUP BY ROLLUP (a.City)"""))
+GROUP BY ROLLUP (a.CountryRegion, a.StateProvince, a.City)"""))
 def geo_rollup(spark, sf):
     st = star(spark, sf)
-    return A.geo_rollup(st.fact_lines, st.dim_address).withColumn("Level", F.col("Level").cast("int"))
+    return A.geo_rollup(st.fact_places, st.dim_address).withColumn("Level", F.col("Level").cast("int"))
 
 
 @register("unknown_member_fact", W("""
@@ -455,6 +467,11 @@ def unknown_member_fact(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+#: Columns the fixture's sources have beyond the expected schemas.
+_UNEXPECTED = {"ProductCategory": ["Name"], "ProductModel": ["Name"], "ProductDescription": ["ModifiedDate"],
+               "ProductModelProductDescription": ["ModifiedDate"]}
+
+
 def _schema_check_sql() -> str:
     src = dict((label, cte) for label, cte in _SOURCES)
     parts = []
@@ -466,6 +483,9 @@ def _schema_check_sql() -> str:
   any_value({actual}) AS actual_type,
   CASE WHEN any_value({actual}) = '{exp}' THEN 'ok' ELSE 'type_mismatch' END AS status,
   COUNT(*) FILTER (WHERE {f.name} IS NULL) AS null_count FROM {src[table]}""")
+        for name in _UNEXPECTED.get(table, ()):
+            parts.append(f"""SELECT '{table}', '{name}', CAST(NULL AS VARCHAR), any_value({DUCK_TO_SPARK_TYPE_SQL.format(c=name)}),
+  'unexpected', COUNT(*) FILTER (WHERE {name} IS NULL) FROM {src[table]}""")
     return W("\nUNION ALL\n".join(parts))
 
 
@@ -475,20 +495,126 @@ def schema_check(spark, sf):
     return Q.schema_check({name: df for name, _, df in st.sources.items()}, EXPECTED_SOURCE_SCHEMAS)
 
 
-@register("rerun_diff", W("""
-SELECT COUNT(*) AS rows_first, COUNT(*) AS rows_second, CAST(0 AS BIGINT) AS only_in_first,
-       CAST(0 AS BIGINT) AS only_in_second, CAST(0 AS BIGINT) AS changed FROM fact_sales"""))
+def _diff_sql(first: str, second: str) -> str:
+    differs = " OR ".join(f"a.{c} IS DISTINCT FROM b.{c}" for c in G.FACT_SALES_COLUMNS if c != "SalesKey")
+    return f"""
+SELECT COUNT(a.SalesKey) AS rows_first, COUNT(b.SalesKey) AS rows_second,
+       COUNT(*) FILTER (WHERE b.SalesKey IS NULL) AS only_in_first, COUNT(*) FILTER (WHERE a.SalesKey IS NULL) AS only_in_second,
+       COUNT(*) FILTER (WHERE a.SalesKey IS NOT NULL AND b.SalesKey IS NOT NULL AND ({differs})) AS changed
+FROM {first} a FULL JOIN {second} b ON a.SalesKey = b.SalesKey"""
+
+
+@register("rerun_diff", W(_diff_sql("fact_sales", "fact_sales")))
 def rerun_diff(spark, sf):
     """Two independent builds of the fact must be identical (SPEC-12)."""
-    first, second = star(spark, sf, fresh=True).fact_sales, star(spark, sf, fresh=True).fact_sales
-    cols = [c for c in first.columns if c != "SalesKey"]
-    a = first.select("SalesKey", F.xxhash64(*cols).alias("_h1"))
-    b = second.select("SalesKey", F.xxhash64(*cols).alias("_h2"))
-    j = a.join(b, "SalesKey", "full_outer")
-    return j.agg(F.count("_h1").alias("rows_first"), F.count("_h2").alias("rows_second"),
-                 F.count_if(F.col("_h2").isNull()).alias("only_in_first"),
-                 F.count_if(F.col("_h1").isNull()).alias("only_in_second"),
-                 F.count_if(F.col("_h1") != F.col("_h2")).alias("changed"))
+    return Q.table_diff(star(spark, sf).fact_sales, star(spark, sf).fact_sales, ["SalesKey"])
+
+
+# ------------------------------------------ the same checks on a fact with known faults
+
+_FAULTY_CTE = {"faulty": """
+  SELECT * REPLACE (CASE WHEN SalesOrderID % 11 = 0 THEN CustomerKey + 10000000 ELSE CustomerKey END AS CustomerKey,
+      CASE WHEN SalesOrderID % 17 = 0 THEN -5 ELSE ShipToAddressKey END AS ShipToAddressKey,
+      CASE WHEN SalesOrderID % 13 = 0 THEN CAST(LineTotal + 1 AS DECIMAL(19,4)) ELSE LineTotal END AS LineTotal,
+      CASE WHEN SalesOrderID % 19 = 0 THEN NULL ELSE BillToAddressKey END AS BillToAddressKey)
+  FROM fact_sales WHERE SalesOrderID % 7 <> 0"""}
+
+
+def faulty_fact(fact: DataFrame) -> DataFrame:
+    """A fact with known faults: lost orders, unknown customers and ship-to
+    addresses, wrong line totals, lost bill-to addresses."""
+    k = F.col("SalesOrderID")
+    faults = {"CustomerKey": F.when(k % 11 == 0, F.col("CustomerKey") + 10000000).otherwise(F.col("CustomerKey")),
+              "ShipToAddressKey": F.when(k % 17 == 0, F.lit(-5)).otherwise(F.col("ShipToAddressKey")),
+              "LineTotal": F.when(k % 13 == 0, (F.col("LineTotal") + 1).cast("decimal(19,4)")).otherwise(F.col("LineTotal")),
+              "BillToAddressKey": F.when(k % 19 == 0, F.lit(None)).otherwise(F.col("BillToAddressKey"))}
+    return fact.filter(k % 7 != 0).withColumns({c: v.cast(fact.schema[c].dataType) for c, v in faults.items() if c in fact.columns})
+
+
+@register("faulty_fk_orphans", W("\nUNION ALL\n".join(f"""
+SELECT '{fk}' AS foreign_key, '{dname}' AS dimension, COUNT(f.{fk}) AS non_null_keys,
+       COUNT(*) FILTER (WHERE f.{fk} IS NULL) AS null_keys,
+       COUNT(*) FILTER (WHERE f.{fk} IS NOT NULL AND k._dk IS NULL) AS orphans
+FROM faulty f LEFT JOIN (SELECT DISTINCT {dk} AS _dk FROM {cte}) k ON f.{fk} = k._dk"""
+    for fk, cte, dk, dname in _FKS), _FAULTY_CTE))
+def faulty_fk_orphans(spark, sf):
+    """Orphans per foreign key where there are some (DQ-1)."""
+    st = star(spark, sf)
+    dims = {"dim_customer": st.dim_customer, "dim_product": st.dim_product,
+            "dim_date": st.dim_date, "dim_address": st.dim_address}
+    return Q.fk_orphans(faulty_fact(st.fact_places), [(fk, dims[cte], dk, dname) for fk, cte, dk, dname in _FKS])
+
+
+@register("faulty_orphan_rows", W("""
+SELECT f.SalesOrderID, f.SalesOrderDetailID, f.CustomerKey FROM faulty f
+WHERE f.CustomerKey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_customer c WHERE c.CustomerKey = f.CustomerKey)""", _FAULTY_CTE))
+def faulty_orphan_rows(spark, sf):
+    """The fact rows whose customer is missing from the dimension (JOIN-10)."""
+    st = star(spark, sf)
+    rows = Q.orphan_rows(faulty_fact(st.fact_lines), st.dim_customer, "CustomerKey", "CustomerKey")
+    return rows.select("SalesOrderID", "SalesOrderDetailID", "CustomerKey")
+
+
+@register("faulty_key_uniqueness", W("""
+SELECT 'Dim_Customer' AS dimension, 'CustomerKey' AS key_column, COUNT(*) AS rows, COUNT(DISTINCT CustomerKey) AS distinct_keys,
+       COUNT(*) = COUNT(DISTINCT CustomerKey) AS is_unique
+FROM (SELECT CustomerKey FROM dim_customer UNION ALL SELECT CustomerKey FROM dim_customer WHERE CustomerKey % 9 = 0)"""))
+def faulty_key_uniqueness(spark, sf):
+    """Every ninth customer twice (DQ-2)."""
+    d = star(spark, sf).dim_customer
+    return Q.key_uniqueness({"Dim_Customer": (d.unionByName(d.filter("CustomerKey % 9 = 0")), "CustomerKey")})
+
+
+@register("faulty_row_reconciliation", W("""
+SELECT 'SalesOrderDetail' AS source_table, 'Fact_Sales' AS target_table, s AS source_rows, t AS target_rows,
+       s - t AS difference, s = t AS is_match
+FROM (SELECT (SELECT COUNT(*) FROM brz_detail) AS s, (SELECT COUNT(*) FROM faulty) AS t)""", _FAULTY_CTE))
+def faulty_row_reconciliation(spark, sf):
+    """Lost lines show up as a difference (DQ-3)."""
+    st = star(spark, sf)
+    return Q.row_reconciliation(st.bronze["detail"], faulty_fact(st.fact_lines), "SalesOrderDetail", "Fact_Sales")
+
+
+@register("faulty_measure_check", W("""
+SELECT COUNT(*) AS rows_checked,
+       COUNT(*) FILTER (WHERE abs(CAST(OrderQty AS DOUBLE) * CAST(UnitPrice AS DOUBLE)
+             * (1.0 - CAST(UnitPriceDiscount AS DOUBLE)) - CAST(LineTotal AS DOUBLE)) >= 0.01) AS mismatches
+FROM faulty""", _FAULTY_CTE))
+def faulty_measure_check(spark, sf):
+    """Wrong line totals are counted (DQ-4)."""
+    return Q.measure_check(faulty_fact(star(spark, sf).fact_lines))
+
+
+@register("faulty_revenue_reconciliation", W(f"""
+SELECT s AS source_revenue, t AS star_revenue, CAST(s - t AS DECIMAL(38,4)) AS difference
+FROM (SELECT (SELECT {msum('LineTotal')} FROM slv_detail) AS s, (SELECT {msum('LineTotal')} FROM faulty) AS t)""", _FAULTY_CTE))
+def faulty_revenue_reconciliation(spark, sf):
+    """Lost and wrong lines change the revenue (SPEC-7)."""
+    st = star(spark, sf)
+    return Q.revenue_reconciliation(st.silver["detail"], faulty_fact(st.fact_lines))
+
+
+_FAULTY_DAYS = f"SELECT d FROM ({_SPAN_DAYS}) WHERE day(d) <> 15 UNION ALL SELECT d FROM ({_SPAN_DAYS}) WHERE day(d) = 2"
+
+
+@register("faulty_calendar_gaps", W("""
+SELECT COUNT(*) AS rows, COUNT(DISTINCT d) AS distinct_dates, MIN(d) AS first_date, MAX(d) AS last_date,
+       CAST(date_diff('day', MIN(d), MAX(d)) + 1 AS BIGINT) AS expected_days,
+       CAST(date_diff('day', MIN(d), MAX(d)) + 1 - COUNT(DISTINCT d) AS BIGINT) AS missing_days,
+       COUNT(*) - COUNT(DISTINCT d) AS duplicate_rows
+FROM (""" + _FAULTY_DAYS + ")", {"span": _SPAN_SQL}))
+def faulty_calendar_gaps(spark, sf):
+    """A calendar without the 15th and with the 2nd of each month twice (SPEC-4)."""
+    days = _order_span(star(spark, sf))
+    day = F.dayofmonth("Date")
+    return Q.calendar_check(G.date_attributes(days.filter(day != 15).unionByName(days.filter(day == 2))))
+
+
+@register("faulty_rerun_diff", W(_diff_sql("fact_sales", "faulty"), _FAULTY_CTE))
+def faulty_rerun_diff(spark, sf):
+    """A second build that lost and changed rows (SPEC-12)."""
+    fact = star(spark, sf).fact_sales
+    return Q.table_diff(fact, faulty_fact(fact), ["SalesKey"])
 
 
 # =========================================================== extensions
@@ -503,7 +629,7 @@ _SCD_CTES = {
         CASE WHEN regexp_matches(EmailAddress, {O.EMAIL_RE}) THEN lower(trim(EmailAddress)) END AS EmailAddress,
         ModifiedDate FROM brz_customer WHERE ModifiedDate < TIMESTAMP '2000-06-01 00:00:00'""",
                             "CustomerID", "Title, Suffix, CompanyName, SalesPerson, EmailAddress"),
-    "scd_cur": f"""SELECT CAST(row_number() OVER (ORDER BY CustomerID) AS INTEGER) AS CustomerKey, {_DIM_CUST_ATTRS},
+    "scd_cur": f"""SELECT CAST(row_number() OVER (ORDER BY CustomerID) AS BIGINT) AS CustomerKey, {_DIM_CUST_ATTRS},
       TRUE AS IsCurrent, DATE '2000-06-01' AS EffectiveDate, CAST(NULL AS DATE) AS EndDate FROM scd_old_slv""",
     "scd_inc": f"SELECT {_DIM_CUST_ATTRS} FROM slv_customer",
     "scd_chg": "SELECT i.* FROM scd_inc i LEFT JOIN scd_cur c ON i.CustomerID = c.CustomerID AND c.IsCurrent "
@@ -517,21 +643,54 @@ SELECT * REPLACE (FALSE AS IsCurrent, DATE '2001-01-01' AS EndDate) FROM scd_cur
 UNION ALL
 SELECT * FROM scd_cur WHERE NOT IsCurrent OR CustomerID NOT IN (SELECT CustomerID FROM scd_chg)
 UNION ALL
-SELECT CAST((SELECT coalesce(max(CustomerKey), 0) FROM scd_cur) + row_number() OVER (ORDER BY CustomerID) AS INTEGER)
+SELECT CAST((SELECT coalesce(max(CustomerKey), 0) FROM scd_cur) + row_number() OVER (ORDER BY CustomerID) AS BIGINT)
          AS CustomerKey, CustomerID, Title, FirstName, LastName, Suffix, CompanyName, SalesPerson, EmailAddress,
        ModifiedDate, TRUE AS IsCurrent, DATE '2001-01-01' AS EffectiveDate, CAST(NULL AS DATE) AS EndDate
 FROM scd_chg""", _SCD_CTES))
 def scd2_apply_customers(spark, sf):
     """Customer dimension loaded at 2000-06-01, then the current load applied as SCD-2."""
-    st = star(spark, sf)
-    old_cfg = st.cfg.with_(as_of=SCD_CUTOFF)
+    return _scd2_customers(star(spark, sf), SCD_CUTOFF, None)
+
+
+def _scd2_customers(st: Star, first_load: date, second_load: date | None) -> DataFrame:
+    old_cfg = st.cfg.with_(as_of=first_load)
     old_bronze = st.bronze["customer"].filter(F.col("ModifiedDate") < F.lit("2000-06-01").cast("timestamp_ntz"))
     current = G.dim_customer(S.silver_customer(old_bronze, old_cfg), old_cfg)
     incoming = st.silver["customer"].select(
         "CustomerID", "Title", F.lit(None).cast("string").alias("FirstName"),
         F.lit(None).cast("string").alias("LastName"), "Suffix", "CompanyName", "SalesPerson",
         "EmailAddress", "ModifiedDate")
-    return scd2_apply(current, incoming, "CustomerID", _SCD_TRACKED, st.cfg.today(), "CustomerKey")
+    today = st.cfg.today() if second_load is None else F.lit(second_load.isoformat()).cast("date")
+    return scd2_apply(current, incoming, "CustomerID", _SCD_TRACKED, today, "CustomerKey")
+
+
+_VERSIONS_CTES = {**_SCD_CTES, "versions": """
+  SELECT CustomerID, CustomerKey, CompanyName, DATE '0001-01-01' AS f,
+         CASE WHEN CustomerID IN (SELECT CustomerID FROM scd_chg) THEN DATE '1997-01-01' ELSE DATE '9999-12-31' END AS t
+  FROM scd_cur
+  UNION ALL
+  SELECT CustomerID, (SELECT coalesce(max(CustomerKey), 0) FROM scd_cur) + row_number() OVER (ORDER BY CustomerID), CompanyName,
+         CASE WHEN CustomerID IN (SELECT CustomerID FROM scd_cur) THEN DATE '1997-01-01' ELSE DATE '0001-01-01' END,
+         DATE '9999-12-31'
+  FROM scd_chg"""}
+
+
+@register("fact_on_scd2_customers", W("""
+SELECT f.SalesOrderID, f.SalesOrderDetailID, f.OrderDateKey, v.CustomerKey, v.CompanyName, f.LineTotal
+FROM fact_sales f JOIN slv_header h ON f.SalesOrderID = h.SalesOrderID
+JOIN versions v ON v.CustomerID = h.CustomerID AND CAST(h.OrderDate AS DATE) >= v.f AND CAST(h.OrderDate AS DATE) < v.t""",
+                                     _VERSIONS_CTES))
+def fact_on_scd2_customers(spark, sf):
+    """The fact on a customer dimension with history: each order meets the version
+    valid on its date, so there are as many rows as lines (JOIN-3 with SPEC-3)."""
+    st = star(spark, sf)
+    s = st.silver
+    customers = _scd2_customers(st, date(1995, 1, 1), date(1997, 1, 1))
+    fact = G.fact_sales(s["detail"], s["header"], st.dim_product, customers, None, st.cfg,
+                        with_sales_key=False, customer_versions="as_of")
+    names = customers.select("CustomerKey", "CompanyName")
+    return fact.join(names, "CustomerKey").select(
+        "SalesOrderID", "SalesOrderDetailID", "OrderDateKey", "CustomerKey", "CompanyName", "LineTotal")
 
 
 _UPSERT_COLS = "SalesOrderID, RevisionNumber, OrderDate, Status, TotalDue, ModifiedDate"
@@ -542,18 +701,21 @@ SELECT {_UPSERT_COLS} FROM slv_header
   WHERE OrderDate < TIMESTAMP '1998-01-01 00:00:00'
     AND SalesOrderID NOT IN (SELECT SalesOrderID FROM slv_header WHERE OrderDate >= TIMESTAMP '1997-07-01 00:00:00')
 UNION ALL
-SELECT SalesOrderID, CAST(RevisionNumber + 1 AS INTEGER) AS RevisionNumber, OrderDate, Status, TotalDue,
+SELECT SalesOrderID, CAST(RevisionNumber + CASE WHEN SalesOrderID % 3 = 0 THEN 6 ELSE 1 END AS INTEGER) AS RevisionNumber, OrderDate, Status, TotalDue,
        {O.LOAD_TS} AS ModifiedDate
 FROM slv_header WHERE OrderDate >= TIMESTAMP '1997-07-01 00:00:00'"""))
 def upsert_orders(spark, sf):
-    """Orders loaded up to 1997, then a revised batch from 1997-07 on is merged by key."""
+    """Orders loaded up to 1997, then a revised batch from 1997-07 on is merged by key.
+    Every third order comes twice in the batch; its later revision wins."""
     st = star(spark, sf)
     h = st.silver["header"].select(*[c.strip() for c in _UPSERT_COLS.split(",")])
     target = h.filter(F.col("OrderDate") < F.lit("1998-01-01").cast("timestamp_ntz"))
     updates = (h.filter(F.col("OrderDate") >= F.lit("1997-07-01").cast("timestamp_ntz"))
                 .withColumns({"RevisionNumber": (F.col("RevisionNumber") + 1).cast("int"),
                               "ModifiedDate": st.cfg.now()}))
-    return upsert(target, updates, ["SalesOrderID"])
+    again = (updates.filter(F.col("SalesOrderID") % 3 == 0)
+                    .withColumn("RevisionNumber", (F.col("RevisionNumber") + 5).cast("int")))
+    return upsert(target, updates.unionByName(again), ["SalesOrderID"], "RevisionNumber")
 
 
 @register("incremental_orders", W("""
@@ -567,39 +729,80 @@ def incremental_orders(spark, sf):
     return rows_after(src, "ModifiedDate", high_water_mark(loaded, "ModifiedDate"))
 
 
+@register("incremental_late_orders", W("""
+SELECT * FROM brz_header WHERE ModifiedDate >= m AND NOT (ModifiedDate = m AND SalesOrderID % 2 = 0)""".replace(
+    " m", " (SELECT max(ModifiedDate) FROM brz_header WHERE ModifiedDate <= TIMESTAMP '1998-06-30 00:00:00' AND SalesOrderID % 2 = 0)")))
+def incremental_late_orders(spark, sf):
+    """Half of the orders are loaded; the next load also finds the rows that came
+    late with the mark's own timestamp (EXT-1)."""
+    src = star(spark, sf).bronze["header"]
+    loaded = src.filter((F.col("ModifiedDate") <= F.lit("1998-06-30").cast("timestamp_ntz")) & (F.col("SalesOrderID") % 2 == 0))
+    return rows_after(src, "ModifiedDate", high_water_mark(loaded, "ModifiedDate"), loaded, ["SalesOrderID"])
+
+
 @register("masked_customers", W("""
 SELECT CustomerKey, CustomerID, CompanyName,
-       CASE WHEN EmailAddress IS NOT NULL THEN concat(substring(sha256(EmailAddress), 1, 12), '@',
+       CASE WHEN EmailAddress IS NOT NULL THEN concat(sha256(concat('fixture-salt', EmailAddress)), '@',
             string_split(EmailAddress, '@')[-1]) END AS EmailAddress
 FROM dim_customer"""))
 def masked_customers(spark, sf):
     from tidewater.functions.cleanse import mask_email
-    d = star(spark, sf).dim_customer
-    return d.select("CustomerKey", "CustomerID", "CompanyName", mask_email(F.col("EmailAddress")).alias("EmailAddress"))
+    st = star(spark, sf)
+    return st.dim_customer.select("CustomerKey", "CustomerID", "CompanyName",
+                                  mask_email(F.col("EmailAddress"), st.cfg.mask_salt).alias("EmailAddress"))
 
 
-@register("pipeline_run_log", None)
-def pipeline_run_log(spark, sf):
-    """Run bronze -> silver -> gold into a fresh folder under the session's
-    checkpoint directory and return the run log (durations vary, so the
-    driver checks rows only)."""
-    import uuid
+_PIPELINE_TABLES = ([("bronze", t, f"brz_{k}") for k, t in O.BRONZE_NAMES.items()]
+                    + [("silver", name.removeprefix("silver_"), cte) for name, cte, _, _ in _SILVER_PROFILE]
+                    + [("gold", name.removeprefix("gold_"), cte) for name, cte, _, _ in _GOLD_PROFILE])
+_PIPELINE_LOG_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{layer}' AS layer, '{t}' AS table_name, 'success' AS status, COUNT(*) AS rows, CAST(NULL AS VARCHAR) AS error FROM {cte}"
+    for layer, t, cte in _PIPELINE_TABLES)
+
+
+def _pipeline(spark, sf, **options):
     from tidewater.plans.pipeline import Pipeline
-    from tidewater.session import ensure_checkpoint_dir
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    st = star(spark, sf, fresh=True)
-    return Pipeline(spark, st.sources, st.cfg, f"{base}/tidewater-runs/{uuid.uuid4().hex}").run()
+    st = star(spark, sf)
+    return Pipeline(spark, st.sources, st.cfg, _run_folder(spark, "runs"), **options)
+
+
+@register("pipeline_run_log", W(_PIPELINE_LOG_SQL))
+def pipeline_run_log(spark, sf):
+    """Bronze, silver and gold written as named tables of Spark's session catalog, each
+    layer read by name from the one before; the run log without its durations."""
+    return _pipeline(spark, sf, database=f"tidewater_{uuid.uuid4().hex}").run().drop("duration_seconds")
+
+
+@register("pipeline_run_summary", W(f"""
+SELECT layer, COUNT(*) AS tables, COUNT(*) AS succeeded, CAST(0 AS BIGINT) AS failed, CAST(SUM(rows) AS BIGINT) AS rows
+FROM ({_PIPELINE_LOG_SQL}) GROUP BY layer"""))
+def pipeline_run_summary(spark, sf):
+    """Tables and rows per layer of a run (PIP-2, AGG-9)."""
+    from tidewater.plans.pipeline import run_summary
+    return run_summary(_pipeline(spark, sf).run()).drop("duration_seconds")
+
+
+@register("partitioned_fact", W(f"""
+SELECT CAST(OrderDateKey // 10000 AS INTEGER) AS Year, CAST(OrderDateKey // 100 % 100 AS INTEGER) AS Month, COUNT(*) AS Lines,
+       {msum('LineTotal')} AS Revenue, COUNT(*) FILTER (WHERE BillToAddressKey = -1) AS UnknownBillTo
+FROM (SELECT * REPLACE (coalesce(BillToAddressKey, -1) AS BillToAddressKey) FROM fact_sales)
+WHERE OrderDateKey // 10000 = 1996 GROUP BY ALL"""))
+def partitioned_fact(spark, sf):
+    """The fact written by year and month and read back for one year (EXT-3, SPEC-10)."""
+    run = _pipeline(spark, sf, partition_fact=True, unknown_addresses=True)
+    run.run()
+    return run.read("gold", "Fact_Sales").filter("Year = 1996").groupBy("Year", "Month").agg(
+        F.count("*").alias("Lines"), A.sum_money("LineTotal").alias("Revenue"),
+        F.count_if(F.col("BillToAddressKey") == -1).alias("UnknownBillTo"))
 
 
 @register("streaming_incremental_orders", W("SELECT * FROM brz_header"))
 def streaming_incremental_orders(spark, sf):
     """Orders landed in bronze by an availableNow stream over the source folder;
     the landed table must equal the batch bronze table (EXT-1)."""
-    import uuid
-    from tidewater.session import ensure_checkpoint_dir
     from tidewater.sources.fixture import map_orders, raw
     from tidewater.streaming.incremental import incremental_bronze
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidewater-streams/{uuid.uuid4().hex}"
+    base = _run_folder(spark, "streams")
     schema = raw(spark, sf, "orders").schema
     return incremental_bronze(spark, sf, "orders.parquet", schema, map_orders, "SalesOrderHeader",
                               FIXTURE_CONFIG, f"{base}/bronze_SalesOrderHeader", f"{base}/_checkpoint")

@@ -22,7 +22,7 @@ def initcap(x: str) -> str:
 
 
 def line_total(q: str, p: str, d: str) -> str:
-    return (f"CAST(CAST({q} AS DECIMAL(5,0)) * {p} * (CAST(1 AS DECIMAL(1,0)) - "
+    return (f"CAST(CAST({q} AS DECIMAL(10,0)) * {p} * (CAST(1 AS DECIMAL(1,0)) - "
             f"CAST({d} AS DECIMAL(5,4))) AS DECIMAL(19,4))")
 
 
@@ -137,16 +137,16 @@ CTES["src_address"] = """
   SELECT CAST(c_custkey AS INTEGER) AS AddressID,
     concat('  ', c_name, ' ') AS AddressLine1,
     CASE WHEN c_custkey % 2 = 1 THEN concat('Unit ', CAST(c_custkey AS VARCHAR)) END AS AddressLine2,
-    lower(n_name) AS City,
+    lower(n_name) AS City, concat(lower(n_name), ' ') AS StateProvince, lower(r_name) AS CountryRegion,
     CASE WHEN c_custkey % 17 <> 0 THEN concat('pc', CAST(c_custkey AS VARCHAR)) END AS PostalCode,
     concat('adr-', CAST(c_custkey AS VARCHAR)) AS rowguid,
     TIMESTAMP '2001-01-01 00:00:00' AS ModifiedDate
-  FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 CTES["src_customer_address"] = """
   SELECT CAST(c_custkey AS INTEGER) AS CustomerID, CAST(c_custkey AS INTEGER) AS AddressID,
          'Main Office' AS AddressType, TIMESTAMP '2001-01-01 00:00:00' AS ModifiedDate FROM customer"""
 CTES["src_header"] = """
-  SELECT CAST(o_orderkey AS INTEGER) AS SalesOrderID, CAST(1 AS INTEGER) AS RevisionNumber,
+  SELECT CAST(o_orderkey AS BIGINT) AS SalesOrderID, CAST(1 AS INTEGER) AS RevisionNumber,
     o_orderdate AS OrderDate, o_orderdate + INTERVAL 12 DAY AS DueDate,
     CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + INTERVAL 7 DAY END AS ShipDate,
     CAST(CASE WHEN o_orderstatus = 'F' THEN 5 WHEN o_orderstatus = 'P' THEN 2 ELSE 1 END AS INTEGER) AS Status,
@@ -160,12 +160,12 @@ CTES["src_header"] = """
     CAST(NULL AS VARCHAR) AS Comment, o_orderdate AS ModifiedDate
   FROM orders"""
 CTES["src_detail"] = f"""
-  SELECT CAST(l.l_orderkey AS INTEGER) AS SalesOrderID, CAST(l._rn AS INTEGER) AS SalesOrderDetailID,
+  SELECT CAST(l.l_orderkey AS BIGINT) AS SalesOrderID, CAST(l._rn AS BIGINT) AS SalesOrderDetailID,
     CAST(l.l_quantity AS SMALLINT) AS OrderQty, CAST(l.l_partkey AS INTEGER) AS ProductID,
     CAST(CAST(p.p_retailprice AS DECIMAL(10,2)) AS DECIMAL(19,4)) AS UnitPrice,
     CAST(CAST(l.l_discount AS DECIMAL(4,2)) AS DECIMAL(19,4)) AS UnitPriceDiscount,
     l.l_shipdate AS ModifiedDate
-  FROM (SELECT *, row_number() OVER (ORDER BY {LINEITEM_ORDER}) AS _rn FROM lineitem) l
+  FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINEITEM_ORDER}) AS _rn FROM lineitem) l
   JOIN part p ON l.l_partkey = p.p_partkey"""
 
 # ------------------------------------------------------------------ bronze
@@ -205,10 +205,11 @@ CTES["slv_product_model"] = f"""
   FROM brz_product_model"""
 CTES["slv_address"] = latest(f"""
   SELECT AddressID, trim(AddressLine1) AS AddressLine1, trim(AddressLine2) AS AddressLine2,
-    {initcap('trim(City)')} AS City, upper(trim(PostalCode)) AS PostalCode, ModifiedDate, _ingest_timestamp,
+    {initcap('trim(City)')} AS City,
+    upper(trim(StateProvince)) AS StateProvince, upper(trim(CountryRegion)) AS CountryRegion, upper(trim(PostalCode)) AS PostalCode, ModifiedDate, _ingest_timestamp,
     trim(AddressLine1) IS NOT NULL AND City IS NOT NULL AND PostalCode IS NOT NULL AS _has_complete_address,
     {LOAD_TS} AS _processing_timestamp
-  FROM brz_address""", "AddressID", "AddressLine1, AddressLine2, City, PostalCode")
+  FROM brz_address""", "AddressID", "AddressLine1, AddressLine2, City, StateProvince, CountryRegion, PostalCode")
 CTES["slv_header"] = f"""
   SELECT SalesOrderID, RevisionNumber, OrderDate, DueDate, ShipDate, Status, CustomerID,
     ShipToAddressID, BillToAddressID, trim(ShipMethod) AS ShipMethod, CreditCardApprovalCode,
@@ -224,7 +225,7 @@ CTES["slv_detail"] = f"""
   SELECT SalesOrderID, SalesOrderDetailID, OrderQty, ProductID, UnitPrice, UnitPriceDiscount,
     ModifiedDate, _ingest_timestamp,
     {line_total('OrderQty', 'UnitPrice', 'UnitPriceDiscount')} AS LineTotal,
-    CAST(CAST(OrderQty AS DECIMAL(5,0)) * UnitPrice * CAST(UnitPriceDiscount AS DECIMAL(5,4)) AS DECIMAL(19,4)) AS DiscountAmount,
+    CAST(CAST(OrderQty AS DECIMAL(10,0)) * UnitPrice * CAST(UnitPriceDiscount AS DECIMAL(5,4)) AS DECIMAL(19,4)) AS DiscountAmount,
     OrderQty > 0 AS _has_valid_quantities,
     (UnitPrice > 0) AND (UnitPriceDiscount >= 0) AND (UnitPriceDiscount < 1) AS _has_valid_pricing,
     UnitPriceDiscount > 0 AS _has_discount,
@@ -236,7 +237,7 @@ CTES["dim_date"] = f"""
   SELECT {date_attrs('d')}, FALSE AS IsHoliday, {fiscal_cols('d')}
   FROM ({days(CAL_START, CAL_END)})"""
 CTES["dim_customer"] = """
-  SELECT CAST(row_number() OVER (ORDER BY CustomerID) AS INTEGER) AS CustomerKey, CustomerID, Title,
+  SELECT CAST(row_number() OVER (ORDER BY CustomerID) AS BIGINT) AS CustomerKey, CustomerID, Title,
     CAST(NULL AS VARCHAR) AS FirstName, CAST(NULL AS VARCHAR) AS LastName, Suffix, CompanyName,
     SalesPerson, EmailAddress, ModifiedDate, TRUE AS IsCurrent, DATE '2001-01-01' AS EffectiveDate,
     CAST(NULL AS DATE) AS EndDate
@@ -250,7 +251,7 @@ CTES["desc_en"] = """
   FROM brz_model_description b JOIN brz_product_description d ON b.ProductDescriptionID = d.ProductDescriptionID
   WHERE trim(b.Culture) = 'en' GROUP BY b.ProductModelID"""
 CTES["dim_product"] = """
-  SELECT CAST(row_number() OVER (ORDER BY p.ProductID) AS INTEGER) AS ProductKey, p.ProductID,
+  SELECT CAST(row_number() OVER (ORDER BY p.ProductID) AS BIGINT) AS ProductKey, p.ProductID,
     p.ProductNumber, de.ProductName, p.Color, p.Size, p.Weight, p.StandardCost, p.ListPrice,
     p.ProductCategoryID, cf.ProductCategoryName, cf.ParentProductCategoryID, cf.ParentProductCategoryName,
     p.ProductModelID, m.Name AS ProductModelName, p.SellStartDate, p.SellEndDate, p.DiscontinuedDate,
@@ -261,19 +262,19 @@ CTES["dim_product"] = """
   LEFT JOIN slv_product_model m ON p.ProductModelID = m.ProductModelID
   LEFT JOIN desc_en de ON p.ProductModelID = de.ProductModelID"""
 CTES["dim_address"] = f"""
-  SELECT CAST(row_number() OVER (ORDER BY AddressID) AS INTEGER) AS AddressKey, AddressID, AddressLine1,
-    AddressLine2, City, PostalCode, ModifiedDate, TRUE AS IsCurrent, DATE '2001-01-01' AS EffectiveDate,
-    CAST(NULL AS DATE) AS EndDate
+  SELECT CAST(row_number() OVER (ORDER BY AddressID) AS BIGINT) AS AddressKey, AddressID, AddressLine1,
+    AddressLine2, City, StateProvince, CountryRegion, PostalCode, ModifiedDate, TRUE AS IsCurrent,
+    DATE '2001-01-01' AS EffectiveDate, CAST(NULL AS DATE) AS EndDate
   FROM slv_address
   UNION ALL
-  SELECT -1, -1, 'Unknown', NULL, 'Unknown', '00000', {LOAD_TS}, TRUE, DATE '2001-01-01', NULL"""
+  SELECT -1, -1, 'Unknown', NULL, 'Unknown', 'Unknown', 'Unknown', '00000', {LOAD_TS}, TRUE, DATE '2001-01-01', NULL"""
 CTES["fact_sales"] = """
-  SELECT CAST(row_number() OVER (ORDER BY d.SalesOrderID, d.SalesOrderDetailID) AS INTEGER) AS SalesKey,
+  SELECT CAST(row_number() OVER (ORDER BY d.SalesOrderID, d.SalesOrderDetailID) AS BIGINT) AS SalesKey,
     d.SalesOrderID, d.SalesOrderDetailID, c.CustomerKey, p.ProductKey, od.DateKey AS OrderDateKey,
     dd.DateKey AS DueDateKey, sd.DateKey AS ShipDateKey, sa.AddressKey AS ShipToAddressKey,
     ba.AddressKey AS BillToAddressKey, d.OrderQty, d.UnitPrice, d.UnitPriceDiscount, d.LineTotal,
     p.StandardCost AS ProductStandardCost,
-    CAST(d.LineTotal - CAST(d.OrderQty AS DECIMAL(5,0)) * p.StandardCost AS DECIMAL(19,4)) AS LineProfit,
+    CAST(d.LineTotal - CAST(d.OrderQty AS DECIMAL(10,0)) * p.StandardCost AS DECIMAL(19,4)) AS LineProfit,
     h.SubTotal AS OrderSubTotal, h.TaxAmt AS OrderTaxAmt, h.Freight AS OrderFreight,
     h.TotalDue AS OrderTotal, h.Status AS OrderStatus, h.ShipMethod, h.RevisionNumber
   FROM slv_detail d

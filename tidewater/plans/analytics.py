@@ -1,7 +1,6 @@
 """Analytic queries on the star (QRY-1 .. QRY-7, SPEC-5/6/11, EXT-4).
 
-Dim_Date is bounded by its day span, so joins to it broadcast it explicitly;
-every other join is left to AQE, which broadcasts only what it measured small.
+Joins are left to Spark: it broadcasts only what it estimates or measures small.
 Top-k reports sort with the group columns as tie-breakers so the cut is stable.
 """
 
@@ -25,7 +24,7 @@ def sum_qty(c: str = "OrderQty") -> F.Column:
 
 def _with_date(fact: DataFrame, dim_date: DataFrame, cols: list[str],
                key: str = "OrderDateKey") -> DataFrame:
-    d = F.broadcast(dim_date.select("DateKey", *cols))
+    d = dim_date.select("DateKey", *cols)
     return fact.join(d, fact[key] == d["DateKey"])
 
 
@@ -125,10 +124,12 @@ def monthly_aggregate(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def geo_rollup(fact: DataFrame, dim_address: DataFrame) -> DataFrame:
-    """City drill-up to a grand total over the ship-to role (SPEC-11)."""
-    a = dim_address.select(F.col("AddressKey").alias("ShipToAddressKey"), "City")
+    """Country, state, city and a grand total over the ship-to role (SPEC-11).
+    Level is the grouping id: 0 city, 1 state, 3 country, 7 total."""
+    levels = ["CountryRegion", "StateProvince", "City"]
+    a = dim_address.select(F.col("AddressKey").alias("ShipToAddressKey"), *levels)
     return (fact.join(a, "ShipToAddressKey", "left")
-                .rollup("City")
+                .rollup(*levels)
                 .agg(F.grouping_id().alias("Level"),
                      F.count_distinct("SalesOrderID").alias("OrderCount"),
                      sum_money("LineTotal").alias("TotalRevenue")))

@@ -12,10 +12,11 @@ from tidewater.functions.cleanse import line_profit
 from tidewater.functions.dates import (date_key, fiscal_month, fiscal_quarter, fiscal_year,
                                        iso_day_of_week)
 from tidewater.operators.hierarchy import flatten_parent
-from tidewater.operators.keys import assign_sequential_key
+from tidewater.operators.keys import assign_sequential_key, current_lookup, version_spans
 from tidewater.operators.members import with_unknown_member
 from tidewater.operators.scd import with_scd_columns
 
+# Fixed published column lists of the star.
 DIM_DATE_COLUMNS = [
     "DateKey", "Date", "Year", "Quarter", "QuarterName", "Month", "MonthName", "MonthNameShort",
     "DayOfMonth", "DayOfWeek", "DayOfWeekName", "DayOfWeekNameShort", "DayOfYear", "WeekOfYear",
@@ -30,8 +31,8 @@ DIM_PRODUCT_COLUMNS = [
     "SellStartDate", "SellEndDate", "DiscontinuedDate", "IsDiscontinued", "ModifiedDate",
     "IsCurrent", "EffectiveDate", "EndDate"]
 DIM_ADDRESS_COLUMNS = [
-    "AddressKey", "AddressID", "AddressLine1", "AddressLine2", "City", "PostalCode",
-    "ModifiedDate", "IsCurrent", "EffectiveDate", "EndDate"]
+    "AddressKey", "AddressID", "AddressLine1", "AddressLine2", "City", "StateProvince", "CountryRegion",
+    "PostalCode", "ModifiedDate", "IsCurrent", "EffectiveDate", "EndDate"]
 FACT_SALES_COLUMNS = [
     "SalesKey", "SalesOrderID", "SalesOrderDetailID", "CustomerKey", "ProductKey",
     "OrderDateKey", "DueDateKey", "ShipDateKey", "ShipToAddressKey", "BillToAddressKey",
@@ -110,14 +111,16 @@ def rule_holidays(days: DataFrame, month_days: list[tuple[int, int]]) -> DataFra
 
 # ---------------------------------------------------------------- dimensions
 
+def _or_null(df: DataFrame, name: str) -> Column:
+    """An optional source column; a typed NULL where the source has none."""
+    return F.col(name) if name in df.columns else F.lit(None).cast("string").alias(name)
+
+
 def dim_customer(silver: DataFrame, cfg: RunConfig) -> DataFrame:
-    df = silver.select("CustomerID", "Title", "Suffix", "CompanyName", "SalesPerson",
-                       "EmailAddress", "ModifiedDate")
+    df = silver.select("CustomerID", "Title", _or_null(silver, "FirstName"), _or_null(silver, "LastName"),
+                       "Suffix", "CompanyName", "SalesPerson", "EmailAddress", "ModifiedDate")
     df = assign_sequential_key(df, ["CustomerID"], "CustomerKey")
-    # The source has no person names; the columns are published as typed NULLs.
-    df = with_scd_columns(df, cfg.today()).withColumns({
-        "FirstName": F.lit(None).cast("string"), "LastName": F.lit(None).cast("string")})
-    return df.select(DIM_CUSTOMER_COLUMNS)
+    return with_scd_columns(df, cfg.today()).select(DIM_CUSTOMER_COLUMNS)
 
 
 def english_descriptions(model_description: DataFrame, description: DataFrame,
@@ -140,8 +143,7 @@ def dim_product(product: DataFrame, category: DataFrame, model: DataFrame, cfg:
     df = assign_sequential_key(product, ["ProductID"], "ProductKey")
     cats = flatten_parent(category, "ProductCategoryID", "ParentProductCategoryID", "Name",
                           "ProductCategoryName", "ParentProductCategoryName")
-    models = model.select("ProductModelID", F.col("Name").alias("ProductModelName")) \
-                  .dropDuplicates(["ProductModelID"])
+    models = model.groupBy("ProductModelID").agg(F.min("Name").alias("ProductModelName"))
     df = (df.join(cats, "ProductCategoryID", "left")
             .join(models, "ProductModelID", "left"))
     if descriptions is not None:
@@ -154,14 +156,15 @@ def dim_product(product: DataFrame, category: DataFrame, model: DataFrame, cfg:
 
 
 def dim_address(silver: DataFrame, cfg: RunConfig, unknown_member: bool = True) -> DataFrame:
-    df = silver.select("AddressID", "AddressLine1", "AddressLine2", "City", "PostalCode",
-                       "ModifiedDate")
+    df = silver.select("AddressID", "AddressLine1", "AddressLine2", "City", _or_null(silver, "StateProvince"),
+                       _or_null(silver, "CountryRegion"), "PostalCode", "ModifiedDate")
     df = assign_sequential_key(df, ["AddressID"], "AddressKey")
     df = with_scd_columns(df, cfg.today()).select(DIM_ADDRESS_COLUMNS)
     if unknown_member:
         df = with_unknown_member(df, {
             "AddressKey": F.lit(-1), "AddressID": F.lit(-1), "AddressLine1": F.lit("Unknown"),
-            "City": F.lit("Unknown"), "PostalCode": F.lit("00000"), "ModifiedDate": cfg.now(),
+            "City": F.lit("Unknown"), "StateProvince": F.lit("Unknown"), "CountryRegion": F.lit("Unknown"),
+            "PostalCode": F.lit("00000"), "ModifiedDate": cfg.now(),
             "IsCurrent": F.lit(True), "EffectiveDate": cfg.today()})
     return df
 
@@ -181,14 +184,31 @@ def _date_key_in(ts: Column, cfg: RunConfig) -> tuple[Column, Column]:
     return date_key(d), inside
 
 
+def _customer_keys(orders: DataFrame, dim_customer_df: DataFrame, versions: str) -> DataFrame:
+    """Orders with their customer's key; orders without a customer drop out.
+
+    ``current``: the open version. ``as_of``: the version valid on the order date.
+    Either side has at most one row for an order, so lines are never multiplied."""
+    if versions == "current":
+        return orders.join(current_lookup(dim_customer_df, "CustomerID", ["CustomerKey"]), "CustomerID")
+    if versions != "as_of":
+        raise ValueError(f"customer_versions: {versions!r}")
+    spans = version_spans(dim_customer_df, "CustomerID", "CustomerKey")
+    day = F.to_date("OrderDate")
+    return orders.join(spans, "CustomerID").filter((day >= F.col("_from")) & (day < F.col("_to"))).drop("_from", "_to")
+
+
 def fact_sales(detail: DataFrame, header: DataFrame, dim_product_df: DataFrame,
-               dim_customer_df: DataFrame, dim_address_df: DataFrame, cfg: RunConfig,
-               unknown_address_key: bool = False, with_sales_key: bool = True) -> DataFrame:
+               dim_customer_df: DataFrame, dim_address_df: DataFrame | None, cfg: RunConfig,
+               unknown_address_key: bool = False, with_sales_key: bool = True,
+               customer_versions: str = "current") -> DataFrame:
     """One row per order line (GLD-5).
 
     Mandatory lookups (customer, product, order date, due date) drop unmatched
     lines like inner joins; ship date and the two address roles are optional.
     With ``unknown_address_key`` a missing address maps to the -1 member (SPEC-10).
+    Without ``dim_address_df`` the address roles are left out: they never change
+    rows or measures, so a query that reads no address plans none.
     """
     lines = detail.select("SalesOrderID", "SalesOrderDetailID", "OrderQty", "ProductID",
                           "UnitPrice", "UnitPriceDiscount", "LineTotal")
@@ -205,33 +225,25 @@ def fact_sales(detail: DataFrame, header: DataFrame, dim_product_df: DataFrame,
                                   "ShipDateKey": F.when(ship_in, ship_key)}))
     # Customer key on the header side: one row per order is cheaper to join
     # than one row per line.
-    orders = orders.join(dim_customer_df.select("CustomerID", "CustomerKey"), "CustomerID")
-    addr = dim_address_df.select("AddressID", "AddressKey")
-    orders = (orders
-              .join(addr.select(F.col("AddressID").alias("ShipToAddressID"),
-                                F.col("AddressKey").alias("ShipToAddressKey")), "ShipToAddressID", "left")
-              .join(addr.select(F.col("AddressID").alias("BillToAddressID"),
-                                F.col("AddressKey").alias("BillToAddressKey")), "BillToAddressID", "left"))
-    if unknown_address_key:
-        orders = orders.withColumns({
-            "ShipToAddressKey": F.coalesce("ShipToAddressKey", F.lit(-1)),
-            "BillToAddressKey": F.coalesce("BillToAddressKey", F.lit(-1))})
+    orders = _customer_keys(orders, dim_customer_df, customer_versions)
+    if dim_address_df is not None:
+        keys = current_lookup(dim_address_df, "AddressID", ["AddressKey"])
+        for role in ("ShipTo", "BillTo"):
+            side = keys.select(F.col("AddressID").alias("_aid"), F.col("AddressKey").alias(f"{role}AddressKey"))
+            # a missing address is spread by a negative order key, so the NULLs do not meet in one partition
+            probe = F.coalesce(F.col(f"{role}AddressID").cast("long"), -F.col("SalesOrderID") - 2)
+            orders = orders.withColumn("_probe", probe).join(side, F.col("_probe") == F.col("_aid"), "left").drop("_probe", "_aid")
+        if unknown_address_key:
+            orders = orders.withColumns({f"{r}AddressKey": F.coalesce(f"{r}AddressKey", F.lit(-1)) for r in ("ShipTo", "BillTo")})
     # Product key and standard cost come from the same dimension row.
-    products = dim_product_df.select("ProductID", "ProductKey",
-                                     F.col("StandardCost").alias("ProductStandardCost"))
-    f = lines.join(orders, "SalesOrderID").join(products, "ProductID")
-    f = f.withColumns({
-        "LineProfit": line_profit(F.col("LineTotal"), F.col("OrderQty"), F.col("ProductStandardCost")),
-        "OrderTotal": F.col("TotalDue"),
-    })
-    f = f.select(
-        "SalesOrderID", "SalesOrderDetailID", "CustomerKey", "ProductKey", "OrderDateKey",
-        "DueDateKey", "ShipDateKey", "ShipToAddressKey", "BillToAddressKey", "OrderQty",
-        "UnitPrice", "UnitPriceDiscount", "LineTotal", "ProductStandardCost", "LineProfit",
-        F.col("SubTotal").alias("OrderSubTotal"), F.col("TaxAmt").alias("OrderTaxAmt"),
-        F.col("Freight").alias("OrderFreight"), "OrderTotal",
-        F.col("Status").alias("OrderStatus"), "ShipMethod", "RevisionNumber")
+    products = current_lookup(dim_product_df, "ProductID", ["ProductKey", "StandardCost"])
+    f = lines.join(orders, "SalesOrderID").join(products, "ProductID").withColumn(
+        "LineProfit", line_profit(F.col("LineTotal"), F.col("OrderQty"), F.col("StandardCost")))
+    source = {"ProductStandardCost": "StandardCost", "OrderSubTotal": "SubTotal", "OrderTaxAmt": "TaxAmt",
+              "OrderFreight": "Freight", "OrderTotal": "TotalDue", "OrderStatus": "Status"}
+    columns = [c for c in FACT_SALES_COLUMNS if c != "SalesKey" and source.get(c, c) in f.columns]
+    f = f.select(*[F.col(source.get(c, c)).alias(c) for c in columns])
     if not with_sales_key:
         return f
     f = assign_sequential_key(f, ["SalesOrderID", "SalesOrderDetailID"], "SalesKey")
-    return f.select(FACT_SALES_COLUMNS)
+    return f.select("SalesKey", *columns)

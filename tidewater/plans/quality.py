@@ -25,23 +25,22 @@ def fk_orphans(fact: DataFrame, checks: list[tuple[str, DataFrame, str, str]]) -
     """Per foreign key: rows with a key, NULL keys, and keys missing from the
     dimension (NULL keys are allowed and are not orphans).
 
-    The fact is read once: it meets the distinct key set of every dimension
-    in a chain of left lookups (a key set has one row per key, so no lookup
-    can multiply fact rows), one aggregate counts all keys, and ``stack``
-    turns the single result row into one row per foreign key. A fact row whose
-    key found no match is exactly a row the anti join would return."""
-    probe = fact.select(*sorted({fk for fk, _, _, _ in checks}))
-    aggs, rows = [], []
-    for i, (fk, dim, dim_key, dim_name) in enumerate(checks):
-        hit = f"_dk{i}"
-        keys = dim.select(F.col(dim_key).alias(hit)).distinct()
-        probe = probe.join(keys, probe[fk] == keys[hit], "left")
-        aggs += [F.count(fk).alias(f"_n{i}"),
-                 F.count_if(F.col(fk).isNull()).alias(f"_z{i}"),
-                 F.count_if(F.col(fk).isNotNull() & F.col(hit).isNull()).alias(f"_o{i}")]
-        rows.append(f"'{fk}', '{dim_name}', _n{i}, _z{i}, _o{i}")
-    stacked = f"stack({len(rows)}, {', '.join(rows)}) AS (foreign_key, dimension, non_null_keys, null_keys, orphans)"
-    return probe.agg(*aggs).selectExpr(stacked)
+    The fact is read once: ``stack`` gives a row per foreign key, counted by key
+    value before the shuffle (which also absorbs NULLs and hot keys). Only those
+    distinct values meet the dimensions' keys, in one join. A value without a
+    match stands for the rows the anti join would return."""
+    pairs = ", ".join(f"'{fk}', CAST({fk} AS BIGINT)" for fk, _, _, _ in checks)
+    used = fact.selectExpr(f"stack({len(checks)}, {pairs}) AS (foreign_key, _k)") \
+               .groupBy("foreign_key", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    known = _union([dim.select(F.lit(fk).alias("foreign_key"), F.col(key).cast("long").alias("_k"))
+                    for fk, dim, key, _ in checks]).distinct().withColumn("_hit", F.lit(True))
+    names = F.create_map(*[F.lit(x) for fk, _, _, name in checks for x in (fk, name)])
+    n, is_null = F.col("_n"), F.col("_k").isNull()
+    return used.join(known, ["foreign_key", "_k"], "left").groupBy("foreign_key").agg(
+        F.sum(F.when(is_null, 0).otherwise(n)).alias("non_null_keys"),
+        F.sum(F.when(is_null, n).otherwise(0)).alias("null_keys"),
+        F.sum(F.when(~is_null & F.col("_hit").isNull(), n).otherwise(0)).alias("orphans")) \
+        .withColumn("dimension", names[F.col("foreign_key")])
 
 
 def orphan_rows(fact: DataFrame, dim: DataFrame, fk: str, dim_key: str) -> DataFrame:
@@ -149,27 +148,39 @@ def revenue_reconciliation(source_lines: DataFrame, fact: DataFrame) -> DataFram
     return s.withColumn("difference", (F.col("source_revenue") - F.col("star_revenue")).cast("decimal(38,4)"))
 
 
+def table_diff(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of two builds of a table compared by key, NULL-safe (SPEC-12)."""
+    rest = [c for c in first.columns if c not in keys]
+    a = first.select(*keys, F.struct(*rest).alias("_a"))
+    b = second.select(*keys, F.struct(*rest).alias("_b"))
+    has_a, has_b = F.col("_a").isNotNull(), F.col("_b").isNotNull()
+    same = F.lit(True)
+    for c in rest:
+        same = same & F.col("_a")[c].eqNullSafe(F.col("_b")[c])
+    return a.join(b, keys, "full_outer").agg(
+        F.count_if(has_a).alias("rows_first"), F.count_if(has_b).alias("rows_second"),
+        F.count_if(~has_b).alias("only_in_first"), F.count_if(~has_a).alias("only_in_second"),
+        F.count_if(has_a & has_b & ~same).alias("changed"))
+
+
 def schema_check(tables: dict[str, DataFrame], expected: dict[str, StructType]) -> DataFrame:
     """Dry-run check of source schemas (SPEC-9): one row per expected or found
-    column with its status, plus the column's NULL count from one aggregate
-    per table, so required-but-empty columns show up before any write."""
+    column with its status (ok, type_mismatch, missing, unexpected) and its NULL
+    count, so required-but-empty columns show up before any write. Each table is
+    read once: one aggregate, turned into rows by ``stack``."""
     parts = []
     for name, want in expected.items():
         df = tables[name]
-        have = {f.name: f.dataType for f in df.schema.fields}
-        present = [f.name for f in want.fields if f.name in have]
-        nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in present]) if present else None
-        for f in want.fields:
-            if f.name not in have:
-                status, actual = "missing", None
-            elif have[f.name] != f.dataType:
-                status, actual = "type_mismatch", have[f.name].simpleString()
-            else:
-                status, actual = "ok", have[f.name].simpleString()
-            null_col = F.col(f.name).cast("bigint") if f.name in have else F.lit(None).cast("bigint")
-            src = nulls if nulls is not None else df.sparkSession.range(1)
-            parts.append(src.select(F.lit(name).alias("table_name"), F.lit(f.name).alias("column_name"),
-                                    F.lit(f.dataType.simpleString()).alias("expected_type"),
-                                    F.lit(actual).cast("string").alias("actual_type"),
-                                    F.lit(status).alias("status"), null_col.alias("null_count")))
+        have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        wanted = {f.name: f.dataType.simpleString() for f in want.fields}
+        counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in have])
+        rows = []
+        for c in [*wanted, *[c for c in have if c not in wanted]]:
+            status = ("missing" if c not in have else "unexpected" if c not in wanted
+                      else "ok" if have[c] == wanted[c] else "type_mismatch")
+            text = [f"'{x}'" if x is not None else "CAST(NULL AS STRING)"
+                    for x in (name, c, wanted.get(c), have.get(c), status)]
+            rows.append(", ".join([*text, f"`{c}`" if c in have else "CAST(NULL AS BIGINT)"]))
+        parts.append(counts.selectExpr(
+            f"stack({len(rows)}, {', '.join(rows)}) AS (table_name, column_name, expected_type, actual_type, status, null_count)"))
     return _union(parts)

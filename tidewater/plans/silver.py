@@ -16,8 +16,9 @@ from tidewater.operators.dedup import latest_by_key
 
 def silver_customer(bronze: DataFrame, cfg: RunConfig) -> DataFrame:
     # PasswordHash / PasswordSalt are never selected: they stay in bronze.
+    names = [c for c in ("FirstName", "LastName") if c in bronze.columns]
     df = bronze.select(
-        "CustomerID", "Title", "Suffix", "CompanyName", "SalesPerson",
+        "CustomerID", "Title", *names, "Suffix", "CompanyName", "SalesPerson",
         clean_email(F.col("EmailAddress")).alias("EmailAddress"),
         "ModifiedDate", "_ingest_timestamp")
     df = df.withColumns({

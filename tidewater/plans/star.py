@@ -1,7 +1,8 @@
 """Wire the layers together: sources -> bronze -> silver -> gold.
 
-Nothing here runs a job; every attribute is a lazily built DataFrame, so a
-query that needs only the fact and the calendar plans only those branches.
+Every attribute is a lazily built DataFrame, so a query that needs only the
+fact and the calendar plans only those branches. Building a keyed table
+(dimensions, Fact_Sales) runs the job that numbers it.
 """
 
 from __future__ import annotations
@@ -72,9 +73,16 @@ class Star:
 
     @cached_property
     def fact_lines(self) -> DataFrame:
-        """Fact_Sales rows without the SalesKey row number. Analytic queries
-        never read SalesKey, so they skip numbering (and checkpointing) the
-        largest table; rows and measures are the same as in Fact_Sales."""
+        """Fact_Sales rows without the SalesKey row number and the address roles.
+        Analytic queries that read neither skip numbering (and checkpointing) the
+        largest table and two joins; rows and measures are those of Fact_Sales."""
+        s = self.silver
+        return G.fact_sales(s["detail"], s["header"], self.dim_product, self.dim_customer,
+                            None, self.cfg, with_sales_key=False)
+
+    @cached_property
+    def fact_places(self) -> DataFrame:
+        """``fact_lines`` with the address roles."""
         s = self.silver
         return G.fact_sales(s["detail"], s["header"], self.dim_product, self.dim_customer,
                             self.dim_address, self.cfg, with_sales_key=False)
