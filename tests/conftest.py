@@ -1,6 +1,8 @@
 import os
 import sys
 
+os.environ.setdefault("TIDEWATER_DRIVER_MEM", "6g")
+
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -1,9 +1,11 @@
 from datetime import date
 from decimal import Decimal
 
+import pytest
+
 from pyspark.sql import functions as F
 
-from tidewater.functions.cleanse import clean_email, line_total, title_case
+from tidewater.functions.cleanse import clean_email, line_total, mask_email, title_case
 from tidewater.functions.dates import date_key, fiscal_month, fiscal_quarter, fiscal_year, iso_day_of_week
 
 
@@ -43,3 +45,18 @@ def test_line_total_exact_decimal(spark):
     r = df.select(line_total(F.col("q"), F.col("p"), F.col("d")).alias("t"))
     assert r.schema["t"].dataType.simpleString() == "decimal(19,4)"
     assert [x[0] for x in r.collect()] == [Decimal("53.9730"), Decimal("0.0000")]
+
+
+def test_line_total_takes_any_int_quantity(spark):
+    df = spark.createDataFrame([(100_000, Decimal("19.9900"), Decimal("0.1000")), (2_147_483_647, Decimal("1.0000"), Decimal("0.0000"))],
+                               "q int, p decimal(19,4), d decimal(19,4)")
+    got = [x[0] for x in df.select(line_total(F.col("q"), F.col("p"), F.col("d"))).collect()]
+    assert got == [Decimal("1799100.0000"), Decimal("2147483647.0000")]
+
+
+def test_masked_email_is_salted_and_whole(spark):
+    df = spark.createDataFrame([("a@b.co",), (None,)], "e string")
+    one, two = ([r[0] for r in df.select(mask_email(F.col("e"), s)).collect()] for s in ("x", "y"))
+    assert one[0] != two[0] and one[0].endswith("@b.co") and len(one[0]) == 64 + len("@b.co") and one[1] is None
+    with pytest.raises(ValueError):
+        mask_email(F.col("e"), "")

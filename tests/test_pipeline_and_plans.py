@@ -1,11 +1,13 @@
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tidewater.operators.dedup import latest_by_key
-from tidewater.plans.pipeline import Pipeline, run_summary
+from tidewater.plans.pipeline import LayerFailed, Pipeline, run_summary
 from tidewater.plans.star import Star
+from tidewater.sources.tables import read_optional
 
 
 def _plan(df) -> str:
@@ -27,16 +29,47 @@ def test_pipeline_layers_hand_over_through_storage(spark, sf_small):
     assert (summary["bronze"].tables, summary["silver"].tables, summary["gold"].tables) == (10, 7, 5)
 
 
-def test_pipeline_fail_fast_skips_later_layers(spark, sf_small):
+def _broken(spark, sf):
+    st = Star.from_fixture(spark, sf)
+    st.sources._built["header"] = st.sources.header.drop("ShipMethod")  # silver needs it
+    return st
+
+
+def test_pipeline_halts_where_the_caller_sees_it(spark, sf_small):
+    st = _broken(spark, sf_small)
+    with pytest.raises(LayerFailed, match="ShipMethod") as halted:
+        Pipeline(spark, st.sources, st.cfg, tempfile.mkdtemp(prefix="tidewater-test-fail-")).run()
+    log = halted.value.log.collect()
+    assert [r.layer for r in log if r.status == "failed"] == ["silver"]
+    assert "gold" not in {r.layer for r in log}
+
+
+def test_pipeline_takes_no_stale_input(spark, sf_small):
+    target = tempfile.mkdtemp(prefix="tidewater-test-stale-")
+    good = Star.from_fixture(spark, sf_small)
+    Pipeline(spark, good.sources, good.cfg, target).run(("bronze", "silver"))
+    bad = _broken(spark, sf_small)
+    log = Pipeline(spark, bad.sources, bad.cfg, target, fail_fast=False).run()
+    status = {(r.layer, r.table_name): r.status for r in log.collect()}
+    assert status[("silver", "SalesOrderHeader")] == "failed"
+    assert status[("gold", "Fact_Sales")] == "skipped" and status[("gold", "Dim_Customer")] == "success"
+
+
+def test_optional_descriptions_only_when_absent(spark, sf_small):
+    st = Star.from_fixture(spark, sf_small)
+    run = Pipeline(spark, st.sources, st.cfg, tempfile.mkdtemp(prefix="tidewater-test-opt-"))
+    assert run._descriptions() is None
+    with pytest.raises(ZeroDivisionError):
+        read_optional(lambda: 1 / 0)
+
+
+def test_partitioned_fact_has_few_files(spark, sf_small):
     st = Star.from_fixture(spark, sf_small)
-    broken = st.sources
-    broken._built["header"] = broken.header.drop("ShipMethod")  # silver needs it
-    target = tempfile.mkdtemp(prefix="tidewater-test-fail-")
-    log = Pipeline(spark, broken, st.cfg, target).run()
-    layers = {r.layer for r in log.collect()}
-    failed = [r for r in log.collect() if r.status == "failed"]
-    assert failed and failed[0].layer == "silver" and "ShipMethod" in failed[0].error
-    assert "gold" not in layers
+    target = tempfile.mkdtemp(prefix="tidewater-test-part-")
+    Pipeline(spark, st.sources, st.cfg, target, partition_fact=True).run()
+    files = spark.read.parquet(f"{target}/gold_Fact_Sales").select("_metadata.file_path").distinct().collect()
+    folders = {f[0].rsplit("/", 1)[0] for f in files}
+    assert len(files) <= len(folders) + 8
 
 
 def test_streaming_landing_equals_batch_bronze(spark, sf_small):
@@ -59,19 +92,27 @@ def test_high_water_mark_is_pushed_into_scan(spark, sf_small):
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThan(o_orderdate" in plan
 
 
-def test_fact_plan_starts_from_checkpoint_and_prunes_columns(spark, sf_small):
-    st = Star.from_fixture(spark, sf_small)
-    spark.conf.set("spark.tidewater.sequentialKey.singleTaskMaxBytes", "0")
-    try:
-        plan = _plan(Star.from_fixture(spark, sf_small).fact_sales)
-    finally:
-        spark.conf.unset("spark.tidewater.sequentialKey.singleTaskMaxBytes")
-    assert "Scan parquet" not in plan  # lineage starts at the checkpoint
-    # The only single-partition step is the offset window over the per-partition
-    # count table (one row per range partition).
-    assert plan.count("Exchange SinglePartition") == 1
-    single = plan[plan.index("Exchange SinglePartition"):]
-    assert "HashAggregate(keys=[_kp" in single.split("Exchange SinglePartition")[1][:400]
-    rev = _plan(E.queries()["revenue_by_year"](spark, sf_small))
+def test_only_keyed_tables_start_from_a_checkpoint(spark):
+    sf = "/root/testdata/sf0.1"
+    star = Star.from_fixture(spark, sf)
+    assert "ExistingRDD" not in _plan(star.silver["detail"]) and "ExistingRDD" not in _plan(star.bronze["detail"])
+    rev = _plan(E.queries()["revenue_by_year"](spark, sf))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_discount:double>" in rev
-    del st
+    assert "Window" not in rev.split("l_orderkey", 1)[0]
+
+
+def test_analytics_plan_no_addresses(spark, sf_small):
+    for name in ("fact_summary", "business_metrics"):
+        assert "AddressKey" not in _plan(E.queries()[name](spark, sf_small))
+
+
+def test_schema_check_reads_each_table_once(spark, sf_small):
+    plan = _plan(E.queries()["schema_check"](spark, sf_small))
+    assert plan.count("FileScan") <= 20  # 10 tables; models and addresses read two files each
+
+
+def test_as_of_lookup_keeps_every_line_and_changes_version(spark, sf_small):
+    rows = E.queries()["fact_on_scd2_customers"](spark, sf_small)
+    assert rows.count() == Star.from_fixture(spark, sf_small).silver["detail"].count()
+    old = rows.filter("CompanyName = 'OLD'").agg(F.max("OrderDateKey")).first()[0]
+    assert old is not None and old < 19970101
