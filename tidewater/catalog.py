@@ -162,7 +162,7 @@ SELECT d.Year, COUNT(DISTINCT f.SalesOrderID) AS Orders, {msum('f.LineTotal')} A
 FROM fact_sales f JOIN dim_date d ON f.OrderDateKey = d.DateKey GROUP BY d.Year ORDER BY d.Year"""))
 def revenue_by_year(spark, sf):
     st = star(spark, sf)
-    return A.revenue_by_year(st.fact_lines, st.dim_date)
+    return A.revenue_by_year(st.fact_measures, st.dim_date)
 
 
 @register("top_products", W(f"""
@@ -176,7 +176,7 @@ ORDER BY TotalRevenue DESC, ProductName ASC NULLS FIRST, ProductCategoryName ASC
 LIMIT 10"""))
 def top_products(spark, sf):
     st = star(spark, sf)
-    return A.top_products(st.fact_lines, st.dim_product)
+    return A.top_products(st.fact_measures, st.products)
 
 
 @register("top_product_numbers", W(f"""
@@ -188,7 +188,7 @@ ORDER BY Revenue DESC, ProductNumber ASC NULLS FIRST, ProductCategoryName ASC NU
 LIMIT 10"""))
 def top_product_numbers(spark, sf):
     st = star(spark, sf)
-    return A.top_product_numbers(st.fact_lines, st.dim_product)
+    return A.top_product_numbers(st.fact_measures, st.products)
 
 
 @register("revenue_by_category", W(f"""
@@ -200,7 +200,7 @@ GROUP BY COALESCE(p.ParentProductCategoryName, p.ProductCategoryName)
 ORDER BY TotalRevenue DESC, Category"""))
 def revenue_by_category(spark, sf):
     st = star(spark, sf)
-    return A.revenue_by_category(st.fact_lines, st.dim_product)
+    return A.revenue_by_category(st.fact_measures, st.products)
 
 
 @register("monthly_trend", W(f"""
@@ -210,7 +210,7 @@ FROM fact_sales f JOIN dim_date d ON f.OrderDateKey = d.DateKey
 GROUP BY d.Year, d.Month, d.MonthName ORDER BY d.Year, d.Month"""))
 def monthly_trend(spark, sf):
     st = star(spark, sf)
-    return A.monthly_trend(st.fact_lines, st.dim_date)
+    return A.monthly_trend(st.fact_measures, st.dim_date)
 
 
 @register("fact_summary", W(f"""
@@ -218,7 +218,7 @@ SELECT *, {pct('total_profit', 'total_revenue')} AS profit_margin_pct FROM (
   SELECT COUNT(*) AS total_row_count, COUNT(DISTINCT SalesOrderID) AS unique_orders,
          {msum('LineTotal')} AS total_revenue, {msum('LineProfit')} AS total_profit FROM fact_sales)"""))
 def fact_summary(spark, sf):
-    return A.fact_summary(star(spark, sf).fact_lines)
+    return A.fact_summary(star(spark, sf).fact_measures)
 
 
 _TABLE_COUNTS = [("Dim_Date", "dim_date"), ("Dim_Customer", "dim_customer"),
@@ -233,7 +233,7 @@ def table_counts(spark, sf):
     st = star(spark, sf)
     frames = {"Dim_Date": st.dim_date, "Dim_Customer": st.dim_customer,
               "Dim_Product": st.dim_product, "Dim_Address": st.dim_address,
-              "Fact_Sales": st.fact_lines, "bronze_Customer": st.bronze["customer"],
+              "Fact_Sales": st.fact_measures, "bronze_Customer": st.bronze["customer"],
               "bronze_Product": st.bronze["product"], "bronze_SalesOrderDetail": st.bronze["detail"]}
     return A.labelled_counts(frames)
 
@@ -282,7 +282,7 @@ SELECT 'SalesOrderDetail' AS source_table, 'Fact_Sales' AS target_table, s AS so
 FROM (SELECT (SELECT COUNT(*) FROM brz_detail) AS s, (SELECT COUNT(*) FROM fact_sales) AS t)"""))
 def row_reconciliation(spark, sf):
     st = star(spark, sf)
-    return Q.row_reconciliation(st.bronze["detail"], st.fact_lines, "SalesOrderDetail", "Fact_Sales")
+    return Q.row_reconciliation(st.bronze["detail"], st.fact_measures, "SalesOrderDetail", "Fact_Sales")
 
 
 @register("measure_check", W("""
@@ -291,7 +291,7 @@ SELECT COUNT(*) AS rows_checked,
              * (1.0 - CAST(UnitPriceDiscount AS DOUBLE)) - CAST(LineTotal AS DOUBLE)) >= 0.01) AS mismatches
 FROM fact_sales"""))
 def measure_check(spark, sf):
-    return Q.measure_check(star(spark, sf).fact_lines)
+    return Q.measure_check(star(spark, sf).fact_measures)
 
 
 def _pct_sql(table: str, flags: dict[str, str]) -> str:
@@ -322,7 +322,7 @@ SELECT *, {pct('total_profit', 'total_revenue')} AS profit_margin_pct,
   SELECT COUNT(DISTINCT SalesOrderID) AS total_orders, COUNT(*) AS total_lines,
          {msum('LineTotal')} AS total_revenue, {msum('LineProfit')} AS total_profit FROM fact_sales)"""))
 def business_metrics(spark, sf):
-    return Q.business_metrics(star(spark, sf).fact_lines)
+    return Q.business_metrics(star(spark, sf).fact_measures)
 
 
 _SOURCES = [("Customer", "src_customer"), ("Product", "src_product"), ("ProductCategory", "src_product_category"),
@@ -380,7 +380,7 @@ def tables_per_layer(spark, sf):
     frames = {f"bronze_{k}": df for k, df in st.bronze.items()}
     frames.update({f"silver_{k}": df for k, df in st.silver.items()})
     frames.update({f"gold_{k}": df for k, df in st.gold().items() if k != "Fact_Sales"})
-    frames["gold_Fact_Sales"] = st.fact_lines
+    frames["gold_Fact_Sales"] = st.fact_measures
     counts = A.labelled_counts(frames, "table_name", "n")
     return (counts.withColumn("layer", F.substring_index("table_name", "_", 1))
                   .groupBy("layer").agg(F.count(F.lit(1)).alias("table_count"),
@@ -407,7 +407,7 @@ FROM fact_sales f JOIN dim_date d ON f.OrderDateKey = d.DateKey
 GROUP BY d.Year, d.Quarter, d.Month ORDER BY d.Year, d.Quarter, d.Month"""))
 def orders_by_quarter(spark, sf):
     st = star(spark, sf)
-    return A.orders_by_quarter(st.fact_lines, st.dim_date)
+    return A.orders_by_quarter(st.fact_measures, st.dim_date)
 
 
 @register("monthly_aggregate", W(f"""
@@ -417,7 +417,7 @@ SELECT d.Year, d.Month, COUNT(DISTINCT f.SalesOrderID) AS OrderCount, COUNT(*) A
 FROM fact_sales f JOIN dim_date d ON f.OrderDateKey = d.DateKey GROUP BY d.Year, d.Month"""))
 def monthly_aggregate(spark, sf):
     st = star(spark, sf)
-    return A.monthly_aggregate(st.fact_lines, st.dim_date)
+    return A.monthly_aggregate(st.fact_measures, st.dim_date)
 
 
 @register("revenue_reconciliation", W(f"""
@@ -425,7 +425,7 @@ SELECT s AS source_revenue, t AS star_revenue, CAST(s - t AS DECIMAL(38,4)) AS d
 FROM (SELECT (SELECT {msum('LineTotal')} FROM slv_detail) AS s, (SELECT {msum('LineTotal')} FROM fact_sales) AS t)"""))
 def revenue_reconciliation(spark, sf):
     st = star(spark, sf)
-    return Q.revenue_reconciliation(st.silver["detail"], st.fact_lines)
+    return Q.revenue_reconciliation(st.silver["detail"], st.fact_measures)
 
 
 @register("calendar_gaps", W("""
@@ -572,7 +572,7 @@ FROM (SELECT (SELECT COUNT(*) FROM brz_detail) AS s, (SELECT COUNT(*) FROM fault
 def faulty_row_reconciliation(spark, sf):
     """Lost lines show up as a difference (DQ-3)."""
     st = star(spark, sf)
-    return Q.row_reconciliation(st.bronze["detail"], faulty_fact(st.fact_lines), "SalesOrderDetail", "Fact_Sales")
+    return Q.row_reconciliation(st.bronze["detail"], faulty_fact(st.fact_measures), "SalesOrderDetail", "Fact_Sales")
 
 
 @register("faulty_measure_check", W("""
@@ -582,7 +582,7 @@ SELECT COUNT(*) AS rows_checked,
 FROM faulty""", _FAULTY_CTE))
 def faulty_measure_check(spark, sf):
     """Wrong line totals are counted (DQ-4)."""
-    return Q.measure_check(faulty_fact(star(spark, sf).fact_lines))
+    return Q.measure_check(faulty_fact(star(spark, sf).fact_measures))
 
 
 @register("faulty_revenue_reconciliation", W(f"""
@@ -591,7 +591,7 @@ FROM (SELECT (SELECT {msum('LineTotal')} FROM slv_detail) AS s, (SELECT {msum('L
 def faulty_revenue_reconciliation(spark, sf):
     """Lost and wrong lines change the revenue (SPEC-7)."""
     st = star(spark, sf)
-    return Q.revenue_reconciliation(st.silver["detail"], faulty_fact(st.fact_lines))
+    return Q.revenue_reconciliation(st.silver["detail"], faulty_fact(st.fact_measures))
 
 
 _FAULTY_DAYS = f"SELECT d FROM ({_SPAN_DAYS}) WHERE day(d) <> 15 UNION ALL SELECT d FROM ({_SPAN_DAYS}) WHERE day(d) = 2"

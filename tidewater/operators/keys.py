@@ -52,10 +52,13 @@ def assign_sequential_key(df: DataFrame, order_by: Sequence[str | Column], key:
 
 
 def current_lookup(dim: DataFrame, natural_key: str, columns: Sequence[str]) -> DataFrame:
-    """One row per natural key with ``columns`` of its current version (the one
-    with the largest first column, the surrogate key, if several are open)."""
+    """One row per natural key with those of ``columns`` that ``dim`` has, of its
+    current version (the one with the largest first column, the surrogate key, if
+    several are open)."""
     rows = dim.filter(F.col("IsCurrent")) if "IsCurrent" in dim.columns else dim
-    columns = list(columns)
+    columns = [c for c in columns if c in dim.columns]
+    if not columns:
+        return rows.select(natural_key).distinct()
     picked = rows.groupBy(natural_key).agg(F.max(F.struct(*columns)).alias("_v"))
     return picked.select(natural_key, *[F.col("_v")[c].alias(c) for c in columns])
 

@@ -38,7 +38,8 @@ def revenue_by_year(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def _with_product(fact: DataFrame, dim_product: DataFrame, cols: list[str]) -> DataFrame:
-    return fact.join(dim_product.select("ProductKey", *cols), "ProductKey")
+    key = "ProductKey" if "ProductKey" in dim_product.columns else "ProductID"
+    return fact.join(dim_product.select(key, *cols), key)
 
 
 def top_products(fact: DataFrame, dim_product: DataFrame, k: int = 10) -> DataFrame:

@@ -138,9 +138,15 @@ def english_descriptions(model_description: DataFrame, description: DataFrame,
 
 def dim_product(product: DataFrame, category: DataFrame, model: DataFrame, cfg: RunConfig,
                 descriptions: DataFrame | None = None) -> DataFrame:
-    # Keys are assigned on the product table itself: every enrichment below is
-    # a left lookup on a unique key, so it neither adds nor removes products.
+    # Keys are assigned on the product table itself: every enrichment is a left
+    # lookup on a unique key, so it neither adds nor removes products.
     df = assign_sequential_key(product, ["ProductID"], "ProductKey")
+    return product_attributes(df, category, model, cfg, descriptions)
+
+
+def product_attributes(df: DataFrame, category: DataFrame, model: DataFrame, cfg: RunConfig,
+                       descriptions: DataFrame | None = None) -> DataFrame:
+    """Products with category, model and description: Dim_Product, keyed or not."""
     cats = flatten_parent(category, "ProductCategoryID", "ParentProductCategoryID", "Name",
                           "ProductCategoryName", "ParentProductCategoryName")
     models = model.groupBy("ProductModelID").agg(F.min("Name").alias("ProductModelName"))
@@ -152,7 +158,7 @@ def dim_product(product: DataFrame, category: DataFrame, model: DataFrame, cfg:
         df = df.withColumn("ProductName", F.lit(None).cast("string"))
     df = df.withColumn("IsDiscontinued", F.col("DiscontinuedDate").isNotNull())
     df = with_scd_columns(df, cfg.today())
-    return df.select(DIM_PRODUCT_COLUMNS)
+    return df.select([c for c in DIM_PRODUCT_COLUMNS if c in df.columns])
 
 
 def dim_address(silver: DataFrame, cfg: RunConfig, unknown_member: bool = True) -> DataFrame:
@@ -208,7 +214,9 @@ def fact_sales(detail: DataFrame, header: DataFrame, dim_product_df: DataFrame,
     lines like inner joins; ship date and the two address roles are optional.
     With ``unknown_address_key`` a missing address maps to the -1 member (SPEC-10).
     Without ``dim_address_df`` the address roles are left out: they never change
-    rows or measures, so a query that reads no address plans none.
+    rows or measures, so a query that reads no address plans none. Dimensions
+    without surrogate keys give the same rows and measures, with the natural
+    keys (ProductID) in place of the surrogate ones.
     """
     lines = detail.select("SalesOrderID", "SalesOrderDetailID", "OrderQty", "ProductID",
                           "UnitPrice", "UnitPriceDiscount", "LineTotal")
@@ -242,6 +250,8 @@ def fact_sales(detail: DataFrame, header: DataFrame, dim_product_df: DataFrame,
     source = {"ProductStandardCost": "StandardCost", "OrderSubTotal": "SubTotal", "OrderTaxAmt": "TaxAmt",
               "OrderFreight": "Freight", "OrderTotal": "TotalDue", "OrderStatus": "Status"}
     columns = [c for c in FACT_SALES_COLUMNS if c != "SalesKey" and source.get(c, c) in f.columns]
+    if "ProductKey" not in columns:
+        columns.append("ProductID")
     f = f.select(*[F.col(source.get(c, c)).alias(c) for c in columns])
     if not with_sales_key:
         return f

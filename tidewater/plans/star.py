@@ -80,6 +80,19 @@ class Star:
         return G.fact_sales(s["detail"], s["header"], self.dim_product, self.dim_customer,
                             None, self.cfg, with_sales_key=False)
 
+    @cached_property
+    def products(self) -> DataFrame:
+        """Dim_Product without its surrogate key, so nothing is numbered."""
+        s = self.silver
+        return G.product_attributes(s["product"], s["product_category"], s["product_model"], self.cfg, self.descriptions)
+
+    @cached_property
+    def fact_measures(self) -> DataFrame:
+        """``fact_lines`` by natural keys: for reports that show no surrogate key."""
+        s = self.silver
+        return G.fact_sales(s["detail"], s["header"], s["product"].select("ProductID", "StandardCost"),
+                            s["customer"].select("CustomerID"), None, self.cfg, with_sales_key=False)
+
     @cached_property
     def fact_places(self) -> DataFrame:
         """``fact_lines`` with the address roles."""
