@@ -78,7 +78,7 @@ class WaveletRanks:
             bits = (rest >> rest.dtype.type(k)) & one != 0
             self.planes.append(Bits(bits))
             self.zeros.append(len(bits) - int(np.count_nonzero(bits)))
-            rest = np.concatenate([rest[~bits], rest[bits]])
+            rest = np.concatenate([rest[np.flatnonzero(~bits)], rest[np.flatnonzero(bits)]])
 
     def walk(self, symbol: np.ndarray, i: np.ndarray) -> np.ndarray:
         """Where position i ends up when the planes are followed by the symbol's bits."""

@@ -52,7 +52,7 @@ def build(ids: np.ndarray) -> bytes:
     zeros, table, blocks = [], [], []
     for k in range(planes - 1, -1, -1):
         bits = (rest >> rest.dtype.type(k)) & rest.dtype.type(1) != 0
-        rest = np.concatenate([rest[~bits], rest[bits]])
+        rest = np.concatenate([rest[np.flatnonzero(~bits)], rest[np.flatnonzero(bits)]])
         zeros.append(len(bits) - int(np.count_nonzero(bits)))
         raw = np.packbits(bits, bitorder="little")
         ones = 0
@@ -172,8 +172,8 @@ class WaveletMatrix:
             raw = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
             bits = np.unpackbits(raw, count=self.n, bitorder="little").view(bool)
             z, up = int(self.zeros[p]), np.empty_like(cur)
-            up[~bits] = cur[:z]
-            up[bits] = cur[z:] | one(1 << (self.planes - 1 - p))
+            up[np.flatnonzero(~bits)] = cur[:z]
+            up[np.flatnonzero(bits)] = cur[z:] | one(1 << (self.planes - 1 - p))
             cur = up
             self._open.clear()
         return cur
