@@ -199,6 +199,15 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch):
     assert got == brute_spans(texts, range(len(texts)))
 
 
+def test_suffix_dedup_without_broadcasts(spark, monkeypatch):
+    from tidewater.llm import common
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    texts = dedup_cases()
+    got = sorted(tuple(r) for r in suffix_dedup.repeat_digest(frame(spark, texts)).collect())
+    assert got == brute_spans(texts, range(len(texts)))
+
+
 def test_suffix_dedup_repeated_ids_columns_and_empty(spark):
     texts = dedup_cases()[:20]
     ids = [*range(18), 17, 17]

@@ -41,10 +41,19 @@ def clear_staged(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
-    """Hint a broadcast only when ``df`` is counted to hold at most ``max_rows``
-    (narrow) rows; otherwise the join shuffles."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+#: Most rows, and most bytes of their one wide column, that a broadcast may hold.
+BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 64 << 20
+
+
+def broadcast_if_small(df: DataFrame, wide: str | None = None) -> DataFrame:
+    """Hint a broadcast only when ``df`` is counted to hold few enough rows, and
+    few enough bytes in its ``wide`` column if it has one; else the join shuffles."""
+    if df.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return df
+    if wide and (df.agg(F.sum(F.octet_length(wide))).first()[0] or 0) > BROADCAST_BYTES:
+        return df
+    return F.broadcast(df)
 
 
 def byte_table(keep) -> bytes:

@@ -179,7 +179,7 @@ class WaveletMatrix:
         return cur
 
 
-def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, shard_ids: int = 2_000_000,
+def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, shard_ids: int = 500_000,
                  path: str | None = None) -> DataFrame:
     """Encode every text and write the shard files; returns them reread. ``path``
     names the folder, the session's shared folder is used without one."""

@@ -373,5 +373,5 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
                 [b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
 
-    joined = read.join(broadcast_if_small(wrappers, 20_000), "host", "left").select("page_id", "url", "html", "wrapper")
+    joined = read.join(broadcast_if_small(wrappers, "wrapper"), "host", "left").select("page_id", "url", "html", "wrapper")
     return joined.mapInArrow(run, "page_id long, url string, text string, n_chars long")
