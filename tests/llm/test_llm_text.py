@@ -199,6 +199,19 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch):
     assert got == brute_spans(texts, range(len(texts)))
 
 
+@pytest.mark.parametrize("contexts", [1, 2, 10])
+def test_windows_that_travel_alone_change_no_result(spark, monkeypatch, contexts):
+    rng = np.random.default_rng(12)
+    letters = np.array(list("abcdefgh "))
+    passage = "".join(rng.choice(letters, 300))
+    texts = dedup_cases() + ["".join(rng.choice(letters, 120)) + passage + "".join(rng.choice(letters, 90)) for _ in range(25)]
+    df = frame(spark, texts).coalesce(1)
+    monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", contexts)
+    hot = suffix_dedup.hot_kmers(df)
+    assert len(hot) and (np.diff(hot.astype(object)) > 0).all()
+    assert sorted(tuple(r) for r in suffix_dedup.repeat_digest(df).collect()) == brute_spans(texts, range(len(texts)))
+
+
 def test_suffix_dedup_without_broadcasts(spark, monkeypatch):
     from tidewater.llm import common
     monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
@@ -238,9 +251,9 @@ def test_suffix_sort_is_lexicographic():
 def test_long_text_is_hashed_in_chunks(spark, monkeypatch):
     rng = np.random.default_rng(4)
     raw = "".join(rng.choice(list("abcdefgh"), 5000)).encode()
-    whole = sorted((int(s), int(e)) for _, _, start, end, _ in suffix_dedup.anchors(raw) for s, e in zip(start, end))
+    whole = sorted((int(s), int(e)) for _, _, start, end, _, _ in suffix_dedup.anchors(raw) for s, e in zip(start, end))
     monkeypatch.setattr(suffix_dedup, "CHUNK", 700)
-    cut = [(int(s), int(e)) for _, _, start, end, _ in suffix_dedup.anchors(raw) for s, e in zip(start, end)]
+    cut = [(int(s), int(e)) for _, _, start, end, _, _ in suffix_dedup.anchors(raw) for s, e in zip(start, end)]
     windows = lambda found: sorted(p for s, e in found for p in range(s, e - 99))
     assert windows(whole) == windows(cut) == list(range(len(raw) - 99))
 
