@@ -3,6 +3,7 @@ broadcasts, byte-level word rules."""
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import numpy as np
@@ -56,6 +57,15 @@ def broadcast_if_small(df: DataFrame, wide: str | None = None) -> DataFrame:
     return F.broadcast(df)
 
 
+def give_back_memory() -> None:
+    """Return freed memory to the system at the end of a task: a worker process
+    serves tasks of several operators, and what one of them freed would stay with
+    it. Does nothing where the C library has no such call."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def byte_table(keep) -> bytes:
     """A bytes.translate table: A-Z to a-z, bytes outside ``keep`` to a space."""
     low = [b + 32 if 65 <= b <= 90 else b for b in range(256)]
