@@ -304,6 +304,18 @@ def test_a_host_without_article_keeps_variable_slots():
                               wrappers.slot_rules(w)) == "body 9"
 
 
+@pytest.mark.parametrize("body, want", [
+    ("<article class='post has-comments'><p>a</p></article>", "a"), ("<main id='search-results'><p>a</p></main>", "a"),
+    ("<article class='post related'><p>a</p><article class='related'>r</article></article>", "a"),
+    ("<div class='sidebar'><article>card</article></div><article><p>a</p></article>", "a"),
+    ("<div class='ad'>buy<article><p>a</p></article>", "a"), ("<form><article><p>a</p></article></form>", "a"),
+    ("<article><p>a</p><div class='top notice'>n</div></article>", "a"),
+])
+def test_words_mark_whole_tokens_and_never_the_frame(body, want):
+    page = f"<html><body class='comments-open sidebar'>{body}</body></html>"
+    assert wrappers.main_text(page, wrappers.slot_rules(wrappers.items_of(wrappers.parse(page)))) == want
+
+
 # --- quality ----------------------------------------------------------------------------------
 
 def test_model_is_a_distribution(spark):

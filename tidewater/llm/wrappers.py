@@ -57,15 +57,16 @@ BOILERPLATE_WORDS = frozenset(
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s>/]*)[^>]*>|"
                    r"<([a-zA-Z][^\s>/]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
-WORD = re.compile(r"[A-Za-z]+")
+NO_NAME = re.compile(r"[^a-z-]+")
 
 
 def _label(tag: str, attributes: str) -> str:
-    """Tag and the words of its class, id and role, without digits."""
+    """Tag and the whole tokens of its class, id and role, without digits."""
     if not attributes or "=" not in attributes:
         return tag
-    words = [w.lower() for m in NAMES.finditer(attributes) for w in WORD.findall(m[2] or m[3] or m[4] or "")]
-    return ".".join([tag, *sorted(set(words))])
+    tokens = [w.lower() for m in NAMES.finditer(attributes) for w in (m[2] or m[3] or m[4] or "").split()]
+    words = {NO_NAME.sub("_", re.sub("[0-9]+", "", w)).strip("-_") for w in tokens}
+    return ".".join([tag, *sorted(words - {""})])
 
 
 def parse(page: str) -> list:
@@ -73,6 +74,8 @@ def parse(page: str) -> list:
     markup is transparent, end tags that were left out are supplied."""
     root: list = ["#root"]
     stack, names, at = [root], ["#root"], 0
+    ended: dict[int, bool] = {}  # place of an open element's start -> does its end tag follow?
+    starts = [0]
 
     def text(piece: str) -> None:
         if piece and not piece.isspace():
@@ -81,7 +84,7 @@ def parse(page: str) -> list:
             stack[-1].append(" ")
 
     def pop_to(k: int) -> None:
-        del stack[k:], names[k:]
+        del stack[k:], names[k:], starts[k:]
 
     while True:
         m = TOKEN.search(page, at)
@@ -118,24 +121,52 @@ def parse(page: str) -> list:
                 k = len(names) - 1 - names[::-1].index(other)
                 if not any(n in ("ul", "ol", "dl", "table", "select") for n in names[k:]):
                     pop_to(k)
-        if name in MAIN_TAGS:  # a menu or notice that was left open ends here
-            bad = [k for k, s in enumerate(stack) if _is_boilerplate(s[0])]
-            if bad and names[bad[0]] not in ("aside", "footer") and not _comments(stack[bad[0]][0]):
-                pop_to(bad[0])
+        if name in MAIN_TAGS:  # a menu or notice whose end tag is missing ends here
+            for k, s in enumerate(stack):
+                if names[k] == "form":  # a form around the article is the page's frame
+                    s[0] = "div" + s[0][len(s[0].split(".")[0]):]
+                bad = _is_boilerplate(s[0], "article" in names[:k])
+                if bad and names[k] not in ("aside", "footer") and not _comments(s[0]):
+                    if starts[k] not in ended:
+                        ended[starts[k]] = _end_follows(page, m.start(), names[k], names[k:].count(names[k]))
+                    if not ended[starts[k]]:
+                        pop_to(k)
+                        break
         if len(stack) >= DEPTH:  # deeper elements add their text to the deepest one kept
             if name not in VOID and not m[3].endswith("/"):
                 stack.append(stack[-1])
                 names.append(name)
+                starts.append(at)
             continue
         node: list = [_label(name, m[3])]
         stack[-1].append(node)
         if name not in VOID and not m[3].endswith("/"):
             stack.append(node)
             names.append(name)
+            starts.append(at)
 
 
-def _is_boilerplate(label: str) -> bool:
+def _end_follows(page: str, at: int, name: str, depth: int) -> bool:
+    """Does the end tag of the outermost of ``depth`` open elements come after ``at``?"""
+    while (m := TOKEN.search(page, at)) is not None:
+        at = m.end()
+        tag = (m[1] or m[2] or "").lower()
+        if m[2] and tag in RAW and not m[3].endswith("/"):
+            close = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
+            at = len(page) if close is None else page.find(">", close.start()) + 1 or len(page)
+        elif tag == name:
+            depth += -1 if m[1] else not m[3].endswith("/")
+            if not depth:
+                return True
+    return False
+
+
+def _is_boilerplate(label: str, in_article: bool = False) -> bool:
+    """By tag, or by a token that is such a word; tokens do not count on the frame of
+    a page: html, body, main and an article that is not inside another one."""
     tag, *words = label.split(".")
+    if tag in ("html", "body", "main") or (tag == "article" and not in_article):
+        return False
     return tag in BOILERPLATE_TAGS or not BOILERPLATE_WORDS.isdisjoint(words) or (tag == "header")
 
 
@@ -238,7 +269,7 @@ def slot_rules(items: list) -> dict[str, bool]:
     """Path of labels -> does the text there belong to the main text?"""
     rules: dict[str, bool] = {}
 
-    def has_main(level: list, dropped: bool) -> bool:
+    def has_main(level: list, dropped: bool) -> bool:  # ends at the first article, so none is inside another
         for kind, _, body in level:
             if kind == "+" and has_main(body, dropped):
                 return True
@@ -260,7 +291,7 @@ def slot_rules(items: list) -> dict[str, bool]:
             else:
                 label = kind[2:]
                 inside = main or label.split(".")[0] in MAIN_TAGS
-                bad = dropped or (_is_boilerplate(label) and not (main and label.split(".")[0] == "header"))
+                bad = dropped or (_is_boilerplate(label, "/article" in path) and not (main and label.split(".")[0] == "header"))
                 listed = label.split(".")[0] == "li" and [x[0].split(".")[0] for x in body] in (["e:a"], [])
                 walk(body, f"{path}/{label}", inside, bad, links or listed)
 
