@@ -304,6 +304,16 @@ def test_a_host_without_article_keeps_variable_slots():
                               wrappers.slot_rules(w)) == "body 9"
 
 
+def test_each_page_decides_whether_it_has_a_main_element(spark):
+    plain = "<body><div>Site name</div><div class=text><p>{}</p></div></body>"
+    pages = [(1, "http://a.com/1", "<body><article><p>one</p></article></body>"), (2, "http://a.com/2", plain.format("body two")),
+             (3, "http://a.com/3", plain.format("the third body")), (4, "http://b.com/1", plain.format("single")),
+             (5, "http://c.com/1", plain.format("copied")), (6, "http://c.com/2", plain.format("copied"))]
+    rows = wrappers.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in rows} == {1: "one", 2: "body two", 3: "the third body", 4: "Site name single",
+                                                 5: "Site name copied", 6: "Site name copied"}
+
+
 @pytest.mark.parametrize("body, want", [
     ("<article class='post has-comments'><p>a</p></article>", "a"), ("<main id='search-results'><p>a</p></main>", "a"),
     ("<article class='post related'><p>a</p><article class='related'>r</article></article>", "a"),
@@ -313,7 +323,7 @@ def test_a_host_without_article_keeps_variable_slots():
 ])
 def test_words_mark_whole_tokens_and_never_the_frame(body, want):
     page = f"<html><body class='comments-open sidebar'>{body}</body></html>"
-    assert wrappers.main_text(page, wrappers.slot_rules(wrappers.items_of(wrappers.parse(page)))) == want
+    assert wrappers.main_text(page, wrappers.slot_rules(wrappers.items_of(wrappers.parse(page)), set())) == want
 
 
 # --- quality ----------------------------------------------------------------------------------

@@ -10,20 +10,24 @@ Folding two wrappers is the same operation, so workers fold the pages they read
 and partial wrappers meet in two steps (host and salt, then host), streaming: a
 host with a third of all pages is many partial folds, never one collected group.
 
-The finished wrapper decides which slots hold main text: those inside its article
-or main element, outside of menus, adverts, forms, comments and the like; where a
-template has no such element, the variable slots of the body outside of these and
-outside of lists of links. Wrappers are joined to the pages by host and every page
-is cut along its slots.
-
-Defined cases: null and empty html, and html without main text, give an empty
-text; a null or malformed url belongs to the host ``''``; repeated rows are cut
+A host has two wrappers: of its pages with an article or main element and of those
+without. On the former, main text is what stands inside that element, outside of
+menus, adverts, forms, comments and the like; on the latter, what stands outside of
+these and outside of lists of links. Wrappers are joined to the pages by host. The
+blocks of text in a slot are counted over all pages (aggregates, no key is
+collected): a block that stands in a slot on every page that has the slot, and on
+two different pages at least, is template and goes. Pages with the same longest
+block are copies of one page.
+
+Defined cases: null and empty html, and html without main text or without any
+element, give an empty text; a null or malformed url belongs to the host ``''``; repeated rows are cut
 one by one; very long pages are read whole; an empty table gives no rows. Other
 columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -265,68 +269,89 @@ def align(a: list, b: list) -> list:
     return fold_runs(out)
 
 
-def slot_rules(items: list) -> dict[str, bool]:
-    """Path of labels -> does the text there belong to the main text?"""
-    rules: dict[str, bool] = {}
+def _digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
+def has_main(node: list) -> bool:
+    """Does a parsed page hold an article or main element outside of boilerplate?"""
+    return any(not _is_boilerplate(c[0]) and (c[0].split(".")[0] in MAIN_TAGS or has_main(c))
+               for c in node[1:] if not isinstance(c, str))
+
+
+def _places(node: list, items: list) -> Iterator[tuple[str, list | None]]:
+    """The place of each child among its siblings, by its label."""
+    for child in node[1:]:
+        yield ("t" if isinstance(child, str) else child[0]), None
 
-    def has_main(level: list, dropped: bool) -> bool:  # ends at the first article, so none is inside another
-        for kind, _, body in level:
-            if kind == "+" and has_main(body, dropped):
-                return True
-            if kind.startswith("e:"):
-                bad = dropped or _is_boilerplate(kind[2:])
-                if not bad and (kind[2:].split(".")[0] in MAIN_TAGS or has_main(body, bad)):
-                    return True
-        return False
 
-    wanted = has_main(items, False)
+class Rules:
+    """A template and the digests (slot, text) of its constant blocks."""
 
-    def walk(level: list, path: str, main: bool, dropped: bool, links: bool) -> None:
+    def __init__(self, items: list, constant: set[tuple[int, int]]):
+        self.items, self.constant = items, constant
+
+
+def slot_rules(items: list, constant: set[tuple[int, int]] | None = None) -> Rules:
+    """The rules of a template; its own constant texts where no counted ones are given."""
+    def walk(level: list, path: str) -> Iterator[tuple[int, int]]:
         for kind, _, body in level:
-            if kind == "t":
-                keep = not dropped and (main if wanted else body is None and not links)
-                rules[path] = rules.get(path, False) or keep
-            elif kind == "+":
-                walk(body, path, main, dropped, links)
-            else:
-                label = kind[2:]
-                inside = main or label.split(".")[0] in MAIN_TAGS
-                bad = dropped or (_is_boilerplate(label, "/article" in path) and not (main and label.split(".")[0] == "header"))
-                listed = label.split(".")[0] == "li" and [x[0].split(".")[0] for x in body] in (["e:a"], [])
-                walk(body, f"{path}/{label}", inside, bad, links or listed)
+            if kind == "t" and body is not None:
+                yield _digest(path + "/t"), _digest(body)
+            elif kind != "t":
+                yield from walk(body, path if kind == "+" else f"{path}/{kind[2:]}")
 
-    walk(items, "", False, False, False)
-    return rules
+    return Rules(items, set(walk(items, "")) if constant is None else constant)
 
 
-def main_text(page: str, rules: dict[str, bool]) -> str:
-    """The kept slots of a page: blocks in page order, joined by one space."""
-    blocks: list[str] = []
+def blocks(tree: list, items: list) -> list[tuple[int, str]]:
+    """(slot, text) of a page's blocks in page order: those inside its main element or,
+    on a page without one, all outside of boilerplate and lists of links. Text on a
+    page without any element is in no slot."""
+    out: list[tuple[int, str]] = []
     run: list[str] = []
+    slot = [""]
+    wanted = has_main(tree)
 
     def close() -> None:
         words = " ".join("".join(run).split())
         run.clear()
         if words:
-            blocks.append(words)
+            out.append((_digest(slot[0]), words))
 
-    def walk(node: list, path: str) -> None:
-        keep = rules.get(path, False)
-        for child in node[1:]:
+    def walk(node: list, items: list, path: str, main: bool, dropped: bool, links: bool) -> None:
+        keep = not dropped and (main if wanted else not links)
+        for child, (place, body) in zip(node[1:], _places(node, items)):
             if isinstance(child, str):
                 if keep:
+                    if not run or "".join(run).isspace():
+                        slot[0] = f"{path}/{place}"
                     run.append(child)
-            else:
-                inline = child[0].split(".")[0] == "a"
-                if not inline:
-                    close()
-                walk(child, f"{path}/{child[0]}")
-                if not inline:
-                    close()
-
-    walk(parse(page), "")
-    close()
-    return " ".join(blocks)
+                continue
+            tag = child[0].split(".")[0]
+            if tag != "a":
+                close()
+            bad = dropped or (_is_boilerplate(child[0], "/article" in path) and not (main and tag == "header"))
+            inside = [x[0].split(".")[0] for x in body] if body is not None else \
+                ["e:" + c[0].split(".")[0] if not isinstance(c, str) else "t" for c in child[1:] if not isinstance(c, str) or not c.isspace()]
+            listed = tag == "li" and inside in (["e:a"], [])
+            walk(child, body or [], f"{path}/{place}", main or tag in MAIN_TAGS, bad, links or listed)
+            if tag != "a":
+                close()
+
+    if any(not isinstance(c, str) for c in tree[1:]):
+        walk(tree, items, "main:" if wanted else "", False, False, False)
+        close()
+    return out
+
+
+def main_text(page: str, rules: Rules, of_main: Rules | None = None) -> str:
+    """The kept blocks of a page, joined by one space. ``of_main``: the rules of pages
+    with a main element, where they have a template of their own."""
+    tree = parse(page)
+    if of_main is not None and has_main(tree):
+        rules = of_main
+    return " ".join(t for s, t in blocks(tree, rules.items) if (s, _digest(t)) not in rules.constant)
 
 
 def _fold(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -346,7 +371,7 @@ def _fold(df: DataFrame, keys: list[str]) -> DataFrame:
                     held = None
                 key = now
                 w = json.loads(wrapper)
-                held = w if held is None else align(held, w)
+                held = w if held is None else [y if x is None else x if y is None else align(x, y) for x, y in zip(held, w)]
         if key is not None:
             yield row()
 
@@ -355,7 +380,8 @@ def _fold(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper): the wrapper of each host as JSON. ``pages``: host, html."""
+    """(host, wrapper): the wrappers of each host as JSON, that of its pages without a
+    main element and that of its pages with one. ``pages``: host, html."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         salt = TaskContext.get().partitionId() % 32
@@ -369,8 +395,10 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 
         for b in batches:
             for host, page in zip(*(c.to_pylist() for c in b.columns)):
-                w = items_of(parse(page))
-                held[host] = align(held[host], w) if host in held else w
+                tree = parse(page)
+                kind, w = has_main(tree), items_of(tree)
+                mine = held.setdefault(host, [None, None])
+                mine[kind] = w if mine[kind] is None else align(mine[kind], w)
             if len(held) > 2000:
                 yield flush()
         yield flush()
@@ -380,29 +408,86 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
     return _fold(by_salt, ["host"]).select("host", "wrapper")
 
 
+def _rules(wrapper: str, constant: str | None = None) -> list[Rules]:
+    """Both rules of a host; ``constant`` holds slot:text digests."""
+    pairs = {(int(s), int(t)) for s, t in (c.split(":") for c in (constant or "").split())}
+    return [slot_rules(w or [], pairs) for w in json.loads(wrapper)]
+
+
+def constant_blocks(pages: DataFrame) -> DataFrame:
+    """(host, constant): blocks that stand in a slot on every page of the host's template
+    that has the slot, and on two different pages at least; pages with the same longest
+    block are copies. ``pages``: host, html, wrapper."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, int], list] = {}  # pages, text digest -> smallest and largest page
+        rules: dict[str, list[Rules]] = {}
+
+        def flush() -> pa.RecordBatch:
+            rows = []
+            for (host, slot), (n, texts) in held.items():
+                rows.append((host, slot, None, n, None, None))
+                rows += [(host, slot, t, n, lo, hi) for t, (lo, hi) in texts.items()]
+            held.clear()
+            cols = list(zip(*rows)) or [()] * 6
+            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *[pa.array(c, pa.int64()) for c in cols[1:]]],
+                                              names=["host", "slot", "text", "n", "lo", "hi"])
+
+        for b in batches:
+            for host, page, wrapper in zip(*(c.to_pylist() for c in b.columns)):
+                if wrapper not in rules:
+                    if len(rules) > 1000:
+                        rules.clear()
+                    rules[wrapper] = _rules(wrapper)
+                tree = parse(page)
+                found = blocks(tree, rules[wrapper][has_main(tree)].items)
+                number = _digest(max((t for _, t in found), key=lambda t: (len(t), t), default=""))
+                slots: dict[int, set[int]] = {}
+                for slot, text in found:
+                    slots.setdefault(slot, set()).add(_digest(text))
+                for slot, texts in slots.items():
+                    mine = held.get((host, slot))
+                    if mine is None:
+                        held[host, slot] = [1, {t: (number, number) for t in texts}]
+                    else:  # a text that a page lacks is not constant
+                        mine[0] += 1
+                        mine[1] = {t: (min(lo, number), max(hi, number)) for t, (lo, hi) in mine[1].items() if t in texts}
+            if len(held) > 50_000:
+                yield flush()
+        yield flush()
+
+    parts = pages.mapInArrow(run, "host string, slot long, text long, n long, lo long, hi long")
+    found = stage(parts.groupBy("host", "slot", "text").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")), "slots")
+    every = found.filter("text IS NULL").select("host", "slot", F.col("n").alias("pages"))
+    return found.filter("text IS NOT NULL AND lo <> hi").join(every, ["host", "slot"]).filter("n = pages") \
+        .groupBy("host").agg(F.array_join(F.sort_array(F.collect_list(F.concat_ws(":", "slot", "text"))), " ").alias("constant"))
+
+
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of ``pages`` (page_id, url, html)."""
     small_batches(pages.sparkSession)
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     read = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host.alias("host"))
     wrappers = stage(infer_wrappers(read), "wrappers")
+    known = read.filter("html <> ''").join(broadcast_if_small(wrappers, "wrapper"), "host").select("host", "html", "wrapper")
+    wrappers = stage(wrappers.join(constant_blocks(known), "host", "left"), "wrappers-constant")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rules: dict[str, dict[str, bool]] = {}
+        rules: dict[tuple[str, str], list[Rules]] = {}
         for b in batches:
             texts = []
-            for page, wrapper in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                if not page or wrapper is None:
+            for page, *key in zip(*(b.column(k).to_pylist() for k in (2, 3, 4))):
+                key = tuple(key)
+                if not page or key[0] is None:
                     texts.append("")
                     continue
-                if wrapper not in rules:
+                if key not in rules:
                     if len(rules) > 1000:
                         rules.clear()
-                    rules[wrapper] = slot_rules(json.loads(wrapper))
-                texts.append(main_text(page, rules[wrapper]))
+                    rules[key] = _rules(*key)
+                texts.append(main_text(page, *rules[key]))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
 
-    joined = read.join(broadcast_if_small(wrappers, "wrapper"), "host", "left").select("page_id", "url", "html", "wrapper")
+    joined = read.join(broadcast_if_small(wrappers, "wrapper"), "host", "left").select("page_id", "url", "html", "wrapper", "constant")
     return joined.mapInArrow(run, "page_id long, url string, text string, n_chars long")
