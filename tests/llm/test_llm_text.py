@@ -314,6 +314,21 @@ def test_each_page_decides_whether_it_has_a_main_element(spark):
                                                  5: "Site name copied", 6: "Site name copied"}
 
 
+def test_constant_blocks_go_by_their_slot(spark):
+    # equal labels at different positions; a plain <p> in a run of variable ones; an optional block
+    form = ("<body><main><div class=x>Read our terms, {0}</div><div class=x>Shown on every page</div><p>Share this {1}</p>"
+            "<p>Write to <a>us</a> now</p><p>{2}</p><p>{3}</p>{4}</main></body>")
+    pages = [(k, f"http://a.com/{k}", form.format(k, k, f"first {k}", f"second and longer text {k}", "<h4>optional</h4>" if k % 2 else ""))
+             for k in range(5)]
+    pages.append((9, "http://a.com/9", form.format(9, 9, "Shown on every page", "Write to us", "")))
+    rows = wrappers.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)).collect()
+    want = {k: f"Read our terms, {k} Share this {k} first {k} second and longer text {k}" for k in range(5)}
+    want[9] = "Read our terms, 9 Share this 9 Shown on every page Write to us"
+    got = {r.page_id: r.text for r in rows}
+    # neighbouring divs of one label are a repeated group: what stands in it on every page goes
+    assert got == want
+
+
 @pytest.mark.parametrize("body, want", [
     ("<article class='post has-comments'><p>a</p></article>", "a"), ("<main id='search-results'><p>a</p></main>", "a"),
     ("<article class='post related'><p>a</p><article class='related'>r</article></article>", "a"),

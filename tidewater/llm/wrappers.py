@@ -13,8 +13,9 @@ host with a third of all pages is many partial folds, never one collected group.
 A host has two wrappers: of its pages with an article or main element and of those
 without. On the former, main text is what stands inside that element, outside of
 menus, adverts, forms, comments and the like; on the latter, what stands outside of
-these and outside of lists of links. Wrappers are joined to the pages by host. The
-blocks of text in a slot are counted over all pages (aggregates, no key is
+these and outside of lists of links. Wrappers are joined to the pages by host and
+every page is matched with its wrapper, so that each block of its text has a slot: a
+position in the wrapper, one for all occurrences in a group. The blocks in a slot are counted over all pages (aggregates, no key is
 collected): a block that stands in a slot on every page that has the slot, and on
 two different pages at least, is template and goes. Pages with the same longest
 block are copies of one page.
@@ -31,6 +32,7 @@ import hashlib
 import html
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -279,10 +281,52 @@ def has_main(node: list) -> bool:
                for c in node[1:] if not isinstance(c, str))
 
 
-def _places(node: list, items: list) -> Iterator[tuple[str, list | None]]:
-    """The place of each child among its siblings, by its label."""
+class Sequence:
+    """The items of an element in a row, those of a group one after the other: place,
+    child items and, for an item of a group, its first and last index."""
+
+    def __init__(self, items: list):
+        self.rows: list[tuple[str, list | None, int, int]] = []
+        self.by_key: dict[str, list[int]] = {}
+        for k, item in enumerate(items):
+            group = item[2] if item[0] == "+" else [item]
+            first = len(self.rows)
+            last = first + len(group) - 1 if item[0] == "+" else -1
+            for q, (kind, _, body) in enumerate(group):
+                self.by_key.setdefault(kind, []).append(len(self.rows))
+                self.rows.append((f"{k}.{q}" if item[0] == "+" else str(k), body if kind != "t" else None, first, last))
+
+
+def _places(node: list, items: list, known: dict[int, Sequence]) -> Iterator[tuple[str | None, list | None]]:
+    """Place and child items of the item that each child of an element is matched with:
+    a group starts again at its end, else the next item of the same kind, else the
+    first one; None without such an item. ``known`` holds the sequences by items."""
+    if id(items) not in known:
+        known[id(items)] = Sequence(items)
+    seq, at, text = known[id(items)], -1, False
     for child in node[1:]:
-        yield ("t" if isinstance(child, str) else child[0]), None
+        if isinstance(child, str):
+            key, again = "t", text or child.isspace()  # neighbouring texts are one item
+            text = text or not child.isspace()
+            if again:
+                yield (None if at < 0 or not text else seq.rows[at][0]), None
+                continue
+        else:
+            key, text = "e:" + child[0], False
+        found = seq.by_key.get(key)
+        if found is None:
+            yield None, None
+            continue
+        if at >= 0 and seq.rows[at][3] == at and seq.rows[at][2] in found:
+            at = seq.rows[at][2]
+        else:
+            k = bisect_right(found, at)
+            at = found[k] if k < len(found) else found[0]
+        yield seq.rows[at][:2]
+
+
+#: The items below an element that the wrapper does not hold.
+OUTSIDE: list = []
 
 
 class Rules:
@@ -290,57 +334,63 @@ class Rules:
 
     def __init__(self, items: list, constant: set[tuple[int, int]]):
         self.items, self.constant = items, constant
+        self.known: dict[int, Sequence] = {}
 
 
 def slot_rules(items: list, constant: set[tuple[int, int]] | None = None) -> Rules:
     """The rules of a template; its own constant texts where no counted ones are given."""
     def walk(level: list, path: str) -> Iterator[tuple[int, int]]:
-        for kind, _, body in level:
-            if kind == "t" and body is not None:
-                yield _digest(path + "/t"), _digest(body)
-            elif kind != "t":
-                yield from walk(body, path if kind == "+" else f"{path}/{kind[2:]}")
+        for place, body, kind in ((f"{k}.{q}" if item[0] == "+" else str(k), x[2], x[0])
+                                  for k, item in enumerate(level) for q, x in enumerate(item[2] if item[0] == "+" else [item])):
+            if kind != "t":
+                yield from walk(body, f"{path}/{place}")
+            elif body is not None:
+                yield from ((_digest(f"{kind_of_page}{path}/{place}"), _digest(body)) for kind_of_page in ("", "main:"))
 
     return Rules(items, set(walk(items, "")) if constant is None else constant)
 
 
-def blocks(tree: list, items: list) -> list[tuple[int, str]]:
-    """(slot, text) of a page's blocks in page order: those inside its main element or,
+def blocks(tree: list, rules: Rules) -> list[tuple[int | None, str]]:
+    """(slot, text) of a page's blocks in page order, the slot being the place of the
+    block's first text in the wrapper (None outside of it): those inside its main element or,
     on a page without one, all outside of boilerplate and lists of links. Text on a
     page without any element is in no slot."""
-    out: list[tuple[int, str]] = []
+    out: list[tuple[int | None, str]] = []
     run: list[str] = []
-    slot = [""]
+    slot: list[str | None] = [None]
     wanted = has_main(tree)
+    begun = [False]
 
     def close() -> None:
         words = " ".join("".join(run).split())
         run.clear()
+        begun[0] = False
         if words:
-            out.append((_digest(slot[0]), words))
+            out.append((None if slot[0] is None else _digest(slot[0]), words))
 
-    def walk(node: list, items: list, path: str, main: bool, dropped: bool, links: bool) -> None:
+    def walk(node: list, items: list, path: str | None, main: bool, dropped: bool, links: bool, article: bool) -> None:
         keep = not dropped and (main if wanted else not links)
-        for child, (place, body) in zip(node[1:], _places(node, items)):
+        for child, (place, body) in zip(node[1:], _places(node, items, rules.known)):
+            below = None if path is None or place is None else f"{path}/{place}"
             if isinstance(child, str):
                 if keep:
-                    if not run or "".join(run).isspace():
-                        slot[0] = f"{path}/{place}"
+                    if not begun[0] and not child.isspace():
+                        begun[0], slot[0] = True, below
                     run.append(child)
                 continue
             tag = child[0].split(".")[0]
             if tag != "a":
                 close()
-            bad = dropped or (_is_boilerplate(child[0], "/article" in path) and not (main and tag == "header"))
+            bad = dropped or (_is_boilerplate(child[0], article) and not (main and tag == "header"))
             inside = [x[0].split(".")[0] for x in body] if body is not None else \
                 ["e:" + c[0].split(".")[0] if not isinstance(c, str) else "t" for c in child[1:] if not isinstance(c, str) or not c.isspace()]
             listed = tag == "li" and inside in (["e:a"], [])
-            walk(child, body or [], f"{path}/{place}", main or tag in MAIN_TAGS, bad, links or listed)
+            walk(child, OUTSIDE if body is None else body, below, main or tag in MAIN_TAGS, bad, links or listed, article or tag == "article")
             if tag != "a":
                 close()
 
     if any(not isinstance(c, str) for c in tree[1:]):
-        walk(tree, items, "main:" if wanted else "", False, False, False)
+        walk(tree, rules.items, "main:" if wanted else "", False, False, False, False)
         close()
     return out
 
@@ -351,7 +401,7 @@ def main_text(page: str, rules: Rules, of_main: Rules | None = None) -> str:
     tree = parse(page)
     if of_main is not None and has_main(tree):
         rules = of_main
-    return " ".join(t for s, t in blocks(tree, rules.items) if (s, _digest(t)) not in rules.constant)
+    return " ".join(t for s, t in blocks(tree, rules) if (s, _digest(t)) not in rules.constant)
 
 
 def _fold(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -439,11 +489,12 @@ def constant_blocks(pages: DataFrame) -> DataFrame:
                         rules.clear()
                     rules[wrapper] = _rules(wrapper)
                 tree = parse(page)
-                found = blocks(tree, rules[wrapper][has_main(tree)].items)
+                found = blocks(tree, rules[wrapper][has_main(tree)])
                 number = _digest(max((t for _, t in found), key=lambda t: (len(t), t), default=""))
                 slots: dict[int, set[int]] = {}
                 for slot, text in found:
-                    slots.setdefault(slot, set()).add(_digest(text))
+                    if slot is not None:
+                        slots.setdefault(slot, set()).add(_digest(text))
                 for slot, texts in slots.items():
                     mine = held.get((host, slot))
                     if mine is None:
