@@ -236,6 +236,20 @@ def test_suffix_dedup_repeated_ids_columns_and_empty(spark):
     assert suffix_dedup.repeat_digest(frame(spark, [])).count() == 0
 
 
+def test_suffix_dedup_rows_without_id_or_with_one_id_are_cut_apart(spark):
+    rng = np.random.default_rng(13)
+    letters = np.array(list("abcdefgh "))
+    a, b, c, passage = ("".join(rng.choice(letters, n)) for n in (300, 400, 350, 150))
+    first = (1, passage + a)
+    # no id: unique bytes at the offset of another row's repeat stay, and of equal rows one stays
+    rows = [first, (None, passage + b), (None, c), (None, c), (7, a[:200] + c[:90] + b[:50]), (7, b[:45] + "x" + c[:80] + "y" * 99)]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS).repartition(3)
+    got = sorted((r.doc_id or -1, r.n_bytes, r.n_removed) for r in suffix_dedup.repeat_digest(df).collect())
+    assert got == sorted([(1, 450, 0), (-1, 550, 150), (-1, 350, 0), (-1, 350, 350), (7, 340, 200), (7, 225, 0)])
+    texts = sorted(r.text for r in suffix_dedup.remove_repeats(df).collect())
+    assert texts == sorted([passage + a, b, c, "", c[:90] + b[:50], rows[5][1]])
+
+
 def test_suffix_sort_is_lexicographic():
     rng = np.random.default_rng(2)
     parts = ["".join(rng.choice(list("ab"), int(rng.integers(32, 90)))).encode() for _ in range(60)]
