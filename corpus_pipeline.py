@@ -4,8 +4,8 @@ Each stage is a function of (spark, docs, sf_dir) over all documents that the
 one before kept; its result is written as Parquet and reread as the next one's
 documents. All but the last return the columns of documents.
 
-A verdict belongs to a doc_id: it holds for every row with that id, and a row
-without an id is never dropped, since no verdict can name it.
+A verdict belongs to a row: rows are told apart by a hash of id, language and text.
+Rows equal in all three get the same verdict, and one of them stays where copies go.
 """
 
 from __future__ import annotations
@@ -24,31 +24,42 @@ from tidewater.llm.suffix_dedup import remove_repeats
 from tidewater.llm.tokens import vocabulary_path
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose doc_id is in ``ids`` (column gone)."""
-    small = broadcast_if_small(ids)
-    return docs.join(small, docs.doc_id == small.gone, "left_anti")
+#: Column that tells rows apart while a stage runs.
+KEY = "__row_key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a hash of all that a verdict depends on."""
+    return docs.withColumn(KEY, F.xxhash64("doc_id", F.col("lang").isNull(), "lang", "text"))
+
+
+def _without(keyed: DataFrame, keys: DataFrame) -> DataFrame:
+    """``keyed`` without the rows whose key is in ``keys`` (column gone)."""
+    small = broadcast_if_small(keys)
+    return keyed.join(small, keyed[KEY] == small.gone, "left_anti")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
-    verdict = judge(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, verdict.filter("NOT kept").select(F.col("doc_id").alias("gone")).distinct())
+    keyed = _keyed(docs)
+    verdict = judge(keyed, table(spark, sf_dir, "labels"), key=KEY)
+    return _without(keyed, verdict.filter("NOT kept").select(F.col("key").alias("gone")).distinct()).drop(KEY)
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one with the smallest id."""
-    found = stage(near_duplicates(docs, words=3, budget=2), "near-duplicates")
-    per_id = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("rows"))
-    kept = _without(docs, per_id.filter("NOT stays").select(F.col("doc_id").alias("gone")))
-    repeated = per_id.filter("stays AND rows > 1").select(F.col("doc_id").alias("gone"))
+    """One row of each SimHash group stays: the first by id (null last) and key."""
+    keyed = _keyed(docs)
+    found = stage(near_duplicates(keyed, words=3, budget=2, key=KEY), "near-duplicates")
+    kept = _without(keyed, found.filter("NOT stays").select(F.col("key").alias("gone")).distinct())
+    repeated = found.filter("stays").groupBy(F.col("key").alias("gone")).count().filter("count > 1").select("gone")
     if not repeated.limit(1).count():
-        return kept
-    # rows that repeat an id are one document: the first by text stays
-    first = Window.partitionBy("doc_id").orderBy("text")
-    several = kept.join(repeated, kept.doc_id == repeated.gone, "left_semi") \
-        .select("*", F.row_number().over(first).alias("__row")).filter("__row = 1").drop("__row")
-    return _without(kept, repeated).unionByName(several)
+        return kept.drop(KEY)
+    # of equal rows one stays; a limit of one row works before the shuffle
+    small = broadcast_if_small(repeated)
+    one = Window.partitionBy(KEY).orderBy("text")
+    several = kept.join(small, kept[KEY] == small.gone, "left_semi") \
+        .select("*", F.row_number().over(one).alias("__row")).filter("__row = 1").drop("__row")
+    return _without(kept, repeated).unionByName(several).drop(KEY)
 
 
 def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,8 +70,10 @@ def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents contaminated with benchmark passages go."""
-    found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, stage(found.filter("contaminated").select(F.col("doc_id").alias("gone")).distinct(), "contaminated"))
+    keyed = _keyed(docs)
+    found = find_contamination(keyed.select(F.col(KEY).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    gone = stage(found.filter("contaminated").select(F.col("doc_id").alias("gone")).distinct(), "contaminated")
+    return _without(keyed, gone).drop(KEY)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

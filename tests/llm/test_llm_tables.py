@@ -232,6 +232,23 @@ def test_pipeline_repeated_ids_and_empty(spark, sf_small):
         assert fn(spark, empty, sf_small).count() == 0
 
 
+def test_pipeline_verdicts_go_by_row(spark, sf_small):
+    import corpus_pipeline as P
+    item = spark.read.parquet(f"{sf_small}/benchmark.parquet").filter("length(text) > 100").first().text
+    clean = spark.read.parquet(f"{sf_small}/labels.parquet").filter("quality = 1").join(
+        spark.read.parquet(f"{sf_small}/documents.parquet"), "doc_id").filter("lang = 'en' AND n_chars > 500").first().text
+    junk = "@@## ZZ!! " * 60
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text", "lang", "source", F.col("n_chars").cast("long").alias("n_chars"))
+    more = frame(spark, [junk, junk, clean], ids=[None, -5, -5])
+    out = P.quality(spark, docs.unionByName(more), sf_small).filter("doc_id IS NULL OR doc_id = -5").collect()
+    assert [(r.doc_id, r.text) for r in out] == [(-5, clean)]
+    out = P.decontaminate(spark, frame(spark, [item, item, "plain words"], ids=[None, 5, 5]), sf_small).collect()
+    assert [(r.doc_id, r.text) for r in out] == [(5, "plain words")]
+    far = ["a b c d e f", "q r s t u v", "a b c d e f", "l m n o p q", "l m n o p q"]
+    out = P.near_duplicate(spark, frame(spark, far, ids=[1, 1, None, None, None]), sf_small).collect()
+    assert sorted((r.doc_id or -1, r.text) for r in out) == [(-1, far[3]), (1, far[0]), (1, far[1])]
+
+
 def test_queries_with_sql_match_it(spark, sf_small):
     from oracle_harness import compare, duck_connection
     from tidewater.llm import queries as Q

@@ -53,17 +53,19 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, words: int = 3, key: str | None = None) -> DataFrame:
+    """(doc_id, fp): the fingerprint as a signed 64-bit number; with the column ``key`` also that."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t, words) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["doc_id", "fp"])
+            carried = [b.column(2)] if key else []
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), *carried], names=["doc_id", "fp", "key"][:2 + len(carried)])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")) \
-        .mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"),
+                       *([F.col(key).alias("key")] if key else [])) \
+        .mapInArrow(run, "doc_id long, fp long" + (", key long" if key else ""))
 
 
 def patterns(budget: int = 2) -> list[int]:
@@ -171,13 +173,20 @@ def fingerprint_links(distinct: DataFrame, budget: int = 2) -> DataFrame:
     return dealt.repartition("pattern", "same").mapInArrow(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, budget: int = 2) -> DataFrame:
-    """(doc_id, fp, component_id) for each row of ``docs``."""
-    found = stage(fingerprints(docs, words), "fingerprints")
-    distinct = stage(found.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fp")
+def near_duplicates(docs: DataFrame, words: int = 3, budget: int = 2, key: str | None = None) -> DataFrame:
+    """(doc_id, fp, component_id) for each row of ``docs``. With ``key``, a column that
+    tells rows apart, also key and ``stays``: true for the first row of a component by
+    doc_id (null last) and key, and for rows equal in both."""
+    found = stage(fingerprints(docs, words, key), "fingerprints")
+    row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key") if key else F.col("doc_id")
+    distinct = stage(found.groupBy("fp").agg(F.min(row).alias("low")), "distinct-fp")
     roots = component_roots(fingerprint_links(distinct, budget))
     linked = distinct.join(roots, distinct.fp == roots.node, "left") \
         .select("fp", "low", F.coalesce("root", "fp").alias("root"))
     ids = linked.groupBy("root").agg(F.min("low").alias("component_id"))
     members = linked.join(ids, "root").select("fp", "component_id")
-    return found.join(members, "fp").select("doc_id", "fp", "component_id")
+    out = found.join(members, "fp")
+    if key:
+        return out.select("doc_id", "fp", F.col("component_id.doc_id").alias("component_id"), "key",
+                          row.eqNullSafe(F.col("component_id")).alias("stays"))
+    return out.select("doc_id", "fp", "component_id")
