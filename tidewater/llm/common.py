@@ -57,6 +57,31 @@ def broadcast_if_small(df: DataFrame, wide: str | None = None) -> DataFrame:
     return F.broadcast(df)
 
 
+#: Groups that hold one row in so many, or more, count as hot.
+HOT_SHARE = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str) -> DataFrame:
+    """``rows`` left-joined with ``groups``, one row for each key ``on`` (nulls are
+    equal) and in ``size`` how many of ``rows`` have it. Hot groups, at most
+    HOT_SHARE of them since sizes add up to the rows, are broadcast, so their rows
+    stay where they are; the others meet in a shuffle, where no key is hot. Both
+    frames are read several times: stage them before."""
+    hot = F.col(size) * HOT_SHARE >= rows.count()
+    values = [c for c in groups.columns if c not in on]
+    keyed = groups.select(*[F.col(c).alias(f"__{c}") for c in on], *values)
+    few, many = F.broadcast(keyed.filter(hot)), keyed.filter(~hot)
+
+    def same(side: DataFrame):
+        cond = F.lit(True)
+        for c in on:
+            cond = cond & rows[c].eqNullSafe(side[f"__{c}"])
+        return cond
+    out = [*rows.columns, *values]
+    return rows.join(few, same(few)).select(*out).unionByName(
+        rows.join(few, same(few), "left_anti").join(many, same(many), "left").select(*out))
+
+
 def give_back_memory() -> None:
     """Return freed memory to the system at the end of a task: a worker process
     serves tasks of several operators, and what one of them freed would stay with

@@ -145,6 +145,121 @@ def op8_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"), shards=8)
 
 
+#: crc32 of a row's key in SQL, bit by bit.
+_DEALT_SQL = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)),
+      lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) % 20"""
+
+
+def _moved(state: str, cost: str, letters: str) -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letters}'}}"
+
+
+def _least(*ways: str) -> str:
+    return f"list_sort([{', '.join(ways)}])[1]"
+
+
+_INSERTED_SQL = f"""v0 AS w0, v1 AS w1,
+    {_least('v2', _moved('v0', '5', 'I'), _moved('v1', '5', 'I'), _moved('v3', '5', 'I'))} AS w2,
+    {_least('v3', _moved('v0', '10', 'II'), _moved('v1', '10', 'II'), _moved('v2', '5', 'I'))} AS w3"""
+
+
+def _stays(state: str, initial: str | None, letter: str) -> str:
+    """A way that is closed (cost a million) for rows that must go or have another role."""
+    shut = "f IN ('b', 'd')" + (f" OR r <> '{initial}'" if initial else "")
+    cost = f"CASE WHEN {shut} THEN 1000000 ELSE {1 if letter == 'R' else 0} + CASE f WHEN 't' THEN 5 ELSE 0 END END"
+    return _moved(state, cost, letter)
+
+
+@register("op11_grammar_repair", f"""
+WITH RECURSIVE coded AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_DEALT_SQL} AS dealt FROM conversations),
+dam AS (
+  SELECT conv_id, turn, CASE WHEN dealt = 4 THEN 'user' ELSE role END AS role,
+    CASE dealt WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN dealt = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM coded WHERE dealt <> 0),
+num AS (
+  SELECT *, left(role, 1) AS r,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen
+  FROM dam),
+flt AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN seen THEN 'd'
+    WHEN regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN '' ELSE 't' END AS f
+  FROM num),
+vec AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, {{'c': 0, 'a': ''}} AS v0, {{'c': 1000000, 'a': ''}} AS v1,
+    {{'c': 1000000, 'a': ''}} AS v2, {{'c': 1000000, 'a': ''}} AS v3 FROM conversations
+  UNION ALL
+  SELECT conv_id, i, {_moved('w0', '2', 'D')},
+    {_least(_moved('w1', '2', 'D'), _stays('w0', 's', 'K'))},
+    {_least(_moved('w2', '2', 'D'), *[_stays(w, *how) for w in ('w0', 'w1', 'w3') for how in (('u', 'K'), (None, 'R'))])},
+    {_least(_moved('w3', '2', 'D'), _stays('w2', 'a', 'K'), _stays('w2', None, 'R'))}
+  FROM (SELECT flt.conv_id, flt.i, r, f, {_INSERTED_SQL}
+        FROM vec JOIN flt ON vec.conv_id IS NOT DISTINCT FROM flt.conv_id AND flt.i = vec.i + 1)),
+fin AS (
+  SELECT conv_id, i AS n, {_least('v0', 'v3', _moved('v0', '10', 'II'), _moved('v1', '10', 'II'), _moved('v2', '5', 'I'))} AS best
+  FROM vec QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+ops AS (
+  SELECT conv_id, p, best.a[p] AS op, sum((best.a[p] <> 'I')::INT) OVER (PARTITION BY conv_id ORDER BY p) AS i
+  FROM (SELECT conv_id, best, unnest(range(1, len(best.a) + 1)) AS p FROM fin)),
+outp AS (
+  SELECT ops.conv_id, p, op, flt.role, flt.r, CASE op WHEN 'I' THEN '' ELSE flt.text END AS text,
+    row_number() OVER (PARTITION BY ops.conv_id ORDER BY p) AS k,
+    first_value(op = 'K' AND flt.r = 's') OVER (PARTITION BY ops.conv_id ORDER BY p) AS has_s
+  FROM ops LEFT JOIN flt ON ops.conv_id IS NOT DISTINCT FROM flt.conv_id AND ops.i = flt.i WHERE op <> 'D'),
+fixed AS (
+  SELECT conv_id, string_agg(CASE WHEN op = 'K' THEN role WHEN (k - has_s::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || text, chr(10) ORDER BY p) AS s FROM outp GROUP BY conv_id),
+pairs AS (SELECT conv_id, lag(r) OVER (PARTITION BY conv_id ORDER BY i) || r AS rr FROM flt),
+bad AS (SELECT conv_id, count(*) AS illegal FROM pairs WHERE rr IS NOT NULL AND rr NOT IN ('su', 'ua', 'au') GROUP BY conv_id),
+tot AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (f = 'b') AS blank,
+    count(*) FILTER (f = 'd') AS duplicate, count(*) FILTER (f = 't') AS truncated FROM flt GROUP BY conv_id)
+SELECT fin.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c::BIGINT AS cost, best.a AS audit,
+  sha256(coalesce(s, '')) AS repaired_sha256
+FROM fin LEFT JOIN tot ON tot.conv_id IS NOT DISTINCT FROM fin.conv_id
+LEFT JOIN bad ON bad.conv_id IS NOT DISTINCT FROM fin.conv_id LEFT JOIN fixed ON fixed.conv_id IS NOT DISTINCT FROM fin.conv_id""")
+def op11_grammar_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by a fixed rule, repaired at least cost."""
+    from tidewater.llm.conversation_repair import repair
+    given = table(spark, sf_dir, "conversations")
+    return repair(damaged(given), given)
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The contract's damage: by crc32(conv_id:turn) % 20, 0 drops a row, 1 empties its
+    text, 2 removes its sentence ends, 3 repeats it, 4 makes it the user's."""
+    space = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    dealt = conversations.select("conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"),
+                                 (F.crc32(key.cast("binary")) % 20).alias("__dealt")).filter("__dealt <> 0")
+    text = F.when(F.col("__dealt") == 1, "").when(F.col("__dealt") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    copies = F.when(F.col("__dealt") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return dealt.select("conv_id", "turn", F.when(F.col("__dealt") == 4, "user").otherwise(F.col("role")).alias("role"),
+                        text.alias("text"), F.explode(copies).alias("__copy")).drop("__copy")
+
+
+@register("op12_fuse_dedup", r"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[ 	-]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM d""")
+def op12_fuse_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal texts of all documents; one half is an established snapshot, the other half arrives."""
+    from tidewater.llm.fuse_dedup import deduplicate
+    return deduplicate(table(spark, sf_dir, "documents"), F.pmod(F.xxhash64("doc_id"), F.lit(2)), arrivals=2)
+
+
+@register("op13_qd_whitening")
+def op13_qd_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the four leading components, whitened."""
+    from tidewater.llm.whitening import whiten
+    return whiten(table(spark, sf_dir, "embeddings"), components=4)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 
