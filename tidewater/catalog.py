@@ -176,7 +176,7 @@ ORDER BY TotalRevenue DESC, ProductName ASC NULLS FIRST, ProductCategoryName ASC
 LIMIT 10"""))
 def top_products(spark, sf):
     st = star(spark, sf)
-    return A.top_products(st.fact_measures, st.products)
+    return A.top_products(st.order_lines, st.products)
 
 
 @register("top_product_numbers", W(f"""
@@ -188,7 +188,7 @@ ORDER BY Revenue DESC, ProductNumber ASC NULLS FIRST, ProductCategoryName ASC NU
 LIMIT 10"""))
 def top_product_numbers(spark, sf):
     st = star(spark, sf)
-    return A.top_product_numbers(st.fact_measures, st.products)
+    return A.top_product_numbers(st.order_lines, st.products)
 
 
 @register("revenue_by_category", W(f"""
@@ -200,7 +200,7 @@ GROUP BY COALESCE(p.ParentProductCategoryName, p.ProductCategoryName)
 ORDER BY TotalRevenue DESC, Category"""))
 def revenue_by_category(spark, sf):
     st = star(spark, sf)
-    return A.revenue_by_category(st.fact_measures, st.products)
+    return A.revenue_by_category(st.order_lines, st.products)
 
 
 @register("monthly_trend", W(f"""
@@ -231,11 +231,8 @@ _TABLE_COUNTS = [("Dim_Date", "dim_date"), ("Dim_Customer", "dim_customer"),
     f"SELECT '{label}' AS table_name, COUNT(*) AS row_count FROM {cte}" for label, cte in _TABLE_COUNTS)))
 def table_counts(spark, sf):
     st = star(spark, sf)
-    frames = {"Dim_Date": st.dim_date, "Dim_Customer": st.dim_customer,
-              "Dim_Product": st.dim_product, "Dim_Address": st.dim_address,
-              "Fact_Sales": st.fact_measures, "bronze_Customer": st.bronze["customer"],
-              "bronze_Product": st.bronze["product"], "bronze_SalesOrderDetail": st.bronze["detail"]}
-    return A.labelled_counts(frames)
+    return A.labelled_counts({**st.gold_rows(), "bronze_Customer": st.bronze["customer"],
+                              "bronze_Product": st.bronze["product"], "bronze_SalesOrderDetail": st.bronze["detail"]})
 
 
 # =========================================================== validation
@@ -362,8 +359,10 @@ def layer_profile(spark, sf):
     st = star(spark, sf)
     frames = {f"bronze_{O.BRONZE_NAMES[k]}": df for k, df in st.bronze.items()}
     frames.update({f"silver_{O.BRONZE_NAMES[k]}": df for k, df in st.silver.items()})
-    frames.update({f"gold_{k}": df for k, df in st.gold().items()})
-    return Q.layer_profile(frames)
+    frames.update({f"gold_{k}": df for k, df in st.gold_rows().items()})
+    return Q.layer_profile(frames, {"gold_Dim_Date": G.DIM_DATE_COLUMNS, "gold_Dim_Customer": G.DIM_CUSTOMER_COLUMNS,
+                                    "gold_Dim_Product": G.DIM_PRODUCT_COLUMNS, "gold_Dim_Address": G.DIM_ADDRESS_COLUMNS,
+                                    "gold_Fact_Sales": G.FACT_SALES_COLUMNS})
 
 
 _LAYER_TABLES = ([("bronze", f"brz_{k}") for k in O.BRONZE_NAMES]
@@ -379,8 +378,7 @@ def tables_per_layer(spark, sf):
     st = star(spark, sf)
     frames = {f"bronze_{k}": df for k, df in st.bronze.items()}
     frames.update({f"silver_{k}": df for k, df in st.silver.items()})
-    frames.update({f"gold_{k}": df for k, df in st.gold().items() if k != "Fact_Sales"})
-    frames["gold_Fact_Sales"] = st.fact_measures
+    frames.update({f"gold_{k}": df for k, df in st.gold_rows().items()})
     counts = A.labelled_counts(frames, "table_name", "n")
     return (counts.withColumn("layer", F.substring_index("table_name", "_", 1))
                   .groupBy("layer").agg(F.count(F.lit(1)).alias("table_count"),
@@ -398,7 +396,7 @@ FROM fact_sales f JOIN dim_customer c ON f.CustomerKey = c.CustomerKey
 GROUP BY f.CustomerKey, c.CustomerID, c.CompanyName"""))
 def customer_summary(spark, sf):
     st = star(spark, sf)
-    return A.customer_summary(st.fact_lines, st.dim_customer)
+    return A.customer_summary(st.fact_measures, st.dim_customer)
 
 
 @register("orders_by_quarter", W(f"""
@@ -461,10 +459,10 @@ def unknown_member_fact(spark, sf):
     s = st.silver
     fact = G.fact_sales(s["detail"], s["header"], st.dim_product, st.dim_customer, st.dim_address,
                         st.cfg, unknown_address_key=True, with_sales_key=False)
-    parts = [fact.agg(F.count_if(F.col(role) == -1).alias("unknown_rows"),
-                      F.count(F.lit(1)).alias("total_rows")).select(F.lit(role).alias("role"), "unknown_rows", "total_rows")
-             for role in ("ShipToAddressKey", "BillToAddressKey")]
-    return parts[0].unionByName(parts[1])
+    roles = ("ShipToAddressKey", "BillToAddressKey")
+    counts = fact.agg(*[F.count_if(F.col(r) == -1).alias(r) for r in roles], F.count(F.lit(1)).alias("total_rows"))
+    pairs = ", ".join(f"'{r}', {r}" for r in roles)
+    return counts.selectExpr(f"stack({len(roles)}, {pairs}) AS (role, unknown_rows)", "total_rows")
 
 
 #: Columns the fixture's sources have beyond the expected schemas.
@@ -707,7 +705,11 @@ FROM slv_header WHERE OrderDate >= TIMESTAMP '1997-07-01 00:00:00'"""))
 def upsert_orders(spark, sf):
     """Orders loaded up to 1997, then a revised batch from 1997-07 on is merged by key.
     Every third order comes twice in the batch; its later revision wins."""
-    st = star(spark, sf)
+    target, updates = _order_batches(star(spark, sf))
+    return upsert(target, updates, ["SalesOrderID"], "RevisionNumber")
+
+
+def _order_batches(st: Star) -> tuple[DataFrame, DataFrame]:
     h = st.silver["header"].select(*[c.strip() for c in _UPSERT_COLS.split(",")])
     target = h.filter(F.col("OrderDate") < F.lit("1998-01-01").cast("timestamp_ntz"))
     updates = (h.filter(F.col("OrderDate") >= F.lit("1997-07-01").cast("timestamp_ntz"))
@@ -715,7 +717,7 @@ def upsert_orders(spark, sf):
                               "ModifiedDate": st.cfg.now()}))
     again = (updates.filter(F.col("SalesOrderID") % 3 == 0)
                     .withColumn("RevisionNumber", (F.col("RevisionNumber") + 5).cast("int")))
-    return upsert(target, updates.unionByName(again), ["SalesOrderID"], "RevisionNumber")
+    return target, updates.unionByName(again)
 
 
 @register("incremental_orders", W("""
@@ -808,6 +810,187 @@ def streaming_incremental_orders(spark, sf):
                               FIXTURE_CONFIG, f"{base}/bronze_SalesOrderHeader", f"{base}/_checkpoint")
 
 
+# =========================================================== incremental and restartable runs
+
+ARRIVAL = "2000-06-30"
+_ARRIVED = f"ModifiedDate <= TIMESTAMP '{ARRIVAL} 00:00:00'"
+#: Tables of which a part arrives later; the others arrive whole.
+_IN_PARTS = ("customer", "header", "detail")
+
+
+def _first_arrival(st: Star):
+    """The sources as they were at ARRIVAL: only the old versions of customers, orders
+    placed and lines shipped until then."""
+    from tidewater.sources.model import SalesSources
+    until = F.col("ModifiedDate") <= F.lit(ARRIVAL).cast("timestamp_ntz")
+    return SalesSources(**{a: (lambda a=a: getattr(st.sources, a).filter(until) if a in _IN_PARTS else getattr(st.sources, a))
+                           for a in st.sources.available()})
+
+
+def _incremental(spark, sf, **options):
+    """(star, pipeline over a new store with the first arrival committed)."""
+    from tidewater.plans.incremental import IncrementalPipeline
+    from tidewater.sources.versions import TableStore
+    st = star(spark, sf)
+    run = IncrementalPipeline(spark, TableStore(spark, _run_folder(spark, "stores")), st.cfg, buckets=8, **options)
+    run.run(_first_arrival(st))
+    return st, run
+
+
+@register("pipeline_two_arrivals", W("SELECT * FROM fact_sales"))
+def pipeline_two_arrivals(spark, sf):
+    """Two incremental runs: what was there in the middle of 2000, then the rest. The
+    stored fact equals that of a full refresh (EXT-1, EXT-2)."""
+    st, run = _incremental(spark, sf)
+    run.run(st.sources)
+    return run.read("gold", "Fact_Sales")
+
+
+@register("pipeline_after_crash", W(f"""
+SELECT 'crashed' AS state, COUNT(*) AS lines, {msum('f.LineTotal')} AS revenue
+FROM fact_sales f JOIN slv_header h ON f.SalesOrderID = h.SalesOrderID
+JOIN slv_detail d ON f.SalesOrderID = d.SalesOrderID AND f.SalesOrderDetailID = d.SalesOrderDetailID
+JOIN (SELECT DISTINCT CustomerID FROM brz_customer WHERE {_ARRIVED}) c ON h.CustomerID = c.CustomerID
+WHERE h.{_ARRIVED} AND d.{_ARRIVED}
+UNION ALL
+SELECT 'rerun', COUNT(*), {msum('LineTotal')} FROM fact_sales"""))
+def pipeline_after_crash(spark, sf):
+    """A second run dies when bronze, silver and the dimensions are written: readers still
+    see the first run whole. The rerun takes the same rows and commits (SPEC-12, SNK-1)."""
+    from tidewater.plans.pipeline import LayerFailed
+    st, run = _incremental(spark, sf, tries=1)
+    build = run._fact
+
+    def dies(_):
+        raise RuntimeError("lost")
+    run._fact = dies
+    try:
+        run.run(st.sources)
+    except LayerFailed:
+        pass
+    run._fact = build
+    crashed = run.store.state()["version"]
+    run.run(st.sources)
+    parts = [run.read("gold", "Fact_Sales", version).agg(F.count(F.lit(1)).alias("lines"), A.sum_money("LineTotal").alias("revenue"))
+             .select(F.lit(state).alias("state"), "lines", "revenue") for state, version in (("crashed", crashed), ("rerun", None))]
+    return parts[0].unionByName(parts[1])
+
+
+_HISTORY_CTES = {
+    "hist_slv": O.latest(f"""
+      SELECT CustomerID, Title, Suffix, CompanyName, SalesPerson,
+        CASE WHEN regexp_matches(EmailAddress, {O.EMAIL_RE}) THEN lower(trim(EmailAddress)) END AS EmailAddress,
+        ModifiedDate FROM brz_customer WHERE {_ARRIVED}""", "CustomerID", "Title, Suffix, CompanyName, SalesPerson, EmailAddress"),
+    "hist_old": "SELECT CAST(row_number() OVER (ORDER BY CustomerID) AS BIGINT) AS CustomerKey, * FROM hist_slv",
+    "hist_new": "SELECT i.* FROM slv_customer i LEFT JOIN hist_old c ON i.CustomerID = c.CustomerID WHERE c.CustomerID IS NULL OR "
+                + " OR ".join(f"i.{t} IS DISTINCT FROM c.{t}" for t in _SCD_TRACKED)}
+
+
+@register("pipeline_customer_history", W("""
+SELECT CustomerKey, CustomerID, CompanyName, CustomerID NOT IN (SELECT CustomerID FROM hist_new) AS IsCurrent,
+       CASE WHEN CustomerID IN (SELECT CustomerID FROM hist_new) THEN DATE '2001-01-01' END AS EndDate
+FROM hist_old
+UNION ALL
+SELECT CAST((SELECT coalesce(max(CustomerKey), 0) FROM hist_old) + row_number() OVER (ORDER BY CustomerID) AS BIGINT), CustomerID,
+       CompanyName, TRUE, CAST(NULL AS DATE) FROM hist_new""", _HISTORY_CTES))
+def pipeline_customer_history(spark, sf):
+    """Customers as a type-2 dimension of the pipeline: the second run closes versions
+    that changed and opens new ones (SPEC-3)."""
+    st, run = _incremental(spark, sf, customer_history=True)
+    run.run(st.sources)
+    return run.read("gold", "Dim_Customer").select("CustomerKey", "CustomerID", "CompanyName", "IsCurrent", "EndDate")
+
+
+def _period_tables(spark, sf):
+    """Monthly and yearly sales after two batches: the first two lines of each order placed
+    before 1998, then everything, so orders of the first batch change."""
+    from tidewater.plans.aggregates import add_to_periods
+    from tidewater.sources.versions import TableStore
+    st = star(spark, sf)
+    fact = st.fact_measures
+    early = fact.filter((F.col("OrderDateKey") < 19980101) & (F.col("SalesOrderDetailID") <= 2))
+    store = TableStore(spark, _run_folder(spark, "stores"))
+    for now, before in ((early, None), (fact, early)):
+        run = store.begin()
+        add_to_periods(run, st.cfg, now, before)
+        run.commit()
+    return store, st.cfg
+
+
+_PERIOD_SUMS = f"""COUNT(DISTINCT SalesOrderID) AS OrderCount, COUNT(*) AS LineCount, CAST(SUM(OrderQty) AS BIGINT) AS TotalQuantity,
+       {msum('LineTotal')} AS TotalRevenue, {msum('LineProfit')} AS TotalProfit"""
+
+
+@register("monthly_sales_table", W(f"""
+SELECT CAST(OrderDateKey // 10000 AS INTEGER) AS Year, CAST(OrderDateKey // 100 % 100 AS INTEGER) AS Month, {_PERIOD_SUMS}
+FROM fact_sales GROUP BY ALL"""))
+def monthly_sales_table(spark, sf):
+    """The stored monthly table, kept up by two batches (EXT-4)."""
+    store, cfg = _period_tables(spark, sf)
+    return store.read(cfg.table_name("gold", "Monthly_Sales"))
+
+
+@register("yearly_sales_table", W(f"""
+SELECT CAST(OrderDateKey // 10000 AS INTEGER) AS Year, {_PERIOD_SUMS} FROM fact_sales GROUP BY ALL"""))
+def yearly_sales_table(spark, sf):
+    """The stored yearly table, kept up by two batches (EXT-4)."""
+    store, cfg = _period_tables(spark, sf)
+    return store.read(cfg.table_name("gold", "Yearly_Sales"))
+
+
+@register("upsert_orders_by_bucket", REGISTRY["upsert_orders"][1])
+def upsert_orders_by_bucket(spark, sf):
+    """The batch of ``upsert_orders`` merged into a stored table in buckets of its key (EXT-2)."""
+    from tidewater.sources.versions import TableStore
+    target, updates = _order_batches(star(spark, sf))
+    store = TableStore(spark, _run_folder(spark, "stores"))
+    for batch in (target, updates):
+        run = store.begin()
+        run.upsert("orders", batch, ["SalesOrderID"], "RevisionNumber", buckets=16)
+        run.commit()
+    return store.read("orders")
+
+
+@register("bucketed_revenue_by_year", REGISTRY["revenue_by_year"][1])
+def bucketed_revenue_by_year(spark, sf):
+    """Header and lines written in buckets of the order id, so that they meet without a
+    shuffle, as does counting orders (JOIN-1, QRY-1)."""
+    from tidewater.sources.sinks import write_table
+    st = star(spark, sf)
+    base, database = _run_folder(spark, "buckets"), f"tidewater_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    stored = {}
+    for name in ("header", "detail"):
+        write_table(st.silver[name], f"{base}/{name}", name=f"{database}.{name}", bucket_by="SalesOrderID", buckets=8)
+        stored[name] = spark.read.table(f"{database}.{name}")
+    return A.revenue_by_year_of_orders(stored["detail"], stored["header"], st.silver["product"], st.silver["customer"], st.cfg)
+
+
+@register("streaming_latest_events", REGISTRY["latest_event_per_user"][1])
+def streaming_latest_events(spark, sf):
+    """Events in three arrivals, a seventh of them one arrival late and a fifth sent again:
+    three micro-batches leave the latest event of each user (EXT-1)."""
+    from tidewater.sources.versions import TableStore
+    from tidewater.streaming.upserts import merge_stream
+    events, base = spark.read.parquet(f"{sf}/events.parquet"), _run_folder(spark, "streams")
+    low, high = (F.unix_micros(F.col(c).cast("timestamp")) for c in ("low", "high"))
+    span = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).select(low.alias("low"), (high - low + 1).alias("width")).first()
+    third = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - (span.low or 0)) * 3 / (span.width or 1))
+    late = F.when(F.col("event_id") % 7 == 0, 1).otherwise(0)
+    arrival = F.least(F.coalesce(third, F.lit(0)) + late, F.lit(2))
+    sent = events.withColumn("arrival", F.explode(F.when(F.col("event_id") % 5 == 0, F.array(arrival, F.least(arrival + 1, F.lit(2))))
+                                                  .otherwise(F.array(arrival))))
+    store = TableStore(spark, f"{base}/store")
+    days = -(-(span.width or 1) // (24 * 3600 * 1_000_000))
+    for k in range(3):
+        sent.filter(F.col("arrival") == k).drop("arrival").write.mode("append").parquet(f"{base}/in")
+        report = merge_stream(spark, f"{base}/in", events.schema, store, "latest_events", ["event_id"], ["user_id"], "ts",
+                              f"{days} days", f"{base}/checkpoint", buckets=8)
+        if report.too_late:
+            raise RuntimeError(f"{report.too_late} events were later than {days} days")
+    return store.read("latest_events")
+
+
 def queries() -> dict[str, Builder]:
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 

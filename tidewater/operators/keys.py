@@ -2,9 +2,10 @@
 
 ``row_number().over(Window.orderBy(k))`` moves every row into one task. Here the
 rows are range-partitioned on the order key, numbered inside each partition,
-and shifted by the row count of all earlier partitions. The offset table has
-one row per range partition, so its broadcast is bounded by the partition
-count, not by the data. There is one path, whatever the size of the input.
+and shifted by the row count of all earlier partitions. The counts, one number a
+range partition, come to the driver and go back as one constant array: bounded by
+the partition count, not by the data, and tables built on the key plan neither join
+nor shuffle for it. There is one path, whatever the size of the input.
 
 The range-partitioned rows are written once with a reliable ``checkpoint()``
 (to ``spark.checkpoint.dir``) before they are counted and numbered. Two
@@ -15,6 +16,7 @@ makes the numbering deterministic and cuts the lineage of the table above it.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,14 +43,35 @@ def assign_sequential_key(df: DataFrame, order_by: Sequence[str | Column], key:
                     .withColumn("_kp", F.spark_partition_id())
                     .withColumn("_km", F.monotonically_increasing_id())
                     .checkpoint(eager=True))
-    counts = tagged.groupBy("_kp").agg(F.count(F.lit(1)).alias("_kn"))
-    # One row per range: a window over them is trivially small.
-    before = Window.orderBy("_kp").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_kp", F.coalesce(F.sum("_kn").over(before), F.lit(0)).alias("_ko"))
+    before = _before(tagged.groupBy("_kp").agg(F.count(F.lit(1)).alias("_kn")))
     pos = F.col("_km") - F.shiftleft(F.col("_kp").cast("long"), _ROW_BITS)
-    return (tagged.join(F.broadcast(offsets), "_kp")
-                  .withColumn(key, (F.col("_ko") + pos + 1).cast("long"))
-                  .drop("_kp", "_km", "_ko"))
+    return tagged.withColumn(key, (before + pos + 1).cast("long")).drop("_kp", "_km")
+
+
+def _before(ranges: DataFrame) -> Column:
+    """For a row's range ``_kp``, the sum of ``_kn`` over the earlier ranges: a constant
+    array (parsed once, by the optimizer), one number a range."""
+    sums = {r._kp: int(r._kn or 0) for r in ranges.collect()}  # one row a range partition
+    offsets, total = [], 0
+    for k in range(max(sums, default=-1) + 1):
+        offsets.append(total)
+        total += sums.get(k, 0)
+    return F.get(F.from_json(F.lit(json.dumps(offsets)), "array<bigint>"), F.col("_kp"))
+
+
+def running_offsets(df: DataFrame, order_by: Sequence[str], weight: str, offset: str) -> DataFrame:
+    """Add the BIGINT ``offset``: the sum of ``weight`` over all rows before this one in
+    the order of ``order_by`` (unique). The upper level of a two-level numbering: give it
+    one narrow row a group of rows, and number the rows inside their group. The narrow
+    rows are checkpointed for the reason given above; the rows they stand for never move."""
+    from tidewater.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = df.repartitionByRange(*order_by).withColumn("_kp", F.spark_partition_id()).checkpoint(eager=True)
+    before = _before(ranged.groupBy("_kp").agg(F.sum(weight).alias("_kn")))
+    inside = Window.partitionBy("_kp").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+    return (ranged.withColumn("_kr", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+                  .withColumn(offset, (before + F.col("_kr")).cast("long"))
+                  .drop("_kp", "_kr"))
 
 
 def current_lookup(dim: DataFrame, natural_key: str, columns: Sequence[str]) -> DataFrame:

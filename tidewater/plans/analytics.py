@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.config import RunConfig
 from tidewater.functions.cleanse import safe_pct
 
 REVENUE = "decimal(38,4)"
@@ -37,33 +38,63 @@ def revenue_by_year(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
             .orderBy("Year"))
 
 
-def _with_product(fact: DataFrame, dim_product: DataFrame, cols: list[str]) -> DataFrame:
-    key = "ProductKey" if "ProductKey" in dim_product.columns else "ProductID"
-    return fact.join(dim_product.select(key, *cols), key)
-
-
-def top_products(fact: DataFrame, dim_product: DataFrame, k: int = 10) -> DataFrame:
+def revenue_by_year_of_orders(detail: DataFrame, header: DataFrame, products: DataFrame, customers: DataFrame,
+                              cfg: RunConfig) -> DataFrame:
+    """Revenue by year straight from header and lines that are stored in buckets of the
+    order id: each order's lines are summed where they lie, and what travels is a row an
+    order at most. Products and customers are looked up as in the fact."""
+    from tidewater.functions.cleanse import line_profit
+    from tidewater.operators.keys import current_lookup
+    from tidewater.plans.gold import date_key_in
+    order_key, order_in = date_key_in(F.col("OrderDate"), cfg)
+    _, due_in = date_key_in(F.col("DueDate"), cfg)
+    orders = header.filter(order_in & due_in).select("SalesOrderID", "CustomerID", F.floor(order_key / 10000).cast("int").alias("Year"))
+    costs = current_lookup(products, "ProductID", ["StandardCost"])
+    lines = detail.select("SalesOrderID", "ProductID", "OrderQty", "LineTotal").join(costs, "ProductID") \
+                  .withColumn("LineProfit", line_profit(F.col("LineTotal"), F.col("OrderQty"), F.col("StandardCost")))
+    per_order = lines.join(orders, "SalesOrderID").groupBy("SalesOrderID", "Year", "CustomerID").agg(
+        F.sum("LineTotal").alias("Revenue"), F.sum("LineProfit").alias("Profit"))
+    known = per_order.join(customers.select("CustomerID").distinct(), "CustomerID", "left_semi")
+    return (known.groupBy("Year").agg(F.count(F.lit(1)).alias("Orders"), sum_money("Revenue").alias("Revenue"),
+                                      sum_money("Profit").alias("Profit")).orderBy("Year"))
+
+
+def product_totals(lines: DataFrame, products: DataFrame, attributes: list[str]) -> DataFrame:
+    """Lines (natural keys, no product looked up yet) summed by ProductID, then joined once
+    with the products: what is joined is one row a product sold, however many lines. The
+    profit follows from the sums, as a line's profit is its total less quantity times cost."""
+    per = lines.groupBy("ProductID").agg(
+        sum_qty().alias("Quantity"), sum_money("LineTotal").alias("Revenue"),
+        F.sum(F.when(F.col("LineTotal").isNotNull(), F.col("OrderQty"))).cast("bigint").alias("_costed"))
+    known = per.join(products.select("ProductID", "StandardCost", *attributes), "ProductID")
+    return known.withColumn("Profit", (F.col("Revenue") - F.col("_costed") * F.col("StandardCost")).cast(REVENUE)).drop("_costed")
+
+
+def top_products(lines: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
     keys = ["ProductName", "ProductCategoryName", "ParentProductCategoryName"]
-    return (_with_product(fact, dim_product, keys)
+    return (product_totals(lines, products, keys)
             .groupBy(*keys)
-            .agg(sum_qty().alias("TotalQuantity"), sum_money("LineTotal").alias("TotalRevenue"),
-                 sum_money("LineProfit").alias("TotalProfit"))
+            .agg(sum_qty("Quantity").alias("TotalQuantity"), sum_money("Revenue").alias("TotalRevenue"),
+                 sum_money("Profit").alias("TotalProfit"))
             .orderBy(F.desc("TotalRevenue"), *[F.asc_nulls_first(c) for c in keys])
             .limit(k))
 
 
-def top_product_numbers(fact: DataFrame, dim_product: DataFrame, k: int = 10) -> DataFrame:
+def top_product_numbers(lines: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
     keys = ["ProductNumber", "ProductCategoryName"]
-    return (_with_product(fact, dim_product, keys)
+    return (product_totals(lines, products, keys)
             .groupBy(*keys)
-            .agg(sum_qty().alias("Quantity"), sum_money("LineTotal").alias("Revenue"))
+            .agg(sum_qty("Quantity").alias("Quantity"), sum_money("Revenue").alias("Revenue"))
             .orderBy(F.desc("Revenue"), *[F.asc_nulls_first(c) for c in keys])
             .limit(k))
 
 
-def revenue_by_category(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
-    f = _with_product(fact, dim_product, ["ProductCategoryName", "ParentProductCategoryName"])
-    return (f.groupBy(F.coalesce("ParentProductCategoryName", "ProductCategoryName").alias("Category"))
+def revenue_by_category(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Orders are counted by category, so lines meet the products one by one: one join
+    with one short label."""
+    label = F.coalesce("ParentProductCategoryName", "ProductCategoryName").alias("Category")
+    return (lines.join(products.select("ProductID", label), "ProductID")
+             .groupBy("Category")
              .agg(F.count_distinct("SalesOrderID").alias("OrderCount"),
                   sum_qty().alias("TotalQuantity"), sum_money("LineTotal").alias("TotalRevenue"))
              .orderBy(F.desc("TotalRevenue"), "Category"))
@@ -97,14 +128,15 @@ def labelled_counts(frames: dict[str, DataFrame], label: str = "table_name",
 
 
 def customer_summary(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    per = (fact.groupBy("CustomerKey")
+    """Lines by natural keys are summed by CustomerID; the sums meet the dimension once."""
+    per = (fact.groupBy("CustomerID")
                .agg(F.count_distinct("SalesOrderID").alias("OrderCount"),
                     F.count(F.lit(1)).alias("LineCount"), sum_qty().alias("TotalQuantity"),
                     sum_money("LineTotal").alias("TotalRevenue"),
                     sum_money("LineProfit").alias("TotalProfit"),
                     F.min("OrderDateKey").alias("FirstOrderDateKey"),
                     F.max("OrderDateKey").alias("LastOrderDateKey")))
-    return per.join(dim_customer.select("CustomerKey", "CustomerID", "CompanyName"), "CustomerKey")
+    return per.join(dim_customer.select("CustomerKey", "CustomerID", "CompanyName"), "CustomerID")
 
 
 def orders_by_quarter(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -126,11 +158,15 @@ def monthly_aggregate(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def geo_rollup(fact: DataFrame, dim_address: DataFrame) -> DataFrame:
     """Country, state, city and a grand total over the ship-to role (SPEC-11).
-    Level is the grouping id: 0 city, 1 state, 3 country, 7 total."""
+    Level is the grouping id: 0 city, 1 state, 3 country, 7 total.
+
+    An order ships to one address, so lines are first summed by order: then orders are
+    counted, not told apart, and the rollup multiplies one row a place instead of lines."""
     levels = ["CountryRegion", "StateProvince", "City"]
     a = dim_address.select(F.col("AddressKey").alias("ShipToAddressKey"), *levels)
-    return (fact.join(a, "ShipToAddressKey", "left")
+    orders = fact.groupBy("SalesOrderID", "ShipToAddressKey").agg(sum_money("LineTotal").alias("Revenue"))
+    places = orders.groupBy("ShipToAddressKey").agg(F.count(F.lit(1)).alias("Orders"), sum_money("Revenue").alias("Revenue"))
+    return (places.join(a, "ShipToAddressKey", "left")
                 .rollup(*levels)
-                .agg(F.grouping_id().alias("Level"),
-                     F.count_distinct("SalesOrderID").alias("OrderCount"),
-                     sum_money("LineTotal").alias("TotalRevenue")))
+                .agg(F.grouping_id().alias("Level"), F.sum("Orders").cast("bigint").alias("OrderCount"),
+                     sum_money("Revenue").alias("TotalRevenue")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.config import RunConfig
@@ -12,7 +12,7 @@ from tidewater.functions.cleanse import line_profit
 from tidewater.functions.dates import (date_key, fiscal_month, fiscal_quarter, fiscal_year,
                                        iso_day_of_week)
 from tidewater.operators.hierarchy import flatten_parent
-from tidewater.operators.keys import assign_sequential_key, current_lookup, version_spans
+from tidewater.operators.keys import assign_sequential_key, current_lookup, running_offsets, version_spans
 from tidewater.operators.members import with_unknown_member
 from tidewater.operators.scd import with_scd_columns
 
@@ -116,10 +116,14 @@ def _or_null(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast("string").alias(name)
 
 
+def customer_attributes(silver: DataFrame) -> DataFrame:
+    """Dim_Customer's natural key and attributes."""
+    return silver.select("CustomerID", "Title", _or_null(silver, "FirstName"), _or_null(silver, "LastName"),
+                         "Suffix", "CompanyName", "SalesPerson", "EmailAddress", "ModifiedDate")
+
+
 def dim_customer(silver: DataFrame, cfg: RunConfig) -> DataFrame:
-    df = silver.select("CustomerID", "Title", _or_null(silver, "FirstName"), _or_null(silver, "LastName"),
-                       "Suffix", "CompanyName", "SalesPerson", "EmailAddress", "ModifiedDate")
-    df = assign_sequential_key(df, ["CustomerID"], "CustomerKey")
+    df = assign_sequential_key(customer_attributes(silver), ["CustomerID"], "CustomerKey")
     return with_scd_columns(df, cfg.today()).select(DIM_CUSTOMER_COLUMNS)
 
 
@@ -161,6 +165,11 @@ def product_attributes(df: DataFrame, category: DataFrame, model: DataFrame, cfg
     return df.select([c for c in DIM_PRODUCT_COLUMNS if c in df.columns])
 
 
+def address_rows(silver: DataFrame) -> DataFrame:
+    """As many rows as Dim_Address has, its unknown member included, without keys."""
+    return with_unknown_member(silver.select("AddressID"), {"AddressID": F.lit(-1)})
+
+
 def dim_address(silver: DataFrame, cfg: RunConfig, unknown_member: bool = True) -> DataFrame:
     df = silver.select("AddressID", "AddressLine1", "AddressLine2", "City", _or_null(silver, "StateProvince"),
                        _or_null(silver, "CountryRegion"), "PostalCode", "ModifiedDate")
@@ -177,7 +186,7 @@ def dim_address(silver: DataFrame, cfg: RunConfig, unknown_member: bool = True)
 
 # ---------------------------------------------------------------- fact
 
-def _date_key_in(ts: Column, cfg: RunConfig) -> tuple[Column, Column]:
+def date_key_in(ts: Column, cfg: RunConfig) -> tuple[Column, Column]:
     """Dim_Date key of a timestamp and whether that date is in the calendar.
 
     Dim_Date is the contiguous day range [calendar_start, calendar_end] and its
@@ -204,6 +213,34 @@ def _customer_keys(orders: DataFrame, dim_customer_df: DataFrame, versions: str)
     return orders.join(spans, "CustomerID").filter((day >= F.col("_from")) & (day < F.col("_to"))).drop("_from", "_to")
 
 
+#: What a line brings into the fact.
+LINE_COLUMNS = ["SalesOrderID", "SalesOrderDetailID", "OrderQty", "ProductID", "UnitPrice", "UnitPriceDiscount", "LineTotal"]
+
+
+def known_orders(header: DataFrame, dim_customer_df: DataFrame, cfg: RunConfig, customer_versions: str = "current") -> DataFrame:
+    """Orders whose order and due date are in the calendar and whose customer is known,
+    with their date keys and their customer's key."""
+    orders = header.select("SalesOrderID", "RevisionNumber", "OrderDate", "DueDate", "ShipDate",
+                           "Status", "CustomerID", "ShipToAddressID", "BillToAddressID",
+                           "ShipMethod", "SubTotal", "TaxAmt", "Freight", "TotalDue")
+    order_key, order_in = date_key_in(F.col("OrderDate"), cfg)
+    due_key, due_in = date_key_in(F.col("DueDate"), cfg)
+    ship_key, ship_in = date_key_in(F.col("ShipDate"), cfg)
+    # Date filters apply to the header before the join, so the line side only
+    # meets orders that survive the calendar lookup; the customer is looked up here
+    # too, as one row per order is cheaper to join than one row per line.
+    orders = (orders.filter(order_in & due_in)
+                    .withColumns({"OrderDateKey": order_key, "DueDateKey": due_key,
+                                  "ShipDateKey": F.when(ship_in, ship_key)}))
+    return _customer_keys(orders, dim_customer_df, customer_versions)
+
+
+def order_lines(detail: DataFrame, header: DataFrame, dim_customer_df: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Lines with their known orders, by natural keys, before any product is looked up:
+    for reports that sum lines first and join products once."""
+    return detail.select(LINE_COLUMNS).join(known_orders(header, dim_customer_df, cfg), "SalesOrderID")
+
+
 def fact_sales(detail: DataFrame, header: DataFrame, dim_product_df: DataFrame,
                dim_customer_df: DataFrame, dim_address_df: DataFrame | None, cfg: RunConfig,
                unknown_address_key: bool = False, with_sales_key: bool = True,
@@ -218,22 +255,9 @@ def fact_sales(detail: DataFrame, header: DataFrame, dim_product_df: DataFrame,
     without surrogate keys give the same rows and measures, with the natural
     keys (ProductID) in place of the surrogate ones.
     """
-    lines = detail.select("SalesOrderID", "SalesOrderDetailID", "OrderQty", "ProductID",
-                          "UnitPrice", "UnitPriceDiscount", "LineTotal")
-    orders = header.select("SalesOrderID", "RevisionNumber", "OrderDate", "DueDate", "ShipDate",
-                           "Status", "CustomerID", "ShipToAddressID", "BillToAddressID",
-                           "ShipMethod", "SubTotal", "TaxAmt", "Freight", "TotalDue")
-    order_key, order_in = _date_key_in(F.col("OrderDate"), cfg)
-    due_key, due_in = _date_key_in(F.col("DueDate"), cfg)
-    ship_key, ship_in = _date_key_in(F.col("ShipDate"), cfg)
-    # Date filters apply to the header before the join, so the line side only
-    # meets orders that survive the calendar lookup.
-    orders = (orders.filter(order_in & due_in)
-                    .withColumns({"OrderDateKey": order_key, "DueDateKey": due_key,
-                                  "ShipDateKey": F.when(ship_in, ship_key)}))
-    # Customer key on the header side: one row per order is cheaper to join
-    # than one row per line.
-    orders = _customer_keys(orders, dim_customer_df, customer_versions)
+    lines = detail.select(LINE_COLUMNS)
+    orders = known_orders(header, dim_customer_df, cfg, customer_versions)
+    survivors = orders.select("SalesOrderID")
     if dim_address_df is not None:
         keys = current_lookup(dim_address_df, "AddressID", ["AddressKey"])
         for role in ("ShipTo", "BillTo"):
@@ -245,15 +269,41 @@ def fact_sales(detail: DataFrame, header: DataFrame, dim_product_df: DataFrame,
             orders = orders.withColumns({f"{r}AddressKey": F.coalesce(f"{r}AddressKey", F.lit(-1)) for r in ("ShipTo", "BillTo")})
     # Product key and standard cost come from the same dimension row.
     products = current_lookup(dim_product_df, "ProductID", ["ProductKey", "StandardCost"])
-    f = lines.join(orders, "SalesOrderID").join(products, "ProductID").withColumn(
-        "LineProfit", line_profit(F.col("LineTotal"), F.col("OrderQty"), F.col("StandardCost")))
+    known = lines.join(products, "ProductID")
+    if with_sales_key:
+        f = _numbered_lines(known, orders, lines.join(products.select("ProductID"), "ProductID"), survivors)
+    else:
+        f = known.join(orders, "SalesOrderID")
+    f = f.withColumn("LineProfit", line_profit(F.col("LineTotal"), F.col("OrderQty"), F.col("StandardCost")))
     source = {"ProductStandardCost": "StandardCost", "OrderSubTotal": "SubTotal", "OrderTaxAmt": "TaxAmt",
               "OrderFreight": "Freight", "OrderTotal": "TotalDue", "OrderStatus": "Status"}
-    columns = [c for c in FACT_SALES_COLUMNS if c != "SalesKey" and source.get(c, c) in f.columns]
-    if "ProductKey" not in columns:
-        columns.append("ProductID")
-    f = f.select(*[F.col(source.get(c, c)).alias(c) for c in columns])
-    if not with_sales_key:
-        return f
-    f = assign_sequential_key(f, ["SalesOrderID", "SalesOrderDetailID"], "SalesKey")
-    return f.select("SalesKey", *columns)
+    columns = [c for c in FACT_SALES_COLUMNS if source.get(c, c) in f.columns]
+    columns += [natural for key, natural in (("ProductKey", "ProductID"), ("CustomerKey", "CustomerID")) if key not in columns]
+    return f.select(*[F.col(source.get(c, c)).alias(c) for c in columns])
+
+
+#: Line ids in one block of an order. Lines meet their order by block, so an order with
+#: very many lines is spread over as many tasks as it has blocks.
+LINE_BLOCK = 1 << 16
+
+
+def _numbered_lines(known: DataFrame, orders: DataFrame, narrow: DataFrame, survivors: DataFrame) -> DataFrame:
+    """Order lines joined with their orders, and SalesKey = 1..n by order and line (WIN-3),
+    in two levels: blocks of an order's lines are counted (``narrow``: lines that stay;
+    ``survivors``: orders that stay), running sums over the blocks give each its offset,
+    and a line adds its place in its block. Only the blocks' counts are sorted over the
+    whole table; the lines move once, to their orders, and their place comes from the
+    order they have there. An order delivered twice multiplies its lines, as in a join;
+    the copies take turns line by line."""
+    block = F.coalesce(F.floor(F.col("SalesOrderDetailID") / LINE_BLOCK), F.lit(-1 << 62)).alias("_block")
+    copies = survivors.groupBy("SalesOrderID").agg(F.count(F.lit(1)).alias("_copies"))
+    blocks = narrow.groupBy("SalesOrderID", block).agg(F.count(F.lit(1)).alias("_lines")).join(copies, "SalesOrderID") \
+                   .select("SalesOrderID", "_block", "_copies", (F.col("_lines") * F.col("_copies")).alias("_rows"))
+    blocks = running_offsets(blocks, ["SalesOrderID", "_block"], "_rows", "_offset").drop("_rows")
+    same = Window.partitionBy("SalesOrderID").orderBy(*[c for c in orders.columns if c != "SalesOrderID"])
+    spread = orders.withColumn("_copy", F.row_number().over(same)).join(blocks, "SalesOrderID")
+    place = Window.partitionBy("SalesOrderID", "_block").orderBy(
+        "SalesOrderDetailID", "ProductID", "OrderQty", "UnitPrice", "UnitPriceDiscount")
+    placed = known.withColumn("_block", block).withColumn("_place", F.row_number().over(place) - 1)
+    return placed.join(spread, ["SalesOrderID", "_block"]).withColumn(
+        "SalesKey", (F.col("_offset") + F.col("_place") * F.col("_copies") + F.col("_copy")).cast("long"))

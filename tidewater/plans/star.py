@@ -100,6 +100,19 @@ class Star:
         return G.fact_sales(s["detail"], s["header"], self.dim_product, self.dim_customer,
                             self.dim_address, self.cfg, with_sales_key=False)
 
+    @cached_property
+    def order_lines(self) -> DataFrame:
+        """Lines with their orders, by natural keys, products not looked up yet."""
+        s = self.silver
+        return G.order_lines(s["detail"], s["header"], s["customer"].select("CustomerID"), self.cfg)
+
+    def gold_rows(self) -> dict[str, DataFrame]:
+        """Frames with the rows of the gold tables but not their surrogate keys: to count
+        them, nothing needs to be numbered."""
+        s = self.silver
+        return {"Dim_Date": self.dim_date, "Dim_Customer": s["customer"], "Dim_Product": s["product"],
+                "Dim_Address": G.address_rows(s["address"]), "Fact_Sales": self.fact_measures}
+
     def gold(self) -> dict[str, DataFrame]:
         return {"Dim_Date": self.dim_date, "Dim_Customer": self.dim_customer,
                 "Dim_Product": self.dim_product, "Dim_Address": self.dim_address,

@@ -18,6 +18,20 @@ SOURCE_TABLES = {
     "detail": "SalesOrderDetail",
 }
 
+# What identifies a row of each source table (fixed values of the schema).
+NATURAL_KEYS = {
+    "customer": ["CustomerID"],
+    "product": ["ProductID"],
+    "product_category": ["ProductCategoryID"],
+    "product_model": ["ProductModelID"],
+    "product_description": ["ProductDescriptionID"],
+    "model_description": ["ProductModelID", "ProductDescriptionID", "Culture"],
+    "address": ["AddressID"],
+    "customer_address": ["CustomerID", "AddressID"],
+    "header": ["SalesOrderID"],
+    "detail": ["SalesOrderID", "SalesOrderDetailID"],
+}
+
 
 class SalesSources:
     """The source tables, built on first use: a query that needs only orders
