@@ -254,9 +254,10 @@ FROM fact_sales f LEFT JOIN (SELECT DISTINCT {dk} AS _dk FROM {cte}) k ON f.{fk}
     for fk, cte, dk, dname in _FKS)))
 def fk_orphans(spark, sf):
     st = star(spark, sf)
+    fact = st.fact_places
     dims = {"dim_customer": st.dim_customer, "dim_product": st.dim_product,
             "dim_date": st.dim_date, "dim_address": st.dim_address}
-    return Q.fk_orphans(st.fact_places, [(fk, dims[cte], dk, dname) for fk, cte, dk, dname in _FKS])
+    return Q.fk_orphans(fact, [(fk, dims[cte], dk, dname) for fk, cte, dk, dname in _FKS])
 
 
 _DIM_KEYS = [("Dim_Customer", "dim_customer", "CustomerKey"), ("Dim_Product", "dim_product", "ProductKey"),
@@ -538,9 +539,10 @@ FROM faulty f LEFT JOIN (SELECT DISTINCT {dk} AS _dk FROM {cte}) k ON f.{fk} = k
 def faulty_fk_orphans(spark, sf):
     """Orphans per foreign key where there are some (DQ-1)."""
     st = star(spark, sf)
+    fact = faulty_fact(st.fact_places)
     dims = {"dim_customer": st.dim_customer, "dim_product": st.dim_product,
             "dim_date": st.dim_date, "dim_address": st.dim_address}
-    return Q.fk_orphans(faulty_fact(st.fact_places), [(fk, dims[cte], dk, dname) for fk, cte, dk, dname in _FKS])
+    return Q.fk_orphans(fact, [(fk, dims[cte], dk, dname) for fk, cte, dk, dname in _FKS])
 
 
 @register("faulty_orphan_rows", W("""

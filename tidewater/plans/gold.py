@@ -259,9 +259,10 @@ def fact_sales(detail: DataFrame, header: DataFrame, dim_product_df: DataFrame,
     orders = known_orders(header, dim_customer_df, cfg, customer_versions)
     survivors = orders.select("SalesOrderID")
     if dim_address_df is not None:
-        keys = current_lookup(dim_address_df, "AddressID", ["AddressKey"])
+        # grouped by the type that is joined, so that the lookup is shuffled once
+        keys = current_lookup(dim_address_df.withColumn("_aid", F.col("AddressID").cast("long")), "_aid", ["AddressKey"])
         for role in ("ShipTo", "BillTo"):
-            side = keys.select(F.col("AddressID").alias("_aid"), F.col("AddressKey").alias(f"{role}AddressKey"))
+            side = keys.select("_aid", F.col("AddressKey").alias(f"{role}AddressKey"))
             # a missing address is spread by a negative order key, so the NULLs do not meet in one partition
             probe = F.coalesce(F.col(f"{role}AddressID").cast("long"), -F.col("SalesOrderID") - 2)
             orders = orders.withColumn("_probe", probe).join(side, F.col("_probe") == F.col("_aid"), "left").drop("_probe", "_aid")

@@ -7,6 +7,7 @@ fact and the calendar plans only those branches. Building a keyed table
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,13 @@ class Star:
         from tidewater.sources.fixture import fixture_sources
         return cls(spark, fixture_sources(spark, sf_dir), cfg)
 
+    def _dimensions(self) -> None:
+        """Number the three keyed dimensions side by side: their jobs are independent."""
+        missing = [n for n in ("dim_customer", "dim_product", "dim_address") if n not in self.__dict__]
+        if missing:
+            with ThreadPoolExecutor(len(missing)) as pool:
+                list(pool.map(lambda n: getattr(self, n), missing))
+
     # ------------------------------------------------------------ bronze
     @cached_property
     def bronze(self) -> dict[str, DataFrame]:
@@ -67,6 +75,7 @@ class Star:
 
     @cached_property
     def fact_sales(self) -> DataFrame:
+        self._dimensions()
         s = self.silver
         return G.fact_sales(s["detail"], s["header"], self.dim_product, self.dim_customer,
                             self.dim_address, self.cfg)
@@ -96,6 +105,7 @@ class Star:
     @cached_property
     def fact_places(self) -> DataFrame:
         """``fact_lines`` with the address roles."""
+        self._dimensions()
         s = self.silver
         return G.fact_sales(s["detail"], s["header"], self.dim_product, self.dim_customer,
                             self.dim_address, self.cfg, with_sales_key=False)
@@ -114,6 +124,7 @@ class Star:
                 "Dim_Address": G.address_rows(s["address"]), "Fact_Sales": self.fact_measures}
 
     def gold(self) -> dict[str, DataFrame]:
+        self._dimensions()
         return {"Dim_Date": self.dim_date, "Dim_Customer": self.dim_customer,
                 "Dim_Product": self.dim_product, "Dim_Address": self.dim_address,
                 "Fact_Sales": self.fact_sales}
