@@ -178,6 +178,36 @@ def test_sharding_spreads_a_group_larger_than_a_shard(spark):
     assert sum(n * (n - 1) // 2 for n in hot.values()) > 1.5 * random_kept
 
 
+def test_sharding_cuts_no_pair_that_fits(spark):
+    texts = [f"pair {k // 2}" for k in range(4000)]
+    rows = sharding.assign_shards(frame(spark, texts)).collect()
+    groups = check_shards(rows, texts, range(4000))
+    assert len(groups) == 2000 and all(len(g) == 1 for g in groups.values())
+
+
+def test_sharding_cuts_few_groups_of_mixed_sizes(spark):
+    rng = np.random.default_rng(4)
+    sizes = [*rng.integers(2, 12, 300), 150, 90, 60]
+    texts = [f"group {k}" for k, n in enumerate(sizes) for _ in range(n)]
+    texts += [f"single {k}" for k in range(100)]
+    rows = sharding.assign_shards(frame(spark, texts)).collect()
+    groups = check_shards(rows, texts, range(len(texts)))
+    assert sum(len(g) > 1 for g in groups.values()) <= 3
+
+
+def test_sharding_rows_without_an_id(spark):
+    texts = ["hot"] * 900 + [f"s{k}" for k in range(700)]
+    rows = sharding.assign_shards(frame(spark, texts, ids=[None] * 1600), part_rows=100).collect()
+    hot = max(check_shards(rows, texts, [None] * 1600).values(), key=lambda g: sum(g.values()))
+    assert len(hot) <= 6  # 900 rows need 5 shards of 200
+
+
+def test_sharding_flows_swap_and_respect_quotas():
+    assert sharding.accepted([[0, 5], [5, 0]], [10, 10], 10) == [[0, 5], [5, 0]]
+    assert sharding.accepted([[0, 5], [0, 0]], [10, 10], 10) == [[0, 0], [0, 0]]
+    assert sharding.accepted([[0, 5, 0], [0, 0, 5], [3, 0, 0]], [10, 10, 8], 10) == [[0, 5, 0], [0, 0, 5], [3, 0, 0]]
+
+
 @pytest.mark.parametrize("n", [0, 1, 5])
 def test_sharding_small_tables(spark, n):
     rows = sharding.assign_shards(frame(spark, ["x"] * n)).collect()
