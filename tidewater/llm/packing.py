@@ -8,8 +8,8 @@ nothing else, so memory does not grow with the input.
 
 Plan: texts are encoded where they are read; only a narrow row for each piece
 (place in its document, length, checksum, ids on request) is written and dealt
-out evenly, by a hash of document and piece, to packers of
-``pieces_per_packer`` pieces. A packer sorts by length, longest first, before it
+out evenly, by a hash of its place in what was written, to packers of
+``pieces_per_packer`` pieces; so ids that are null or repeated make no packer larger. A packer sorts by length, longest first, before it
 feeds its bins, since best-fit loses least when long pieces come first.
 
 Defined cases: a null or empty text is the end id alone; a null ``doc_id`` is a
@@ -115,7 +115,8 @@ def pack(pieces: DataFrame, capacity: int, open_bins: int = 4096, pieces_per_pac
                  pa.array([o for _, o in placed], pa.int64())],
                 names=[*b.schema.names, "sequence_id", "offset"])
 
-    dealt = staged.repartition(packers, F.xxhash64("doc_id", "piece", "start"))
+    # by place in the staged table: rows that are equal in all columns are dealt apart too
+    dealt = staged.withColumn("__at", F.monotonically_increasing_id()).repartition(packers, F.xxhash64("__at")).drop("__at")
     ordered = dealt.sortWithinPartitions(F.desc("length"), "doc_id", "piece")
     return ordered.mapInArrow(run, PIECES + ", sequence_id long, offset long")
 
