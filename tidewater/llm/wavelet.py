@@ -7,7 +7,8 @@ before it; the blocks (zstd). A plane holds one bit of every id; each plane is
 ordered by the bits of the planes before it, so ``access``, ``count`` (rank) and
 ``find`` (select) follow one id through the planes and touch one block of each.
 
-Plan: documents are range-partitioned by ``doc_id`` and sorted inside a
+Plan: documents are range-partitioned by ``doc_id`` (then checksum and place, so
+that no id is too frequent for a partition) and sorted inside a
 partition, encoded there, and cut into shards of about ``shard_ids`` ids at
 document borders, so a shard is bounded and files are in ascending doc_id order.
 The shard rows are Parquet with the payload as a binary column, so Spark writes,
@@ -203,20 +204,27 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, shard_ids: i
 
         for b in batches:
             flat, n = enc.batch(b.column(1).to_pylist())
-            ended = np.insert(flat, np.cumsum(n), np.uint32(end_id))
-            keys += b.column(0).to_pylist()
-            ids.append(ended)
-            lengths.append(n + 1)
-            held += len(ended)
-            if held >= shard_ids:
-                yield row()
-                keys, ids, lengths, held, shard = [], [], [], 0, shard + 1
+            ended, per, names = np.insert(flat, np.cumsum(n), np.uint32(end_id)), n + 1, b.column(0).to_pylist()
+            ends, at = np.cumsum(per), 0
+            while at < len(per):  # a shard ends with the document that fills it
+                begun = int(ends[at] - per[at])
+                to = min(len(per), at + 1 + int(np.searchsorted(ends[at:] - begun, shard_ids - held)))
+                keys += names[at:to]
+                ids.append(ended[begun:int(ends[to - 1])])
+                lengths.append(per[at:to])
+                held += int(ends[to - 1]) - begun
+                at = to
+                if held >= shard_ids:
+                    yield row()
+                    keys, ids, lengths, held, shard = [], [], [], 0, shard + 1
         if held:
             yield row()
 
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")) \
-        .repartitionByRange(F.col("doc_id").asc_nulls_first()) \
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.crc32(F.col("text").cast("binary")))
+    # ids that repeat or are null are split by their texts' checksums, and copies by their place in the input
+    order = [F.col("doc_id").asc_nulls_first(), "__crc", "__at"]
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"),
+                          F.crc32(F.col("text").cast("binary")).alias("__crc"), F.monotonically_increasing_id().alias("__at")) \
+        .repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     shards = ordered.mapInArrow(run, SHARDS)
     if path is None:
         return stage(shards, "token-shards")
