@@ -148,6 +148,43 @@ def test_neighbours(spark):
     assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in vamana.nearest(one).collect()] == [(100, 1, 7, 1.0), (100, 2, 7, 1.0)]
 
 
+def test_packing_and_shards_of_rows_without_an_id(spark, tokenizer):
+    texts = ["the same text again"] * 1500
+    docs = frame(spark, texts, ids=[None] * 1500).repartition(4)
+    rows = packing.pack_documents(docs, PATH, 0, 64, pieces_per_packer=150).collect()
+    packers = Counter(r.sequence_id >> 40 for r in rows)
+    assert len(rows) == 1500 and len(packers) == 10 and max(packers.values()) <= 2 * 150
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        shards = wavelet.write_shards(docs, PATH, 1, shard_ids=200)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    held = shards.collect()
+    parts = Counter()
+    for r in held:
+        parts[r.part] += len(r.lengths) // 4
+        assert r.n_ids < 200 + 10
+    assert sum(parts.values()) == 1500 and max(parts.values()) <= 2 * 1500 / len(parts) and len(parts) > 4
+    read = wavelet.read_documents(shards).collect()
+    size = len(plain(tokenizer, texts[0])) + 1
+    assert sorted(r.start for r in read) == [k * size for k in range(1500)]
+
+
+def test_neighbours_of_doubles(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(rng.normal(size=(300, 4)) * 1e-3)]
+    rows += [(1000, [1e200, 0.0, 0.0, 0.0]), (1001, [1.5e200, 0.0, 0.0, 0.0]), (1002, [4e38, 1.0, 0.0, 0.0])]
+    found = vamana.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=3, shard_rows=100).collect()
+    by = {i: np.array(v) for i, v in rows}
+    for r in found:
+        if r.query_id < 1000 and r.vec_id < 1000:
+            assert r.score == np.sqrt(((by[r.query_id] - by[r.vec_id]) ** 2).sum())
+    first = {r.query_id: (r.vec_id, r.score) for r in found if r["rank"] == 1}
+    assert first[1000] == (1001, 5e199)
+    for q in (0, 100, 200):
+        assert first[q][0] == min((i for i in range(300) if i != q), key=lambda i: ((by[i] - by[q]) ** 2).sum())
+
+
 def check_shards(rows, texts, ids, shards=8):
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == Counter(
         (i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in zip(ids, texts))

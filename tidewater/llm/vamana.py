@@ -39,7 +39,9 @@ class Graph:
     """A robust-pruned graph over the rows of ``points`` (distinct vectors)."""
 
     def __init__(self, points: np.ndarray, degree: int = 32, beam: int = 64, alpha: float = 1.2, batch: int = 256, seed: int = 7):
-        self.x = np.ascontiguousarray(points, np.float32)
+        # searched in single precision, unless that cannot hold the squares
+        self.kind = np.float32 if np.abs(points).max(initial=0.0) <= 1e15 else np.float64
+        self.x = self.held(points)
         self.n, self.degree, self.beam = len(points), degree, beam
         self.square = np.einsum("ij,ij->i", self.x, self.x)
         self.start = int(np.argmin(((self.x - self.x.mean(0)) ** 2).sum(1)))
@@ -49,6 +51,11 @@ class Graph:
             for part in np.array_split(rng.permutation(self.n), max(1, -(-self.n // batch))):
                 self._insert(part, relax)
 
+    def held(self, points: np.ndarray) -> np.ndarray:
+        """Vectors as the graph compares them."""
+        most = 1e15 if self.kind is np.float32 else 1e150
+        return np.ascontiguousarray(np.clip(points, -most, most), self.kind)
+
     def _distances(self, q: np.ndarray, q2: np.ndarray, ids: np.ndarray) -> np.ndarray:
         return q2[:, None] + self.square[ids] - 2 * np.einsum("bd,bkd->bk", q, self.x[ids])
 
@@ -60,7 +67,7 @@ class Graph:
         seen = np.zeros((b, self.n), bool)
         seen[:, self.start] = True
         ids = np.full((b, beam), -1, np.int64)
-        dist = np.full((b, beam), np.inf, np.float32)
+        dist = np.full((b, beam), np.inf, self.kind)
         open_ = np.zeros((b, beam), bool)
         ids[:, 0], open_[:, 0] = self.start, True
         dist[:, 0] = self._distances(q, q2, ids[:, :1])[:, 0]
@@ -166,11 +173,16 @@ class ShardIndex:
         self.graph = Graph(self.exact, **options)
 
     def query(self, ids: np.ndarray, keys: np.ndarray, vectors: np.ndarray, beam: int) -> pa.RecordBatch:
-        found, _ = self.graph.search(vectors.astype(np.float32), max(beam, self.k + 1))
+        found, _ = self.graph.search(self.graph.held(vectors), max(beam, self.k + 1))
         row, col = np.nonzero(found >= 0)
         point = found[row, col]
-        diff = self.exact[point].astype(np.float64) - vectors[row].astype(np.float64)
-        score = np.sqrt((diff * diff).sum(1))
+        diff = self.exact[point] - vectors[row]
+        with np.errstate(over="ignore"):
+            score = np.sqrt((diff * diff).sum(1))
+        wide = ~np.isfinite(score)
+        if wide.any():  # squares beyond the range of a double
+            top = np.abs(diff[wide]).max(1)
+            score[wide] = top * np.sqrt(((diff[wide] / top[:, None]) ** 2).sum(1))
         n = self.size[point]
         vec, row, score = self.ids[spread(self.at[point], n)], np.repeat(row, n), np.repeat(score, n)
         other = vec != ids[row]
@@ -194,7 +206,7 @@ def nearest(vectors: DataFrame, is_query: str = "pmod(vec_id, 100) = 0", k: int
     """(query_id, rank, vec_id, score): each query's nearest, nearest first.
     ``vectors``: vec_id, embedding; ``is_query`` is SQL over vec_id."""
     v = F.col("embedding")
-    good = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.cast("array<float>").alias("embedding")).filter(
+    good = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.cast("array<double>").alias("embedding")).filter(
         "vec_id IS NOT NULL AND embedding IS NOT NULL AND exists(embedding, x -> x <> 0) "
         "AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity'))")
     good = stage(good, "vectors")
