@@ -4,7 +4,7 @@ ties, repeated rows, empty tables and clashing extra columns."""
 import hashlib
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -436,3 +436,86 @@ def test_toxicity_learns_and_handles_edges(spark):
     none = toxicity.score_documents(frame(spark, ["a", None]), labs.limit(0)).collect()
     assert len(none) == 2 and len({r.score for r in none}) == 1
     assert toxicity.score_documents(frame(spark, []), labs).count() == 0
+
+
+def brute_scores(texts, labelled, strength=10.0, drift=0.75):
+    """The score by its definition: counts in plain tables, best segment over all pairs of
+    ends, quartiles of clean documents by length, rates by the minimax formula."""
+    words = {i: re.findall(rb"[0-9a-z\x80-\xff]+", (t or "").lower().encode()) for i, t in enumerate(texts)}
+    grams = lambda w: [*[(k, w[:k]) for k in (5, 7) if len(w) >= k], (0, w)]
+    crc = {i: zlib.crc32(str(i).encode()) for i in words}
+    train = {i: t for i, t in labelled.items() if crc[i] % 3 != 1}
+
+    def best(i, without):
+        n = [defaultdict(int), defaultdict(int)]
+        for j, t in train.items():
+            if crc[j] % 4 != without:
+                for w in set(words[j]):
+                    for g in grams(w):
+                        n[t][g] += 1
+        base = sum(n[1].values()) / max(1, sum(n[0].values()) + sum(n[1].values()))
+        logit = lambda r: np.log(r / (1 - r))
+        score = []
+        for w in words[i]:
+            rate = base
+            for g in grams(w):
+                rate = (n[1][g] + strength * rate) / (n[1][g] + n[0][g] + strength)
+            score.append(logit(rate) - logit(base) - drift)
+        top = max([0.0, *(sum(score[a:b]) for a in range(len(score)) for b in range(a + 1, len(score) + 1))])
+        return top - np.log(max(64, len(words[i])))
+
+    size = lambda i: max(64, len(words[i])).bit_length()
+    bins = Counter((size(i), np.floor(best(i, crc[i] % 4) / 0.25), t) for i, t in train.items())
+
+    def law(keep):
+        at = sorted((b, n) for (c, b, t), n in bins.items() if not t and keep(c))
+        where, total = sorted({b for b, _ in at}), sum(n for _, n in at)
+        held = [sum(n for b2, n in at if b2 <= b) / total for b in where]
+        q = [np.interp(p, held, [(b + 0.5) * 0.25 for b in where]) for p in (0.25, 0.5, 0.75)]
+        return q[1], max(0.05, q[2] - q[0]), total
+    every, laws = law(lambda c: True), {}
+    for c in {c for c, _, t in bins if not t}:
+        own = law(lambda d: d == c)
+        share = own[2] / (own[2] + 200.0)
+        laws[c] = [share * x + (1 - share) * y for x, y in zip(own[:2], every[:2])]
+
+    def z(c, x):
+        median, spread = laws.get(c, every[:2])
+        scale = spread / (np.log(np.log(4)) - np.log(-np.log(0.75)))
+        return (x - (median + scale * np.log(np.log(2)))) / scale
+    steps = Counter()
+    for (c, b, t), n in bins.items():
+        steps[np.floor(z(c, (b + 0.5) * 0.25) / 0.4), t] += n
+    at = sorted({k for k, _ in steps})
+    mean = lambda a, b: sum(steps[k, 1] for k in at[a:b]) / sum(steps[k, 0] + steps[k, 1] for k in at[a:b])
+    rate = [max(min(mean(a, b) for b in range(k + 1, len(at) + 1)) for a in range(k + 1)) for k in range(len(at))]
+    return {i: np.interp(z(size(i), best(i, None)), [(k + 0.5) * 0.4 for k in at], rate) for i in words}
+
+
+def test_toxicity_scores_equal_their_definition(spark):
+    rng = np.random.default_rng(12)
+    texts, labels = [], {}
+    for i in range(150):
+        w = list(rng.choice(WORDS, int(rng.integers(3, 150))))
+        if i % 3 == 0:
+            for k in rng.integers(0, len(w), 2):
+                w[k] = str(rng.choice(["vileful", "vileness", "bad"]))
+        texts.append(" ".join(w))
+        labels[i] = int(i % 3 == 0) if i % 10 else 1 - int(i % 3 == 0)
+    labs = spark.createDataFrame([(i, 1, t) for i, t in labels.items()], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score_documents(frame(spark, texts), labs).collect()}
+    want = brute_scores(texts, labels)
+    assert len({round(x, 6) for x in got.values()}) > 5
+    for i, x in want.items():
+        assert abs(got[i] - x) < 1e-6, (i, got[i], x)
+
+
+def test_the_law_of_best_segments_depends_on_length():
+    at = np.arange(-20, 20) * 0.25
+    short, long = np.exp(-(at + 2) ** 2) * 1000, np.exp(-(at - 2) ** 2) * 1000
+    toxic = np.where(at > 3.5, 30.0, 0.0)
+    length = np.repeat([7, 10], len(at))
+    law = toxicity.Calibration(length, np.tile(at, 2), np.tile(toxic, 2), np.concatenate([short, long]), 0.1)
+    assert law.tail(7, 1.0) < 0.05 < 0.5 < law.tail(10, 1.0)
+    assert law.score(7, 3.0) > law.score(10, 3.0)
+    assert law.laws[7][0] < law.law[0] < law.laws[10][0] and law.score(99, 0.0) >= 0.0

@@ -6,9 +6,11 @@ is that of its 5-byte prefix, whose prior is the base rate, each worth
 ``strength`` documents. So an inflected form that was never seen borrows from its
 stem. ``drift`` is taken off every token, so that chance runs stay short. A
 document's tokens are scanned once (all maximal segments in linear
-time); a passage is significant by the extreme-value law of clean documents'
-best segments, which grow with the logarithm of length; the law's location and
-scale and the step from it to a probability come from labelled documents.
+time); the best one is judged by the extreme-value law of clean documents' best
+segments. The law depends on length: each class of lengths (doubling) has its own
+place and scale, drawn towards those of all lengths where a class is small. So
+the same segment means less in a long text, and tails of texts of any length can
+be compared; a last step turns them into probabilities by labelled documents.
 
 Labels are learnt from training rows only. For the calibration each of their four
 folds is scored by the counts of the others, so no document is calibrated on
@@ -39,7 +41,10 @@ CELLS = 1 << 20
 PREFIXES = (5, 7)
 FOLDS = 4
 BIN = 0.25  # width of a calibration bin
+STEP = 0.4  # width of a bin of the standardised statistic
 SHORT = 64  # texts of fewer words count as this long, so that few words are no evidence by themselves
+LEVEL = 0.01  # tail probability below which a passage is significant
+SHRINK = 200.0  # clean documents that the law of all lengths is worth in a class of lengths
 SCORED = "doc_id long, score double, passages array<struct<start:int,end:int,score:double>>"
 
 
@@ -157,28 +162,58 @@ def isotonic(x: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> np.ndarray:
 
 
 class Calibration:
-    """Extreme-value law of clean documents and probability by standardised statistic."""
+    """Extreme-value law of clean documents by length class, and the probability of toxic
+    by its tail. ``length``, ``at``: class and statistic of each bin."""
 
-    def __init__(self, at: np.ndarray, toxic: np.ndarray, clean: np.ndarray, base: float):
+    def __init__(self, length: np.ndarray, at: np.ndarray, toxic: np.ndarray, clean: np.ndarray, base: float):
         self.base, self.usable = base, bool(toxic.sum() and clean.sum())
+        self.laws: dict[int, tuple[float, float]] = {}
         if not self.usable:
-            self.place, self.scale = 0.0, 1.0
+            self.law = (0.0, 1.0)
             return
-        mean = float((at * clean).sum() / clean.sum())
-        var = float((clean * (at - mean) ** 2).sum() / clean.sum())
-        self.scale = max(1e-3, (6 * var) ** 0.5 / np.pi)  # moments of the Gumbel law
-        self.place = mean - 0.5772156649 * self.scale
-        self.at = (at - self.place) / self.scale
-        self.rate = isotonic(self.at, toxic, clean)
-
-    def score(self, x: float) -> float:
+        whole = self._quartiles(at, clean)
+        self.law = self._gumbel(*whole)
+        for c in np.unique(length).tolist():
+            mine = np.where(length == c, clean, 0.0)
+            share = float(mine.sum()) / (float(mine.sum()) + SHRINK)
+            if share:
+                own = self._quartiles(at, mine)
+                self.laws[c] = self._gumbel(*(share * x + (1 - share) * y for x, y in zip(own, whole)))
+        z = np.array([self.standard(c, x) for c, x in zip(length.tolist(), at.tolist())])
+        steps, where = np.unique(np.floor(z / STEP).astype(np.int64), return_inverse=True)
+        self.rate = isotonic(steps, *(np.bincount(where, n, len(steps)) for n in (toxic, clean)))
+        self.at = (steps + 0.5) * STEP
+
+    @staticmethod
+    def _quartiles(at: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+        """Median and distance of the quartiles: a few mislabelled documents don't move them."""
+        where, which = np.unique(at[weight > 0], return_inverse=True)
+        share = np.cumsum(np.bincount(which, weight[weight > 0])) / weight.sum()
+        low, mid, high = np.interp([0.25, 0.5, 0.75], share, where)
+        return float(mid), max(0.05, float(high - low))
+
+    @staticmethod
+    def _gumbel(median: float, spread: float) -> tuple[float, float]:
+        """Place and scale of the Gumbel law with these quartiles: its quantile p is place - scale ln(-ln p)."""
+        scale = spread / (np.log(-np.log(0.25)) - np.log(-np.log(0.75)))
+        return median + scale * np.log(np.log(2.0)), scale
+
+    def standard(self, length: int, x: float) -> float:
+        place, scale = self.laws.get(length, self.law)
+        return (x - place) / scale
+
+    def tail(self, length: int, x: float) -> float:
+        """Probability that a clean document of this length has so good a segment."""
+        return float(-np.expm1(-np.exp(-self.standard(length, x))))
+
+    def score(self, length: int, x: float) -> float:
         if not self.usable:
             return self.base
-        return float(np.clip(np.interp((x - self.place) / self.scale, self.at, self.rate), 0.0, 1.0))
+        return float(np.clip(np.interp(self.standard(length, x), self.at, self.rate), 0.0, 1.0))
 
-    def significant(self, score: float, n_words: int, level: float = 0.01) -> bool:
-        z = (score - float(np.log(max(n_words, SHORT))) - self.place) / self.scale
-        return 1 - np.exp(-np.exp(-z)) < level
+
+def length_class(n_words: int) -> int:
+    return int(max(n_words, SHORT)).bit_length()
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, train: str = "pmod(crc32(cast(doc_id AS string)), 3) <> 1",
@@ -204,16 +239,16 @@ def score_documents(docs: DataFrame, labels: DataFrame, train: str = "pmod(crc32
             for text, toxic, fold in zip(*(x.to_pylist() for x in b.columns)):
                 w = words_of(text)
                 x = statistic(maximal_segments(other[fold].of(w)), len(w))
-                seen[(int(np.floor(x / BIN)), toxic)] += 1
-        rows = [(k, n if t else 0, 0 if t else n) for (k, t), n in seen.items()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)],
-                                         names=["bin", "toxic", "clean"])
+                seen[(length_class(len(w)), int(np.floor(x / BIN)), toxic)] += 1
+        rows = [(c, k, n if t else 0, 0 if t else n) for (c, k, t), n in seen.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(4)],
+                                         names=["length", "bin", "toxic", "clean"])
 
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = ids.join(broadcast_if_small(labelled), ids.doc_id == labelled.label_id).select("text", "toxic", "fold")
-    bins = rows.mapInArrow(cross, "bin long, toxic long, clean long").groupBy("bin") \
-        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).toArrow().sort_by("bin")
-    law = Calibration((bins["bin"].to_numpy() + 0.5) * BIN, bins["toxic"].to_numpy().astype(float),
+    bins = rows.mapInArrow(cross, "length long, bin long, toxic long, clean long").groupBy("length", "bin") \
+        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).toArrow()  # classes of lengths times bins
+    law = Calibration(bins["length"].to_numpy(), (bins["bin"].to_numpy() + 0.5) * BIN, bins["toxic"].to_numpy().astype(float),
                       bins["clean"].to_numpy().astype(float), base)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,8 +259,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, train: str = "pmod(crc32
             for text in b.column(1).to_pylist():
                 w = words_of(text)
                 found = maximal_segments(odds.of(w))
-                scores.append(law.score(statistic(found, len(w))))
-                passages.append([{"start": a, "end": e, "score": s} for a, e, s in found if law.significant(s, len(w))])
+                length, less = length_class(len(w)), float(np.log(max(len(w), SHORT)))
+                scores.append(law.score(length, statistic(found, len(w))))
+                passages.append([{"start": a, "end": e, "score": s} for a, e, s in found if law.tail(length, s - less) < LEVEL])
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array(passages, kind)],
                                              names=["doc_id", "score", "passages"])
