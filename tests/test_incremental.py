@@ -210,6 +210,18 @@ def test_second_run_takes_only_what_is_new(spark, sf_small):
     assert run.read("gold", "Monthly_Sales").agg(F.sum("LineCount")).first()[0] == run.read("gold", "Fact_Sales").count()
 
 
+def test_a_refresh_builds_anew_and_shows_at_its_commit(spark, sf_small):
+    st, run = catalog._incremental(spark, sf_small)
+    early = run.read("gold", "Fact_Sales").count()
+    log = run.run(st.sources, refresh=True)
+    assert run.read("gold", "Fact_Sales", 1).count() == early < run.read("gold", "Fact_Sales").count()
+    assert log.filter("layer = 'bronze' AND table_name = 'Product'").first().rows == st.bronze["product"].count()
+    assert run.read("bronze", "SalesOrderHeader").count() == st.bronze["header"].count()
+    assert run.read("gold", "Yearly_Sales").agg(F.sum("LineCount")).first()[0] == run.read("gold", "Fact_Sales").count()
+    held = run.store.remove_unlisted()
+    assert held and run.read("gold", "Fact_Sales").count() == st.silver["detail"].count()
+
+
 def test_a_failed_table_is_tried_again_and_then_ends_the_run(spark, sf_small):
     st = Star.from_fixture(spark, sf_small)
     run = IncrementalPipeline(spark, TableStore(spark, _new("store")), st.cfg, buckets=4)

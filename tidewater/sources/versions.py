@@ -130,6 +130,10 @@ class Run:
             self._count += 1
             return f"data/{table}/{self.id}-{self._count}"
 
+    def forget(self) -> None:
+        """Start from nothing: the commit will list only what this run writes."""
+        self.tables, self.marks = {}, {}
+
     def has(self, table: str) -> bool:
         return table in self.tables
 
