@@ -210,6 +210,15 @@ def test_second_run_takes_only_what_is_new(spark, sf_small):
     assert run.read("gold", "Monthly_Sales").agg(F.sum("LineCount")).first()[0] == run.read("gold", "Fact_Sales").count()
 
 
+def test_rows_without_a_time_come_once(spark, sf_small):
+    st, run = catalog._incremental(spark, sf_small)
+    row = spark.createDataFrame([(999, None, "New", "cat-999", None)], st.sources.product_category.schema)
+    st.sources._built["product_category"] = st.sources.product_category.unionByName(row)
+    added = lambda log: log.filter("layer = 'bronze' AND table_name = 'ProductCategory'").first().rows
+    assert added(run.run(st.sources)) == 1 and added(run.run(st.sources)) == 0
+    assert run.read("silver", "ProductCategory").filter("ProductCategoryID = 999").count() == 1
+
+
 def test_a_refresh_builds_anew_and_shows_at_its_commit(spark, sf_small):
     st, run = catalog._incremental(spark, sf_small)
     early = run.read("gold", "Fact_Sales").count()

@@ -8,7 +8,8 @@ last commit. Files are never changed once written.
 
 A table may be kept in parts: buckets of its key, or any small set of labels. A write of
 some parts leaves the files of the others as they are. One run at a time may write: a
-commit that another run has overtaken is refused.
+commit that another run has overtaken is refused. The folder's file system must rename a
+file in one step, as HDFS and local disks do.
 """
 
 from __future__ import annotations
