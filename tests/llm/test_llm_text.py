@@ -2,6 +2,7 @@
 ties, repeated rows, empty tables and clashing extra columns."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -380,6 +381,61 @@ def test_codes_do_not_cross_texts():
     assert x.tolist() == want
 
 
+def brute_bits(trusted, text):
+    """-log2 p of a text by interpolated modified Kneser-Ney over its characters, by definition."""
+    grams = [None] * 5
+    grams[4] = Counter(tuple(p[i:i + 4]) for t in trusted for p in [[None] * 3 + list(t)] for i in range(len(t)))
+    for k in (3, 2, 1):
+        grams[k] = Counter(g[1:] for g in grams[k + 1])
+    discounts, totals, held = {}, Counter(), Counter()
+    for k in (1, 2, 3, 4):
+        t = [max(1, sum(n == j for n in grams[k].values())) for j in (1, 2, 3, 4)]
+        y = t[0] / (t[0] + 2 * t[1])
+        discounts[k] = [min(max(j - (j + 1) * y * t[j] / t[j - 1], 0.01), j - 0.01) for j in (1, 2, 3)]
+        for g, n in grams[k].items():
+            totals[g[:-1]] += n
+            held[g[:-1]] += discounts[k][min(n, 3) - 1]
+
+    def prob(g):
+        if not g:
+            return 1 / 0x110000
+        below, c, n = prob(g[1:]), g[:-1], grams[len(g)].get(g, 0)
+        if c not in totals:
+            return below
+        return ((n - discounts[len(g)][min(n, 3) - 1] if n else 0) + held[c] * below) / totals[c]
+
+    padded = [None] * 3 + list(text)
+    return sum(-math.log2(prob(tuple(padded[i:i + 4]))) for i in range(len(text)))
+
+
+def test_perplexity_is_its_definition(spark, monkeypatch):
+    monkeypatch.setattr("tidewater.llm.kneser_ney.BLOCK", 500)  # several blocks of each half
+    monkeypatch.setattr("tidewater.llm.kneser_ney.CHUNK", 300)
+    texts = random_texts(30, 25, 20) + ["Abc ABC aBC 012 999", "\u0431\u0432\u0446 \u0446\u0432\u0431", "\x00a\x00", "\U00010061 \U0001f600a", "", None]
+    labels = spark.createDataFrame([(i, 1) for i in (*range(24), 30, 31, 33)], "doc_id long, quality int")
+    docs = frame(spark, texts)
+    half = {r[0]: r[1] for r in docs.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(2))).collect()}
+    trusted = {r[0] for r in labels.collect()}
+    rows = {r.doc_id: r for r in judge(docs, labels).collect()}
+    assert len(rows) == 36 and rows[34].ln_perplexity is rows[35].ln_perplexity is None
+    for i, t in enumerate(texts):
+        if t:
+            want = brute_bits([texts[j] for j in trusted if half[j] != half[i]], t) * math.log(2) / len(t)
+            assert rows[i].n_chars == len(t) and rows[i].ln_perplexity == pytest.approx(want, rel=1e-9)
+
+
+def test_characters_are_not_folded():
+    from tidewater.llm.kneser_ney import block_grams
+    # capitals, digits, code points 21 apart and beyond 2^16 had one symbol each
+    for a, b in ("AB", "12", "\u0431\u0446", "a\U00010061", "\x00\x01"):
+        context, symbol, place, n = block_grams([a, b, ""])
+        assert len(set(symbol.tolist())) == 2 and n.tolist() == [1, 1, 0] and place[0] != place[1]
+    wide = "".join(map(chr, range(0x10000, 0x1c000)))  # too many letters for four in 64 bits
+    context, symbol, place, n = block_grams([wide, wide])
+    assert len(context) == len(wide) and (place[:len(wide)] == place[len(wide):]).all()
+    assert sorted(symbol.tolist()) == [ord(c) + 1 for c in wide]
+
+
 def test_quality_edges(spark):
     texts = random_texts(60, 23) + ["@@## ZZ!! " * 40, None, ""]
     labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 60, 2)] * 2, "doc_id long, quality int, toxic int")
