@@ -297,3 +297,13 @@ def test_a_repeated_micro_batch_changes_nothing(spark):
     assert merge_batch(store, "t", rows, 0, ["user_id"], "ts", 4)
     assert not merge_batch(store, "t", rows.withColumn("value", F.lit(9)), 0, ["user_id"], "ts", 4)
     assert store.read("t").first().value == 1 and store.state()["version"] == 1
+
+
+def test_buckets_grow_with_the_lines(spark, sf_small, monkeypatch):
+    from tidewater.sources import sinks
+    assert sinks.bucket_count(spark.range(10), spark.range(3)) == 8
+    monkeypatch.setattr(sinks, "BUCKET_ROWS", 500)
+    lines = spark.read.parquet(f"{sf_small}/lineitem.parquet").count()
+    df = E.queries()["bucketed_revenue_by_year"](spark, sf_small)
+    assert f"SelectedBucketsCount: {-(-lines // 500)} out of" in df._jdf.queryExecution().toString()
+    assert sorted(df.collect()) == sorted(E.queries()["revenue_by_year"](spark, sf_small).collect())

@@ -956,14 +956,14 @@ def upsert_orders_by_bucket(spark, sf):
 @register("bucketed_revenue_by_year", REGISTRY["revenue_by_year"][1])
 def bucketed_revenue_by_year(spark, sf):
     """Header and lines written in buckets of the order id, so that they meet without a
-    shuffle, as does counting orders (JOIN-1, QRY-1)."""
-    from tidewater.sources.sinks import write_table
+    shuffle, as does counting orders (JOIN-1, QRY-1). There are more buckets for more lines."""
+    from tidewater.sources.sinks import bucket_count, write_table
     st = star(spark, sf)
     base, database = _run_folder(spark, "buckets"), f"tidewater_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    stored = {}
+    stored, buckets = {}, bucket_count(st.silver["header"], st.silver["detail"])
     for name in ("header", "detail"):
-        write_table(st.silver[name], f"{base}/{name}", name=f"{database}.{name}", bucket_by="SalesOrderID", buckets=8)
+        write_table(st.silver[name], f"{base}/{name}", name=f"{database}.{name}", bucket_by="SalesOrderID", buckets=buckets)
         stored[name] = spark.read.table(f"{database}.{name}")
     return A.revenue_by_year_of_orders(stored["detail"], stored["header"], st.silver["product"], st.silver["customer"], st.cfg)
 

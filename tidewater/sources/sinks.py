@@ -25,6 +25,15 @@ def observed(seen: Observation, names: list[str], reread: Callable[[], DataFrame
         return {"rows": 0, **dict.fromkeys(names)}
 
 
+#: Rows that one bucket holds about, so that a bucket fits a task at any size of the table.
+BUCKET_ROWS = 1 << 19
+
+
+def bucket_count(*tables: DataFrame, least: int = 8) -> int:
+    """Buckets for tables that share their buckets: as many as the largest one needs."""
+    return max(least, -(-max(t.count() for t in tables) // BUCKET_ROWS))
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 replace_schema: bool = False, partition_by: list[str] | None = None,
                 name: str | None = None, bucket_by: str | None = None, buckets: int = 0) -> int:
