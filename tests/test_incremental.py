@@ -307,3 +307,15 @@ def test_buckets_grow_with_the_lines(spark, sf_small, monkeypatch):
     df = E.queries()["bucketed_revenue_by_year"](spark, sf_small)
     assert f"SelectedBucketsCount: {-(-lines // 500)} out of" in df._jdf.queryExecution().toString()
     assert sorted(df.collect()) == sorted(E.queries()["revenue_by_year"](spark, sf_small).collect())
+
+
+def test_first_upsert_is_written_once(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    rows = spark.createDataFrame([(k % 50, k, "x") for k in range(120)] + [(None, 5, "n"), (None, 9, "m")], "id long, v long, t string")
+    run = store.begin()
+    seen = run.upsert("t", rows, ["id"], "v", buckets=4)
+    run.commit()
+    assert store._names("data") == ["t"]  # no copy of the batch beside the table
+    assert seen["rows"] == 51 and seen["touched"] == sorted(store.state()["tables"]["t"]["parts"])
+    got = {r.id: (r.v, r.t) for r in store.read("t").collect()}
+    assert got == {None: (9, "m"), **{k: (k + 100 if k < 20 else k + 50, "x") for k in range(50)}}
