@@ -319,3 +319,12 @@ def test_first_upsert_is_written_once(spark, tmp_path):
     assert seen["rows"] == 51 and seen["touched"] == sorted(store.state()["tables"]["t"]["parts"])
     got = {r.id: (r.v, r.t) for r in store.read("t").collect()}
     assert got == {None: (9, "m"), **{k: (k + 100 if k < 20 else k + 50, "x") for k in range(50)}}
+
+
+def test_lines_are_summed_by_order_once(spark, sf_small, monkeypatch):
+    from tidewater.plans import aggregates
+    asked = []
+    monkeypatch.setattr(aggregates, "period_totals", lambda orders, columns: asked.append(orders) or period_totals(orders, columns))
+    catalog._period_tables(spark, sf_small)
+    plans = [o._jdf.queryExecution().optimizedPlan().toString() for o in asked]
+    assert len(plans) == 6 and not any("Aggregate" in p or "Join" in p for p in plans)  # stored orders, lines not summed again
