@@ -76,6 +76,30 @@ def test_fact_rows_are_not_checkpointed_to_number_them(spark, sf_small):
     assert "rangepartitioning" not in plan
 
 
+def test_fact_reads_lines_once_and_looks_addresses_up_by_narrow_rows(spark, sf_small):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(E.queries()["gold_fact_sales"](spark, sf_small))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "l_extendedprice" not in plan  # lines come from storage, where they were written once
+    assert "hashpartitioning(_probe" in plan  # addresses are looked up by narrow rows:
+    assert not any("ShipMethod" in line for line in plan.split("\n") if "_probe#" in line)
+
+
+def test_places_with_missing_and_negative_addresses(spark):
+    lines, headers = [(k, 1, 1) for k in range(1, 6)], [(k, 1) for k in range(1, 6)]
+    detail, header, product, customer = _order_tables(spark, lines, headers)
+    ids = {1: (10, None), 2: (None, 10), 3: (None, None), 4: (99, -5), 5: (10, 10)}
+    ship, bill = (F.element_at(F.create_map(*[F.lit(v) for k, i in ids.items() for v in (k, i[n])]), F.col("SalesOrderID").cast("int")) for n in (0, 1))
+    header = header.withColumns({"ShipToAddressID": ship.cast("int"), "BillToAddressID": bill.cast("int")})
+    address = spark.createDataFrame([(7, 10, True), (8, -5, True), (9, None, True)], "AddressKey long, AddressID int, IsCurrent boolean")
+    for unknown, none in ((False, None), (True, -1)):
+        fact = G.fact_sales(detail, header, product, customer, address, catalog.FIXTURE_CONFIG, unknown_address_key=unknown)
+        got = [(r.SalesOrderID, r.ShipToAddressKey, r.BillToAddressKey) for r in fact.orderBy("SalesKey").collect()]
+        assert got == [(1, 7, none), (2, none, 7), (3, none, none), (4, none, 8), (5, 7, 7)]
+
+
 def test_counts_make_no_keys(spark, sf_small):
     for name in ("layer_profile", "table_counts", "tables_per_layer"):
         assert "ExistingRDD" not in _plan(E.queries()[name](spark, sf_small)), name

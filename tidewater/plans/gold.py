@@ -15,6 +15,7 @@ from tidewater.operators.hierarchy import flatten_parent
 from tidewater.operators.keys import assign_sequential_key, current_lookup, running_offsets, version_spans
 from tidewater.operators.members import with_unknown_member
 from tidewater.operators.scd import with_scd_columns
+from tidewater.sources.sinks import through_storage
 
 # Fixed published column lists of the star.
 DIM_DATE_COLUMNS = [
@@ -213,13 +214,35 @@ def _customer_keys(orders: DataFrame, dim_customer_df: DataFrame, versions: str)
     return orders.join(spans, "CustomerID").filter((day >= F.col("_from")) & (day < F.col("_to"))).drop("_from", "_to")
 
 
+def _address_keys(places: DataFrame, dim_address_df: DataFrame, unknown: bool) -> DataFrame:
+    """Rows with a customer and two addresses (ids), with the keys of the two addresses."""
+    # grouped by the type that is joined, so that the lookup is shuffled once
+    keys = current_lookup(dim_address_df.withColumn("_aid", F.col("AddressID").cast("long")), "_aid", ["AddressKey"])
+    for role in ("ShipTo", "BillTo"):
+        side = keys.select("_aid", F.col("AddressKey").alias(f"{role}AddressKey"))
+        # missing addresses are spread, so the NULLs do not meet in one partition; they match nothing
+        known = F.col(f"{role}AddressID").isNotNull()
+        probe = F.coalesce(F.col(f"{role}AddressID").cast("long"), F.xxhash64(*PLACE_COLUMNS))
+        places = places.withColumn("_probe", probe).join(side, (F.col("_probe") == F.col("_aid")) & known, "left").drop("_probe", "_aid")
+    if unknown:
+        places = places.withColumns({f"{r}AddressKey": F.coalesce(f"{r}AddressKey", F.lit(-1)) for r in ("ShipTo", "BillTo")})
+    return places
+
+
 #: What a line brings into the fact.
 LINE_COLUMNS = ["SalesOrderID", "SalesOrderDetailID", "OrderQty", "ProductID", "UnitPrice", "UnitPriceDiscount", "LineTotal"]
 
 
-def known_orders(header: DataFrame, dim_customer_df: DataFrame, cfg: RunConfig, customer_versions: str = "current") -> DataFrame:
+#: What an order's customer and address keys are looked up by.
+PLACE_COLUMNS = ["CustomerID", "ShipToAddressID", "BillToAddressID"]
+
+
+def known_orders(header: DataFrame, dim_customer_df: DataFrame, cfg: RunConfig, customer_versions: str = "current",
+                 dim_address_df: DataFrame | None = None, unknown_address_key: bool = False) -> DataFrame:
     """Orders whose order and due date are in the calendar and whose customer is known,
-    with their date keys and their customer's key."""
+    with their date keys, their customer's key and, with ``dim_address_df``, the keys of
+    their addresses. Those are looked up by the distinct combinations of customer and
+    addresses, narrow rows; the wide orders move once, to their combination."""
     orders = header.select("SalesOrderID", "RevisionNumber", "OrderDate", "DueDate", "ShipDate",
                            "Status", "CustomerID", "ShipToAddressID", "BillToAddressID",
                            "ShipMethod", "SubTotal", "TaxAmt", "Freight", "TotalDue")
@@ -232,7 +255,21 @@ def known_orders(header: DataFrame, dim_customer_df: DataFrame, cfg: RunConfig,
     orders = (orders.filter(order_in & due_in)
                     .withColumns({"OrderDateKey": order_key, "DueDateKey": due_key,
                                   "ShipDateKey": F.when(ship_in, ship_key)}))
-    return _customer_keys(orders, dim_customer_df, customer_versions)
+    if dim_address_df is None:
+        return _customer_keys(orders, dim_customer_df, customer_versions)
+    if customer_versions == "current":
+        places = _customer_keys(orders.select(*PLACE_COLUMNS).distinct(), dim_customer_df, customer_versions)
+    else:  # the version depends on the order's date
+        orders = _customer_keys(orders, dim_customer_df, customer_versions)
+        places = orders.select(*PLACE_COLUMNS).distinct()
+    places = _address_keys(places, dim_address_df, unknown_address_key)
+    keys = [c for c in places.columns if c not in PLACE_COLUMNS]
+    places = places.withColumnsRenamed({c: f"_{c}" for c in PLACE_COLUMNS})
+    same = F.col("CustomerID") == F.col("_CustomerID")  # an order without a customer is not known
+    for c in PLACE_COLUMNS[1:]:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    columns = ["CustomerID", *[c for c in orders.columns if c != "CustomerID"], *keys]
+    return orders.join(places, same).select(*columns)
 
 
 def order_lines(detail: DataFrame, header: DataFrame, dim_customer_df: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -244,7 +281,7 @@ def order_lines(detail: DataFrame, header: DataFrame, dim_customer_df: DataFrame
 def fact_sales(detail: DataFrame, header: DataFrame, dim_product_df: DataFrame,
                dim_customer_df: DataFrame, dim_address_df: DataFrame | None, cfg: RunConfig,
                unknown_address_key: bool = False, with_sales_key: bool = True,
-               customer_versions: str = "current") -> DataFrame:
+               customer_versions: str = "current", lines_once: bool = False) -> DataFrame:
     """One row per order line (GLD-5).
 
     Mandatory lookups (customer, product, order date, due date) drop unmatched
@@ -253,26 +290,22 @@ def fact_sales(detail: DataFrame, header: DataFrame, dim_product_df: DataFrame,
     Without ``dim_address_df`` the address roles are left out: they never change
     rows or measures, so a query that reads no address plans none. Dimensions
     without surrogate keys give the same rows and measures, with the natural
-    keys (ProductID) in place of the surrogate ones.
+    keys (ProductID) in place of the surrogate ones. With ``lines_once`` the lines
+    that are numbered are written once with their products and read back: for lines
+    that are not stored yet, since numbering reads them twice.
     """
     lines = detail.select(LINE_COLUMNS)
-    orders = known_orders(header, dim_customer_df, cfg, customer_versions)
-    survivors = orders.select("SalesOrderID")
-    if dim_address_df is not None:
-        # grouped by the type that is joined, so that the lookup is shuffled once
-        keys = current_lookup(dim_address_df.withColumn("_aid", F.col("AddressID").cast("long")), "_aid", ["AddressKey"])
-        for role in ("ShipTo", "BillTo"):
-            side = keys.select("_aid", F.col("AddressKey").alias(f"{role}AddressKey"))
-            # a missing address is spread by a negative order key, so the NULLs do not meet in one partition
-            probe = F.coalesce(F.col(f"{role}AddressID").cast("long"), -F.col("SalesOrderID") - 2)
-            orders = orders.withColumn("_probe", probe).join(side, F.col("_probe") == F.col("_aid"), "left").drop("_probe", "_aid")
-        if unknown_address_key:
-            orders = orders.withColumns({f"{r}AddressKey": F.coalesce(f"{r}AddressKey", F.lit(-1)) for r in ("ShipTo", "BillTo")})
+    orders = known_orders(header, dim_customer_df, cfg, customer_versions, dim_address_df, unknown_address_key)
     # Product key and standard cost come from the same dimension row.
     products = current_lookup(dim_product_df, "ProductID", ["ProductKey", "StandardCost"])
     known = lines.join(products, "ProductID")
     if with_sales_key:
-        f = _numbered_lines(known, orders, lines.join(products.select("ProductID"), "ProductID"), survivors)
+        survivors = known_orders(header, dim_customer_df, cfg, customer_versions).select("SalesOrderID")
+        if lines_once:
+            known = narrow = through_storage(known, "lines")
+        else:
+            narrow = lines.join(products.select("ProductID"), "ProductID")
+        f = _numbered_lines(known, orders, narrow, survivors)
     else:
         f = known.join(orders, "SalesOrderID")
     f = f.withColumn("LineProfit", line_profit(F.col("LineTotal"), F.col("OrderQty"), F.col("StandardCost")))
@@ -294,17 +327,26 @@ def _numbered_lines(known: DataFrame, orders: DataFrame, narrow: DataFrame, surv
     ``survivors``: orders that stay), running sums over the blocks give each its offset,
     and a line adds its place in its block. Only the blocks' counts are sorted over the
     whole table; the lines move once, to their orders, and their place comes from the
-    order they have there. An order delivered twice multiplies its lines, as in a join;
-    the copies take turns line by line."""
+    order they have there. The first block of an order's lines meets the order by its id
+    alone, where the order's copies are numbered anyway; only further blocks, which few
+    orders have, take orders to tasks of their own. An order delivered twice multiplies
+    its lines, as in a join; the copies take turns line by line."""
     block = F.coalesce(F.floor(F.col("SalesOrderDetailID") / LINE_BLOCK), F.lit(-1 << 62)).alias("_block")
     copies = survivors.groupBy("SalesOrderID").agg(F.count(F.lit(1)).alias("_copies"))
     blocks = narrow.groupBy("SalesOrderID", block).agg(F.count(F.lit(1)).alias("_lines")).join(copies, "SalesOrderID") \
                    .select("SalesOrderID", "_block", "_copies", (F.col("_lines") * F.col("_copies")).alias("_rows"))
     blocks = running_offsets(blocks, ["SalesOrderID", "_block"], "_rows", "_offset").drop("_rows")
     same = Window.partitionBy("SalesOrderID").orderBy(*[c for c in orders.columns if c != "SalesOrderID"])
-    spread = orders.withColumn("_copy", F.row_number().over(same)).join(blocks, "SalesOrderID")
-    place = Window.partitionBy("SalesOrderID", "_block").orderBy(
-        "SalesOrderDetailID", "ProductID", "OrderQty", "UnitPrice", "UnitPriceDiscount")
-    placed = known.withColumn("_block", block).withColumn("_place", F.row_number().over(place) - 1)
-    return placed.join(spread, ["SalesOrderID", "_block"]).withColumn(
-        "SalesKey", (F.col("_offset") + F.col("_place") * F.col("_copies") + F.col("_copy")).cast("long"))
+    numbered = orders.withColumn("_copy", F.row_number().over(same))
+    order = ["SalesOrderDetailID", "ProductID", "OrderQty", "UnitPrice", "UnitPriceDiscount"]
+    first = (F.col("SalesOrderDetailID") >= 0) & (F.col("SalesOrderDetailID") < LINE_BLOCK)
+
+    def placed(lines: DataFrame, by: list[str], spread: DataFrame) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1
+        return lines.withColumn("_place", place).join(spread, by).withColumn(
+            "SalesKey", (F.col("_offset") + F.col("_place") * F.col("_copies") + F.col("_copy")).cast("long"))
+
+    near = placed(known.filter(first), ["SalesOrderID"], numbered.join(blocks.filter("_block = 0").drop("_block"), "SalesOrderID"))
+    far = placed(known.filter(F.coalesce(~first, F.lit(True))).withColumn("_block", block), ["SalesOrderID", "_block"],
+                 numbered.join(blocks.filter("_block <> 0"), "SalesOrderID"))
+    return near.unionByName(far.drop("_block"))

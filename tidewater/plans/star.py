@@ -78,7 +78,7 @@ class Star:
         self._dimensions()
         s = self.silver
         return G.fact_sales(s["detail"], s["header"], self.dim_product, self.dim_customer,
-                            self.dim_address, self.cfg)
+                            self.dim_address, self.cfg, lines_once=True)
 
     @cached_property
     def fact_lines(self) -> DataFrame:

@@ -176,13 +176,16 @@ def fixture_order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = raw(spark, sf_dir, "lineitem")
     in_order = Window.partitionBy("l_orderkey").orderBy(*LINEITEM_COLUMNS)
     numbered = lines.withColumn("SalesOrderDetailID", F.row_number().over(in_order).cast("long"))
-    part = raw(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    return (numbered.join(part, numbered["l_partkey"] == part["p_partkey"])
+    # joined by the product id that the fact looks up, so lines keep their place for that lookup;
+    # a line key beyond int meets no part, as before
+    part = raw(spark, sf_dir, "part").select(F.col("p_partkey").cast("int").alias("_part"), "p_retailprice")
+    return (numbered.withColumn("ProductID", F.col("l_partkey").try_cast("int"))
+            .join(part, F.col("ProductID") == F.col("_part"))
             .select(
                 F.col("l_orderkey").cast("long").alias("SalesOrderID"),
                 "SalesOrderDetailID",
                 F.col("l_quantity").cast("smallint").alias("OrderQty"),
-                F.col("l_partkey").cast("int").alias("ProductID"),
+                "ProductID",
                 F.col("p_retailprice").cast("decimal(10,2)").cast("decimal(19,4)").alias("UnitPrice"),
                 F.col("l_discount").cast("decimal(4,2)").cast("decimal(19,4)").alias("UnitPriceDiscount"),
                 F.col("l_shipdate").alias("ModifiedDate")))

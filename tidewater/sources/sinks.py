@@ -6,6 +6,7 @@ to the written plan, so the table is not computed a second time to count it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from py4j.protocol import Py4JError
@@ -25,6 +26,15 @@ def observed(seen: Observation, names: list[str], reread: Callable[[], DataFrame
         return {"rows": 0, **dict.fromkeys(names)}
 
 
+def through_storage(df: DataFrame, kind: str) -> DataFrame:
+    """``df`` written once into the cluster's shared checkpoint folder and read back: for a
+    table that one result reads several times."""
+    from tidewater.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tidewater-{kind}/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: Rows that one bucket holds about, so that a bucket fits a task at any size of the table.
 BUCKET_ROWS = 1 << 19
 
