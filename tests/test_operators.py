@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.dedup import latest_by_key
 from tidewater.operators.hierarchy import flatten_parent
+from tidewater.plans.quality import table_diff
 from tidewater.operators.keys import assign_sequential_key, current_lookup, version_spans
 from tidewater.operators.members import with_unknown_member
 from tidewater.operators.merge import high_water_mark, rows_after, upsert
@@ -106,3 +107,13 @@ def test_scd2_reduces_the_batch_and_keeps_rows_that_are_not_open(spark):
                     (4, 300, None, True, None), (5, 100, "n2", True, None), (6, 400, "c", True, None)]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join FullOuter") == 1
+
+
+def test_diff_moves_digests_and_sees_nulls_and_swaps(spark):
+    rows = [(1, "a", 5, None), (2, "b", None, 5), (3, None, 1, 1), (4, "d", 2, 3), (6, "f", 0, 0)]
+    other = [(1, "a", None, 5), (2, "b", None, 5), (3, None, 1, 1), (4, "d", 3, 2), (5, "e", 0, 0)]
+    a, b = (spark.createDataFrame(r, "k long, t string, x int, y int") for r in (rows, other))
+    diff = table_diff(a, b, ["k"])
+    assert tuple(diff.first()) == (5, 5, 1, 1, 2)
+    assert "__digest" in diff._jdf.queryExecution().optimizedPlan().toString()
+    assert tuple(table_diff(a, b.withColumn("x", F.col("x").cast("long")), ["k"]).first()) == (5, 5, 1, 1, 2)

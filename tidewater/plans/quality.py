@@ -6,9 +6,9 @@ instead of one count job per flag, and covers all rows, not a sample.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import AtomicType, StructType
 
 from tidewater.functions.cleanse import safe_pct
 from tidewater.plans.analytics import sum_money
@@ -150,14 +150,25 @@ def revenue_reconciliation(source_lines: DataFrame, fact: DataFrame) -> DataFram
     return s.withColumn("difference", (F.col("source_revenue") - F.col("star_revenue")).cast("decimal(38,4)"))
 
 
+def _row_digest(df: DataFrame, columns: list[str]) -> Column:
+    """128 bits of ``columns``: two 64-bit hashes, by the columns in either order. Hashes
+    pass over NULLs, so which columns are NULL is hashed too."""
+    nulls = F.concat(F.lit(""), *[F.when(F.col(c).isNull(), "0").otherwise("1") for c in columns])
+    return F.struct(F.xxhash64(nulls, *columns).alias("x"), F.xxhash64(*reversed(columns), nulls).alias("y"))
+
+
 def table_diff(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of two builds of a table compared by key, NULL-safe (SPEC-12)."""
+    """Rows of two builds of a table compared by key, NULL-safe (SPEC-12). What travels to
+    its key is a digest of 128 bits a row; columns that one build has in another type are
+    compared by value instead."""
     rest = [c for c in first.columns if c not in keys]
-    a = first.select(*keys, F.struct(*rest).alias("_a"))
-    b = second.select(*keys, F.struct(*rest).alias("_b"))
+    alike = [c for c in rest if first.schema[c].dataType == second.schema[c].dataType
+             and isinstance(first.schema[c].dataType, AtomicType)]
+    whole = [c for c in rest if c not in alike]
+    a, b = (df.select(*keys, F.struct(_row_digest(df, alike).alias("__digest"), *whole).alias(n)) for df, n in ((first, "_a"), (second, "_b")))
     has_a, has_b = F.col("_a").isNotNull(), F.col("_b").isNotNull()
     same = F.lit(True)
-    for c in rest:
+    for c in ["__digest", *whole]:
         same = same & F.col("_a")[c].eqNullSafe(F.col("_b")[c])
     return a.join(b, keys, "full_outer").agg(
         F.count_if(has_a).alias("rows_first"), F.count_if(has_b).alias("rows_second"),
