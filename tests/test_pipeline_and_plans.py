@@ -1,4 +1,5 @@
 import tempfile
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ import __spark_entry__ as E
 from tidewater.operators.dedup import latest_by_key
 from tidewater.plans.pipeline import LayerFailed, Pipeline, run_summary
 from tidewater.plans.star import Star
+from tidewater.sources.model import SOURCE_TABLES
 from tidewater.sources.tables import read_optional
 
 
@@ -55,6 +57,23 @@ def test_pipeline_takes_no_stale_input(spark, sf_small):
     assert status[("gold", "Fact_Sales")] == "skipped" and status[("gold", "Dim_Customer")] == "success"
 
 
+def test_tables_of_a_layer_are_written_side_by_side(spark, sf_small):
+    st = Star.from_fixture(spark, sf_small)
+    run = Pipeline(spark, st.sources, st.cfg, tempfile.mkdtemp(prefix="tidewater-test-side-"), workers=4)
+    meet = threading.Barrier(3, timeout=60)  # three writes must be under way at once
+    write = run._write
+
+    def slow(layer, table, *args, **kw):
+        if table in ("Customer", "Address", "Product"):
+            meet.wait()
+        return write(layer, table, *args, **kw)
+
+    run._write = slow
+    log = run.run(("bronze",)).collect()
+    assert [r.table_name for r in log] == [SOURCE_TABLES[a] for a in st.sources.available()]
+    assert all(r.status == "success" for r in log)
+
+
 def test_optional_descriptions_only_when_absent(spark, sf_small):
     st = Star.from_fixture(spark, sf_small)
     run = Pipeline(spark, st.sources, st.cfg, tempfile.mkdtemp(prefix="tidewater-test-opt-"))
