@@ -85,7 +85,10 @@ def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str) ->
 def give_back_memory() -> None:
     """Return freed memory to the system at the end of a task: a worker process
     serves tasks of several operators, and what one of them freed would stay with
-    it. Does nothing where the C library has no such call."""
+    it. Arrow keeps a pool of its own beside the C library's. Does nothing where the C
+    library has no such call."""
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)

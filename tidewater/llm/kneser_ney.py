@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import broadcast_if_small, small_batches, stage
+from tidewater.llm.common import broadcast_if_small, give_back_memory, small_batches, stage
 from tidewater.session import ensure_checkpoint_dir
 
 ORDER = 4
@@ -329,8 +329,9 @@ def pack_blocks(docs: DataFrame) -> str:
                     yield held.pop(half).row(number, half)
                     number += 1
         for half in sorted(held):
-            yield held[half].row(number, half)
+            yield held.pop(half).row(number, half)
             number += 1
+        give_back_memory()
 
     spark = docs.sparkSession
     name = f"tidewater_blocks_{uuid.uuid4().hex}"

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import LOWER, small_batches, stage
+from tidewater.llm.common import LOWER, give_back_memory, small_batches, stage
 from tidewater.llm.components import component_roots
 
 SEED = 42
@@ -62,6 +62,7 @@ def fingerprints(docs: DataFrame, words: int = 3, key: str | None = None) -> Dat
             fp = np.array([fingerprint(t, words) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
             carried = [b.column(2)] if key else []
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), *carried], names=["doc_id", "fp", "key"][:2 + len(carried)])
+        give_back_memory()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"),
                        *([F.col(key).alias("key")] if key else [])) \
