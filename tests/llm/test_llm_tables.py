@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.llm import packing, sharding, vamana, wavelet
-from tidewater.llm.tokens import ChunkEncoder, encoder, vocabulary_path
+from tidewater.llm.tokens import SETTLED, ChunkEncoder, cut_chunks, encoder, vocabulary_path
 
 from test_llm_text import clashing, frame, random_texts
 
@@ -38,6 +38,49 @@ def test_chunked_ids_are_the_tokenizers(tokenizer, sf_small, spark):
     assert encoder(PATH) is encoder(PATH)
 
 
+def test_chunks_of_odd_neighbours_are_the_tokenizers(tokenizer):
+    parts = [*"abzAZ09'.,-<>=|/%_ \t\n\x0b\x1c\x00\x7f", "'s", "'re", "'LL", "</w>", "<|", "<|endoftext|>", *SETTLED[::7],
+             *"éÉß×÷ÿÀªºµ½٣ΣσςİıǅʹΩÅ…”’«日本語한\u0300\u0301\u0338\u20e3\u00a0\u0085\u2028\u200d\ufeff😀"]
+    rng = np.random.default_rng(3)
+    texts = ["".join(parts[k] for k in rng.integers(len(parts), size=rng.integers(1, 40))) for _ in range(2000)]
+    texts += [f"a{a}{b}c" for a in parts for b in parts] + [f"é{a}{b}'s" for a in parts for b in parts]
+    enc = ChunkEncoder(PATH, max_cached=3000)
+    for at in range(0, len(texts), 500):
+        part = texts[at:at + 500]
+        ids, per = enc.batch(part)
+        for text, got in zip(part, np.split(ids, np.cumsum(per)[:-1])):
+            assert got.tolist() == plain(tokenizer, text), ascii(text)
+
+
+def test_settled_letters_need_no_normalizing(tokenizer):
+    words = [*SETTLED, *(a + b for a, b in zip(SETTLED, SETTLED[1:])), SETTLED]
+    enc = ChunkEncoder(PATH)
+    for w in words:
+        assert enc.whole(w).tolist() == enc._ids(enc.settled_words, w).tolist(), ascii(w)
+    assert "\u0374" not in SETTLED and "\u00c9" not in SETTLED and "\u00df" in SETTLED
+
+
+def test_symbols_at_words_make_no_new_chunks():
+    chunks, counts = cut_chunks([b"The (cat)'s%%% hat, cat", "été; cat= \u00d7; ".encode(), b"", b"x"])
+    assert [c.decode() for c in chunks.to_pylist()] == ["the", "(", "cat", ")'s", "%%%", "hat", ",", "cat",
+                                                        "été", ";", "cat", "=", "\u00d7;", "x"]
+    assert counts.tolist() == [8, 5, 0, 1]
+
+
+def test_equal_chunks_of_a_batch_are_looked_up_once(tokenizer):
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return super().__getitem__(key)
+    enc = ChunkEncoder(PATH)
+    first = enc.batch(["one two one, two."] * 50)
+    enc.code = type("C", (Counted, type(enc.code)), {})(enc.code)
+    second = enc.batch(["one two one, two."] * 50)
+    assert all((a == b).all() for a, b in zip(first, second)) and Counted.asked == 4
+
+
 def test_wavelet_documents(spark, tokenizer):
     texts = HARD + random_texts(60, 1)
     ids = [*range(5, 5 + len(texts) - 3), None, 7, 7]
