@@ -60,6 +60,15 @@ def test_settled_letters_need_no_normalizing(tokenizer):
     assert "\u0374" not in SETTLED and "\u00c9" not in SETTLED and "\u00df" in SETTLED
 
 
+def test_plain_words_skip_the_normalizer(tokenizer):
+    texts = ["Over the hills", "über été, straße", "слово λόγος"]
+    enc = ChunkEncoder(PATH)
+    enc.batch([","])  # symbols pass the whole tokenizer once
+    enc.tokenizer = None
+    ids, per = enc.batch(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(per)[:-1])] == [plain(tokenizer, t) for t in texts]
+
+
 def test_symbols_at_words_make_no_new_chunks():
     chunks, counts = cut_chunks([b"The (cat)'s%%% hat, cat", "été; cat= \u00d7; ".encode(), b"", b"x"])
     assert [c.decode() for c in chunks.to_pylist()] == ["the", "(", "cat", ")'s", "%%%", "hat", ",", "cat",
