@@ -4,10 +4,13 @@ ties, repeated rows, empty tables and clashing extra columns."""
 import hashlib
 import math
 import re
+import tracemalloc
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -263,6 +266,46 @@ def test_suffix_sort_is_lexicographic():
         assert order[20 * g:20 * g + 20] == sorted(range(20 * g, 20 * g + 20), key=lambda k: (parts[k], k))
 
 
+def test_contexts_of_a_bucket_are_sorted_in_little_memory(monkeypatch):
+    n = 32_000  # contexts of 130 bytes; four at a time differ in their first byte alone
+    data = np.repeat(np.random.default_rng(5).integers(97, 123, (n // 4, 130)).astype(np.uint8), 4, axis=0)
+    data[:, 0] = np.arange(n) % 4
+    rec = np.zeros(n, suffix_dedup.ANCHOR)
+    rec["kmer"], rec["doc"], rec["at"], rec["end"] = np.arange(n) // 4, np.arange(n), 40, 130
+    blob = n.to_bytes(4, "little") + rec.tobytes() + data.tobytes()
+    batch = pa.RecordBatch.from_arrays([pa.array(["c"]), pa.array([0], pa.int32()), pa.array([blob], pa.binary())], names=["kind", "bucket", "data"])
+
+    class Frame:
+        def mapInArrow(self, run, schema):
+            return run
+    monkeypatch.setattr(suffix_dedup, "dealt", lambda df, buckets: df)
+    monkeypatch.setattr(suffix_dedup, "_POWERS", [])
+    run = suffix_dedup._sort_buckets(Frame(), 1)
+    tracemalloc.start()
+    parts = [d for b in run(iter([batch])) for d in b.column("data").to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    spans = suffix_dedup.merge_spans(np.frombuffer(b"".join(parts), suffix_dedup.SPAN))
+    assert [tuple(x) for x in spans.tolist()] == [(i, 0, 1, 130) for i in range(n) if i % 4]
+    assert peak < 20 * data.nbytes
+
+
+def test_memory_is_given_back_when_nothing_is_held(monkeypatch):
+    from tidewater.llm import common
+    alive = []
+
+    class Held:
+        pass
+
+    def run(batches):
+        held = Held()
+        alive.append(weakref.ref(held))
+        yield from batches
+    monkeypatch.setattr(common, "give_back_memory", lambda: alive.append(alive[0]() is not None))
+    assert list(common.giving_back(run)(iter([1, 2]))) == [1, 2]
+    assert alive[1:] == [False]
+
+
 def test_long_text_is_hashed_in_chunks(spark, monkeypatch):
     rng = np.random.default_rng(4)
     raw = "".join(rng.choice(list("abcdefgh"), 5000)).encode()

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -94,6 +95,15 @@ def give_back_memory() -> None:
         trim(0)
 
 
+def giving_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` of a mapInArrow that gives freed memory back after its last batch, when
+    what it held is gone too."""
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        give_back_memory()
+    return whole
+
+
 def byte_table(keep) -> bytes:
     """A bytes.translate table: A-Z to a-z, bytes outside ``keep`` to a space."""
     low = [b + 32 if 65 <= b <= 90 else b for b in range(256)]

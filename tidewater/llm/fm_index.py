@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import WORDS, small_batches, spread
+from tidewater.llm.common import WORDS, giving_back, small_batches, spread
 
 SAMPLE = 16
 RESULT = ("doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
@@ -323,7 +323,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13,
             yield shard.rows()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")) \
-        .mapInArrow(run, RESULT)
+        .mapInArrow(giving_back(run), RESULT)
 
 
 def cut_spans(text: str | None, spans) -> str | None:

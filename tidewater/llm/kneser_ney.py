@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import broadcast_if_small, give_back_memory, small_batches, stage
+from tidewater.llm.common import broadcast_if_small, give_back_memory, giving_back, small_batches, stage
 from tidewater.session import ensure_checkpoint_dir
 
 ORDER = 4
@@ -331,11 +331,10 @@ def pack_blocks(docs: DataFrame) -> str:
         for half in sorted(held):
             yield held.pop(half).row(number, half)
             number += 1
-        give_back_memory()
 
     spark = docs.sparkSession
     name = f"tidewater_blocks_{uuid.uuid4().hex}"
-    docs.mapInArrow(run, "block long, half int, rows binary, context array<long>, symbol array<int>, n array<long>") \
+    docs.mapInArrow(giving_back(run), "block long, half int, rows binary, context array<long>, symbol array<int>, n array<long>") \
         .write.option("path", f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-staged/{name}").option("compression", "zstd") \
         .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").saveAsTable(name)
     return name
@@ -403,7 +402,7 @@ def score_blocks(blocks: DataFrame, tables: list[tuple[DataFrame, DataFrame]], c
     keys = ["half", "context", "symbol"]
     answers = asked.join(ngram_bits(asked.select(*keys).distinct(), tables), keys).select("to", "context", "symbol", "bits")
 
-    def run(packed: pa.Table, answer: pa.Table) -> pa.Table:
+    def scored(packed: pa.Table, answer: pa.Table) -> pa.Table:
         known, symbol, bits = (answer[c].to_numpy() for c in ("context", "symbol", "bits"))
         contexts = np.unique(known)
         gram = np.searchsorted(contexts, known) << BITS | symbol
@@ -420,6 +419,11 @@ def score_blocks(blocks: DataFrame, tables: list[tuple[DataFrame, DataFrame]], c
                                     names=[*carried, "n_chars", "bits"]))
         return pa.concat_tables(out)
 
+    def run(packed: pa.Table, answer: pa.Table) -> pa.Table:
+        out = scored(packed, answer)
+        give_back_memory()
+        return out
+
     kinds = {"doc_id": "long", "lang": "string", "trusted": "boolean", "key": "long"}
     return blocks.select("block", "rows").groupBy("block").cogroup(answers.groupBy("to")).applyInArrow(
         run, ", ".join(f"{c} {kinds[c]}" for c in carried) + ", n_chars long, bits double")

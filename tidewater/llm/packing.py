@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import small_batches, stage
+from tidewater.llm.common import giving_back, small_batches, stage
 from tidewater.llm.tokens import encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
@@ -61,7 +61,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int,
                  pa.array(out["ids"], pa.binary())], names=list(out))
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")) \
-        .mapInArrow(run, PIECES)
+        .mapInArrow(giving_back(run), PIECES)
 
 
 class BestFit:
@@ -118,7 +118,7 @@ def pack(pieces: DataFrame, capacity: int, open_bins: int = 4096, pieces_per_pac
     # by place in the staged table: rows that are equal in all columns are dealt apart too
     dealt = staged.withColumn("__at", F.monotonically_increasing_id()).repartition(packers, F.xxhash64("__at")).drop("__at")
     ordered = dealt.sortWithinPartitions(F.desc("length"), "doc_id", "piece")
-    return ordered.mapInArrow(run, PIECES + ", sequence_id long, offset long")
+    return ordered.mapInArrow(giving_back(run), PIECES + ", sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 0, capacity: int = 2048,

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import LOWER, give_back_memory, small_batches, stage
+from tidewater.llm.common import LOWER, giving_back, small_batches, stage
 from tidewater.llm.components import component_roots
 
 SEED = 42
@@ -62,11 +62,10 @@ def fingerprints(docs: DataFrame, words: int = 3, key: str | None = None) -> Dat
             fp = np.array([fingerprint(t, words) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
             carried = [b.column(2)] if key else []
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), *carried], names=["doc_id", "fp", "key"][:2 + len(carried)])
-        give_back_memory()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"),
                        *([F.col(key).alias("key")] if key else [])) \
-        .mapInArrow(run, "doc_id long, fp long" + (", key long" if key else ""))
+        .mapInArrow(giving_back(run), "doc_id long, fp long" + (", key long" if key else ""))
 
 
 def patterns(budget: int = 2) -> list[int]:
@@ -171,7 +170,7 @@ def fingerprint_links(distinct: DataFrame, budget: int = 2) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(fp[child[cut]].view(np.int64)),
                                               pa.array(fp[root[cut]].view(np.int64))], names=["a", "b"])
 
-    return dealt.repartition("pattern", "same").mapInArrow(run, "a long, b long").distinct()
+    return dealt.repartition("pattern", "same").mapInArrow(giving_back(run), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, budget: int = 2, key: str | None = None) -> DataFrame:

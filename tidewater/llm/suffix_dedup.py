@@ -49,13 +49,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import broadcast_if_small, small_batches, spread, stage
+from tidewater.llm.common import broadcast_if_small, giving_back, small_batches, spread, stage
 
 LENGTH = 100
 KMER = 32
 CHUNK = 1 << 19           # window starts hashed at once
 BUFFER = 12 << 20         # bytes of text whose anchors are settled together
 BUCKET_BYTES = 24 << 20   # bytes of text behind a bucket
+PORTION = 1 << 20         # bytes of contexts sorted, or compared, together
 HOT_CONTEXTS = 256        # different contexts of a k-mer in a buffer that make its windows travel alone
 HOT_KMERS = 1 << 20       # most k-mers that do, the ones with the most contexts (8 MB)
 LAST = (1 << 63) - 1      # place of null doc_ids
@@ -141,8 +142,10 @@ def settle(rec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     rec = rec[np.lexsort((rec["row"], rec["at"], rec["doc"], rec["context"], rec["kmer"]))]
     new = np.ones(len(rec), bool)
     new[1:] = (rec["kmer"][1:] != rec["kmer"][:-1]) | (rec["context"][1:] != rec["context"][:-1])
-    lead = rec[np.maximum.accumulate(np.where(new, np.arange(len(rec)), 0))]
-    later = (rec["doc"] != lead["doc"]) | (rec["at"] != lead["at"]) | (rec["row"] != lead["row"])
+    lead = np.maximum.accumulate(np.where(new, np.arange(len(rec)), 0))
+    later = np.zeros(len(rec), bool)
+    for c in ("doc", "at", "row"):
+        later |= rec[c] != rec[c][lead]
     gone = rec[later]
     spans = np.empty(len(gone), SPAN)
     for c in SPAN.names:
@@ -197,6 +200,21 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> dict[tuple[int, str], list[by
     return held
 
 
+def emptied(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, str], list[bytes]]]:
+    """The same one by one, each let go of before the next."""
+    held = gathered(batches)
+    while held:
+        key = next(iter(held))
+        yield key, held.pop(key)
+
+
+def unpacked(parts: list[bytes], dtype: np.dtype) -> np.ndarray:
+    """The records of the blobs, which are let go of."""
+    data = b"".join(parts)
+    parts.clear()
+    return np.frombuffer(data, dtype)
+
+
 def dealt(blobs_df: DataFrame, buckets: int) -> DataFrame:
     return blobs_df.repartitionById(buckets, F.col("bucket"))
 
@@ -216,8 +234,10 @@ def _buffers(batches: Iterator[pa.RecordBatch], hot: np.ndarray | None) -> Itera
                 held[alone].append(rec)
             size += len(raw)
             if size >= BUFFER:
-                yield [np.concatenate([none, *h]) for h in held]
+                full = [np.concatenate([none, *h]) for h in held]
                 held, size = [[], []], 0
+                yield full
+                del full
     if size:
         yield [np.concatenate([none, *h]) for h in held]
 
@@ -234,7 +254,7 @@ def hot_kmers(docs: DataFrame) -> np.ndarray:
             many = n >= HOT_CONTEXTS
             yield pa.RecordBatch.from_arrays([pa.array(kmer[many].view(np.int64)), pa.array(n[many])], names=["kmer", "n"])
 
-    found = docs.select("doc_id", "text", F.lit(0).alias("mark")).mapInArrow(run, "kmer long, n long").groupBy("kmer").agg(F.sum("n").alias("n")) \
+    found = docs.select("doc_id", "text", F.lit(0).alias("mark")).mapInArrow(giving_back(run), "kmer long, n long").groupBy("kmer").agg(F.sum("n").alias("n")) \
         .orderBy(F.desc("n"), "kmer").limit(HOT_KMERS).select("kmer").toArrow()
     return np.sort(found["kmer"].to_numpy().astype(np.int64).view(U))
 
@@ -249,17 +269,17 @@ def _scan_anchors(docs: DataFrame, buckets: int) -> DataFrame:
                 yield from blobs(kind, firsts, hashed_bucket(firsts[key].copy(), buckets))
                 yield from blobs("s", spans, row_bucket(spans, buckets))
 
-    return docs.mapInArrow(run, BLOBS)
+    return docs.mapInArrow(giving_back(run), BLOBS)
 
 
 def _settle_buckets(found: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (bucket, kind), parts in gathered(batches).items():
+        for (bucket, kind), parts in emptied(batches):
             if kind == "s":
-                spans = merge_spans(np.frombuffer(b"".join(parts), SPAN))
+                spans = merge_spans(unpacked(parts, SPAN))
                 yield from blobs("s", spans, np.full(len(spans), bucket, np.int32))
                 continue
-            firsts, spans = settle(np.frombuffer(b"".join(parts), ANCHOR))
+            firsts, spans = settle(unpacked(parts, ANCHOR))
             yield from blobs("s", spans, row_bucket(spans, buckets))
             if len(firsts) and kind == "a":  # sorted by k-mer
                 new = np.concatenate([[True], firsts["kmer"][1:] != firsts["kmer"][:-1]])
@@ -267,14 +287,14 @@ def _settle_buckets(found: DataFrame, buckets: int) -> DataFrame:
                 asked = firsts[np.repeat(per > 1, per)]
                 yield from blobs("r", asked, row_bucket(asked, buckets))
 
-    return dealt(found, buckets).mapInArrow(run, BLOBS)
+    return dealt(found, buckets).mapInArrow(giving_back(run), BLOBS)
 
 
 def _by_document(rows: DataFrame, kind: str, dtype: np.dtype, buckets: int) -> DataFrame:
     """(doc, mark, data): one row per row of documents with its records, spans merged."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for parts in gathered(batches).values():
-            rec = np.frombuffer(b"".join(parts), dtype)
+        for _, parts in emptied(batches):
+            rec = unpacked(parts, dtype)
             rec = merge_spans(rec) if dtype is SPAN else rec[np.lexsort((rec["row"], rec["doc"]))]
             if not len(rec):
                 continue
@@ -289,7 +309,7 @@ def _by_document(rows: DataFrame, kind: str, dtype: np.dtype, buckets: int) -> D
                 [pa.array(docs), pa.array(marks), pa.array([rec[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())],
                 names=["doc", "mark", "data"])
 
-    return stage(dealt(rows.filter(F.col("kind") == kind), buckets).mapInArrow(run, "doc long, mark long, data binary"),
+    return stage(dealt(rows.filter(F.col("kind") == kind), buckets).mapInArrow(giving_back(run), "doc long, mark long, data binary"),
                  f"by-document-{kind}")
 
 
@@ -323,30 +343,37 @@ def _cut_contexts(docs: DataFrame, asked: DataFrame, buckets: int) -> DataFrame:
     place = F.coalesce(docs.doc_id, F.lit(LAST))
     joined = docs.join(broadcast_if_small(asked, "data"), (place == asked.doc) & (docs.mark == asked.mark)) \
         .select("text", "data", "doc", asked.mark)
-    return joined.mapInArrow(run, BLOBS)
+    return joined.mapInArrow(giving_back(run), BLOBS)
 
 
 class Suffixes:
-    """Suffixes of contexts from their k-mer on: common extensions by hash."""
+    """Suffixes of contexts from their k-mer on: common extensions by hash. Ranges stay
+    inside a context, so powers are counted from its start and few are held."""
 
     def __init__(self, rec: np.ndarray, data: np.ndarray):
         size = (rec["end"] - rec["start"]).astype(np.int64)
         base = np.cumsum(size) - size
-        self.at = base + (rec["at"] - rec["start"]).astype(np.int64)  # place of the k-mer in data
+        self.left = (rec["at"] - rec["start"]).astype(np.int64)       # bytes before the k-mer
         self.right = (rec["end"] - rec["at"]).astype(np.int64)        # bytes from it on
-        self.data, self.prefix = data, prefix_hashes(data)
-        _, self.down = powers(len(self.prefix))
+        self.at = base + self.left                                    # place of the k-mer in data
+        up, self.down = powers(int(size.max(initial=0)) + 1)
+        self.data, self.prefix = data, np.zeros(len(data) + 1, U)
+        np.cumsum((data.astype(U) + U(1)) * up[spread(np.zeros(len(size), np.int64), size)], out=self.prefix[1:])
+
+    def _hash(self, at: np.ndarray, down: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return (self.prefix[at + n] - self.prefix[at]) * down
 
-    def _hash(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
-        return (self.prefix[at + n] - self.prefix[at]) * self.down[at]
+    def left_hash(self, x: np.ndarray, n: int) -> np.ndarray:
+        """Hash of the n bytes before the k-mer."""
+        return self._hash(self.at[x] - n, self.down[self.left[x] - n], n)
 
     def extension(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Common prefix length of suffix pairs, by binary search over prefix hashes."""
-        a, b = self.at[x], self.at[y]
+        a, b, a_down, b_down = self.at[x], self.at[y], self.down[self.left[x]], self.down[self.left[y]]
         lo, hi = np.zeros(len(x), np.int64), np.minimum(self.right[x], self.right[y])
         while (lo < hi).any():
             mid = (lo + hi + 1) >> 1
-            same = self._hash(a, mid) == self._hash(b, mid)
+            same = self._hash(a, a_down, mid) == self._hash(b, b_down, mid)
             lo, hi = np.where(same, mid, lo), np.where(same, hi, mid - 1)
         return lo
 
@@ -392,7 +419,7 @@ class Suffixes:
     def equal_bytes(self, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
         """Do the n bytes from data places a and b on agree? In bounded portions."""
         out = np.ones(len(a), bool)
-        step = max(1, (8 << 20) // LENGTH)
+        step = max(1, PORTION // LENGTH)
         for k in range(0, len(a), step):
             cut = slice(k, k + step)
             differs = self.data[spread(a[cut], n[cut])] != self.data[spread(b[cut], n[cut])]
@@ -428,7 +455,7 @@ def context_spans(rec: np.ndarray, data: np.ndarray) -> np.ndarray:
         mine = mine[sizes[block[mine]] > 1]
         if not len(mine):
             continue
-        left = sfx._hash(at[mine] - o, np.full(len(mine), o))
+        left = sfx.left_hash(order[mine], o)
         by = np.lexsort((rank[mine], left, block[mine]))
         mine, left = mine[by], left[by]
         new = np.ones(len(mine), bool)
@@ -447,25 +474,26 @@ def context_spans(rec: np.ndarray, data: np.ndarray) -> np.ndarray:
 
 def _sort_buckets(contexts: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for parts in gathered(batches).values():
+        for _, parts in emptied(batches):
             recs, texts = [], []
             for p in parts:
                 n = int.from_bytes(p[:4], "little")
                 recs.append(np.frombuffer(p, ANCHOR, n, 4))
                 texts.append(np.frombuffer(p, np.uint8, offset=4 + n * ANCHOR.itemsize))
             rec, data = np.concatenate(recs), np.concatenate(texts)
+            del p, parts, recs, texts
             size = (rec["end"] - rec["start"]).astype(np.int64)
             start = np.cumsum(size) - size
             order = np.argsort(rec["kmer"], kind="stable")
             # whole k-mer groups at a time, so that the arrays stay small
             group = np.cumsum(np.concatenate([[False], np.diff(rec["kmer"][order].view(np.int64)) != 0]))
-            cut = np.flatnonzero(np.diff((np.cumsum(size[order]) // (8 << 20))[np.searchsorted(group, group)], prepend=0))
+            cut = np.flatnonzero(np.diff((np.cumsum(size[order]) // PORTION)[np.searchsorted(group, group)], prepend=0))
             for part in np.split(order, cut):
                 if len(part):
                     spans = context_spans(rec[part], data[spread(start[part], size[part])])
                     yield from blobs("s", spans, row_bucket(spans, buckets))
 
-    return dealt(contexts, buckets).mapInArrow(run, BLOBS)
+    return dealt(contexts, buckets).mapInArrow(giving_back(run), BLOBS)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -529,7 +557,7 @@ def repeat_digest(docs: DataFrame) -> DataFrame:
     joined = texts.join(broadcast_if_small(spans, "data"),
                         (F.coalesce(texts.doc_id, F.lit(LAST)) == spans.doc) & (texts.mark == spans.mark), "left")
     return joined.select("doc_id", "text", "data").mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        giving_back(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -549,5 +577,5 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     joined = keyed.join(broadcast_if_small(spans, "data"),
                         (F.coalesce(F.col("row.doc_id").cast("long"), F.lit(LAST)) == spans.doc) & (keyed.mark == spans.mark), "left")
     schema = joined.select("row", F.col("row.text").alias("text"))
-    out = joined.select("row", F.col("row.text").alias("text"), "data").mapInArrow(run, schema.schema)
+    out = joined.select("row", F.col("row.text").alias("text"), "data").mapInArrow(giving_back(run), schema.schema)
     return out.select(*[F.col("text").alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
