@@ -352,3 +352,85 @@ def test_lines_are_summed_by_order_once(spark, sf_small, monkeypatch):
     catalog._period_tables(spark, sf_small)
     plans = [o._jdf.queryExecution().optimizedPlan().toString() for o in asked]
     assert len(plans) == 6 and not any("Aggregate" in p or "Join" in p for p in plans)  # stored orders, lines not summed again
+
+
+# --- batches cost what they hold ------------------------------------------------------------
+
+def test_new_keys_are_added_without_rewriting_their_buckets(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    rows = lambda ids, v: spark.createDataFrame([(i, v, v) for i in ids], "id long, v int, m int")
+    for newest in (True, False):
+        run = store.begin()
+        run.forget()
+        run.upsert("t", rows(range(100), 1), ["id"], "m", buckets=4)
+        run.commit()
+        first = store.state()["tables"]["t"]["parts"]
+        run = store.begin()
+        seen = run.upsert("t", rows([*range(100, 200), 150], 2), ["id"], "m", newest=newest)
+        run.commit()
+        parts = store.state()["tables"]["t"]["parts"]
+        assert all(parts[p][:-1] == first[p] for p in first)  # nothing stored was written again
+        assert seen["rows"] == 200 and seen["touched"] == sorted(parts) and store.read("t").count() == 200
+        run = store.begin()
+        seen = run.upsert("t", rows([5, 777], 3).unionByName(rows([7], 0)), ["id"], "m", newest=newest)
+        run.commit()
+        after = store.state()["tables"]["t"]["parts"]
+        got = {r.id: r.v for r in store.read("t").collect()}
+        assert len(got) == 201 and got[5] == 3 and got[777] == 3 and got[7] == (1 if newest else 0)
+        assert seen["rows"] == sum(store.load(store.state()["tables"]["t"], [p]).count() for p in seen["touched"])
+        assert all(after[p] == parts[p] for p in parts if p not in seen["touched"])
+        store.remove_unlisted()
+        assert {r.id: r.v for r in store.read("t").collect()} == got
+
+
+def test_missing_keys_meet_and_buckets_do_not_grow_without_end(spark, tmp_path, monkeypatch):
+    from tidewater.sources import versions
+    monkeypatch.setattr(versions, "MOST_FOLDERS", 3)
+    store = TableStore(spark, str(tmp_path))
+    for k in range(5):
+        run = store.begin()
+        run.upsert("t", spark.createDataFrame([(None, k, "n"), (k, k, "x"), (k, -1, "old")], "id long, v long, t string"), ["id"], "v",
+                   buckets=1, newest=True)
+        run.commit()
+    assert {r.id: (r.v, r.t) for r in store.read("t").collect()} == {None: (4, "n"), **{k: (k, "x") for k in range(5)}}
+    for k in range(5, 9):
+        run = store.begin()
+        run.upsert("t", spark.createDataFrame([(k, k, "x")], "id long, v long, t string"), ["id"], "v", newest=True)
+        run.commit()
+    assert store.read("t").count() == 10 and len(store.state()["tables"]["t"]["parts"]["0"]) <= 3
+
+
+def test_an_increment_reads_its_source_once(spark, sf_small, monkeypatch):
+    from tidewater.sources.versions import Run
+    st, run = catalog._incremental(spark, sf_small)
+    plans, append = {}, Run.append
+    monkeypatch.setattr(Run, "append", lambda self, table, df, *a, **k: (
+        plans.__setitem__(table, df._jdf.queryExecution().optimizedPlan().toString()), append(self, table, df, *a, **k))[1])
+    run.run(st.sources)
+    lines = plans["bronze_SalesOrderDetail"]
+    assert lines.count("Window [") == 1 and "Union" not in lines
+    assert run.read("bronze", "SalesOrderDetail").count() == st.bronze["detail"].count()
+
+
+def test_rows_with_and_without_a_time_come_once(spark):
+    from tidewater.operators.merge import rows_after
+    day = lambda k: datetime(2000, 1, k)
+    frame = lambda *r: spark.createDataFrame(r, "id long, m timestamp_ntz")
+    loaded = frame((1, day(1)), (2, day(2)), (3, None))
+    source = frame((1, day(1)), (2, day(2)), (3, None), (4, day(2)), (5, day(3)), (6, None), (3, day(2)), (2, None), (None, day(2)), (None, None))
+    got = rows_after(source, "m", day(2), loaded, ["id"], undated=True).collect()
+    assert sorted(((r.id or 0), r.m or day(9)) for r in got) == sorted(
+        [(4, day(2)), (5, day(3)), (6, day(9)), (3, day(2)), (2, day(9)), (0, day(2)), (0, day(9))])
+
+
+def test_changed_orders_by_one_grouping(spark):
+    from tidewater.plans.aggregates import _side, changed_orders
+    schema = "SalesOrderID long, OrderDateKey int, OrderQty int, LineTotal decimal(19,4), LineProfit decimal(19,4)"
+    fact = lambda *r: spark.createDataFrame([(o, d, q, Decimal(q), None) for o, d, q in r], schema)
+    now, before = fact((1, 10, 1), (2, 10, 2), (2, 10, 3), (3, 11, 1), (None, 12, 1)), fact((1, 10, 1), (2, 10, 2), (4, 10, 1), (3, 12, 1))
+    changed = changed_orders(now, before)
+    assert _plan(changed).count("Exchange hashpartitioning") == 1
+    for side, frames in (("now", (now, before)), ("were", (before, now))):
+        want = order_totals(frames[0]).exceptAll(order_totals(frames[1]))
+        got = _side(changed, side)
+        assert got.schema.names == want.schema.names and got.exceptAll(want).count() == want.exceptAll(got).count() == 0
