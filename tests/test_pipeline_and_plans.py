@@ -1,3 +1,4 @@
+import re
 import tempfile
 import threading
 
@@ -135,3 +136,21 @@ def test_as_of_lookup_keeps_every_line_and_changes_version(spark, sf_small):
     assert rows.count() == Star.from_fixture(spark, sf_small).silver["detail"].count()
     old = rows.filter("CompanyName = 'OLD'").agg(F.max("OrderDateKey")).first()[0]
     assert old is not None and old < 19970101
+
+
+def test_large_lookups_are_not_broadcast(spark, sf_small, monkeypatch):
+    # by their compressed columns Spark takes them for small; their rows are counted instead
+    from tidewater.plans.gold import FACT_SALES_COLUMNS
+    from tidewater.sources import tables
+    st = Star.from_fixture(spark, sf_small)
+    run = Pipeline(spark, st.sources, st.cfg, tempfile.mkdtemp(prefix="tidewater-test-lookup-"))
+    run.run()
+    lookups = lambda: [line for line in run._fact()._jdf.queryExecution().optimizedPlan().toString().split("\n")
+                       if re.search(r"Join .*\b(ProductID|CustomerID|_aid)#\d+L?\)", line) and "_CustomerID" not in line]
+    assert lookups() and not any("strategy=merge" in line for line in lookups())
+    monkeypatch.setattr(tables, "LOOKUP_ROWS", 3)
+    assert {"ProductID", "CustomerID", "_aid"} <= set(re.findall(r"[A-Za-z_]+(?=#)", " ".join(lookups())))
+    assert all("strategy=merge" in line for line in lookups())
+    assert "BroadcastExchange" not in _plan(Star.from_fixture(spark, sf_small).sources.detail)
+    fact, stored = run._fact(), run.read("gold", "Fact_Sales")
+    assert fact.columns == FACT_SALES_COLUMNS and fact.exceptAll(stored).count() == 0 and fact.count() == stored.count()
