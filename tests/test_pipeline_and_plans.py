@@ -154,3 +154,28 @@ def test_large_lookups_are_not_broadcast(spark, sf_small, monkeypatch):
     assert "BroadcastExchange" not in _plan(Star.from_fixture(spark, sf_small).sources.detail)
     fact, stored = run._fact(), run.read("gold", "Fact_Sales")
     assert fact.columns == FACT_SALES_COLUMNS and fact.exceptAll(stored).count() == 0 and fact.count() == stored.count()
+
+
+def test_partitions_are_gathered_without_a_shuffle(spark, tmp_path, monkeypatch):
+    from tidewater.session import ensure_checkpoint_dir
+    from tidewater.sources import sinks
+    rows = [(k, k % 3 or None, ["a b", "c/d", None, "e=f"][k % 4], k % 5) for k in range(4000)]
+    df = spark.createDataFrame(rows, "id long, y int, m string, v int").repartition(6).select("id", "y", "m", "v")
+    monkeypatch.setattr(sinks, "FILE_BYTES", 4000)
+    got = sinks.gathered(df, ["y", "m"], str(tmp_path / "parts"))
+    assert "Exchange" not in _plan(got) and got.schema == df.schema and got.exceptAll(df).count() == 0 and got.count() == 4000
+    held = got.groupBy(F.spark_partition_id().alias("p")).agg(F.countDistinct(F.struct("y", "m")).alias("n")).collect()
+    assert {r.n for r in held} == {1} and len(held) > 12  # one value a task, several tasks a value
+    monkeypatch.setattr(sinks, "FILE_BYTES", 1 << 20)
+    whole = sinks.gathered(df, ["y", "m"], str(tmp_path / "whole"))
+    assert 12 <= whole.select(F.spark_partition_id()).distinct().count() <= 13  # not one task for all small values
+    rebalanced = []
+    hint = type(df).hint
+    monkeypatch.setattr(type(df), "hint", lambda self, name, *a: rebalanced.append(name) or hint(self, name, *a))
+    assert sinks.write_table(df, str(tmp_path / "t"), partition_by=["y", "m"]) == 4000 and not rebalanced
+    stored = spark.read.schema(df.schema).parquet(str(tmp_path / "t")).select(df.columns)
+    assert stored.exceptAll(df).count() == 0 and stored.count() == 4000
+    assert sinks.write_table(df.filter("id < 0"), str(tmp_path / "none"), partition_by=["y", "m"]) == 0
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/tidewater-parts")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert len(fs.listStatus(folder)) == 0  # what was gathered is gone
